@@ -16,7 +16,7 @@ __all__ = [
     "event_category", "business_value_score", "counter_group", "quality_band",
     "page_title", "python_title", "product_url", "short_key", "issue_tags",
     "order_tax", "order_shipping", "order_total", "full_name", "age_years",
-    "days_between", "duration_seconds", "quality_rate", "pct",
+    "days_between", "duration_seconds", "quality_rate", "pct", "money_avg",
 ]
 
 
@@ -188,10 +188,22 @@ def duration_seconds(start, end) -> Column:
 
 
 def pct(numer, denom, scale: int = 2) -> Column:
-    """``ROUND(numer / NULLIF(denom, 0) * 100, scale)`` in decimal arithmetic."""
-    n = col_of(numer).cast("decimal(38,6)")
-    d = F.nullif(col_of(denom), F.lit(0)).cast("decimal(38,6)")
-    return F.round(n * 100 / d, scale).cast("double")
+    """``ROUND(numer / NULLIF(denom, 0) * 100, scale)`` for counts, rounded
+    half-up. Written as floor((2*100*10^s*n + d) / (2d)) / 10^s in doubles,
+    which is exact for counts below 2^53 / 10^(s+2) and reproducible in any
+    engine with IEEE doubles."""
+    f = float(10 ** scale)
+    n = col_of(numer).cast("double")
+    d = col_of(denom).cast("double")
+    return F.when(d != 0, F.floor((n * (200.0 * f) + d) / (d * 2.0)) / f)
+
+
+def money_avg(total, count) -> Column:
+    """``ROUND(total / count, 2)`` for a money total (2 dp) and a count, half-up,
+    via integer cents."""
+    cents = (col_of(total) * 100).cast("long").cast("double")
+    n = col_of(count).cast("double")
+    return F.when(n != 0, F.floor((cents * 2.0 + n) / (n * 2.0)) / 100.0)
 
 
 def quality_rate(valid, total, empty_value: float = 100.0) -> Column:

@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptrail import schemas as S
 from shoptrail.operators import views
 from shoptrail.plans import oracles as O
 from shoptrail.plans import pipeline as P
@@ -53,3 +54,239 @@ def daily_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = P.processed(spark, sf_dir)
     return views.daily_event_summary(t["page_views"], t["product_interactions"], t["purchases"],
                                      t["searches"], t["user_engagement"])
+
+
+# --------------------------------------------------------------------------
+# Validation and enrichment
+# --------------------------------------------------------------------------
+
+from shoptrail.functions.events import as_of_ts  # noqa: E402
+from shoptrail.operators import dedup, enrich, metrics, quality, rollups, route, validate  # noqa: E402
+from shoptrail.sources.fixtures import FIXTURE_NOW, FIXTURE_TODAY, ORDERS_TODAY  # noqa: E402
+
+WV = O.VALID_SQL
+
+
+def _flagged(spark, sf_dir):
+    return validate.with_validity(P.wire_events(spark, sf_dir), as_of=FIXTURE_NOW)
+
+
+@register("valid_events", O.q(f"""
+SELECT event_id, event_type, customer_id, {O.CATEGORY_SQL} AS event_category,
+       CAST({O.SCORE_SQL} AS INTEGER) AS business_value_score,
+       '{S.PROCESSOR_VERSION}' AS processor_version
+FROM raw WHERE {WV}
+"""))
+def valid_events(spark, sf_dir):
+    valid, _ = validate.split_valid(P.wire_events(spark, sf_dir), as_of=FIXTURE_NOW)
+    return enrich.enrich_events(valid).select(
+        "event_id", "event_type", "customer_id", "event_category", "business_value_score", "processor_version")
+
+
+@register("invalid_events", O.q(f"""
+SELECT event_id, event_type, customer_id, invalid_field FROM raw WHERE NOT {WV}
+"""))
+def invalid_events(spark, sf_dir):
+    _, invalid = validate.split_valid(P.wire_events(spark, sf_dir), as_of=FIXTURE_NOW)
+    return invalid.select("event_id", "event_type", "customer_id", "invalid_field")
+
+
+@register("category_value_rollup", O.q(f"""
+SELECT {O.CATEGORY_SQL} AS event_category, COUNT(*) AS events,
+       CAST(SUM({O.SCORE_SQL}) AS BIGINT) AS total_score
+FROM raw WHERE {WV} GROUP BY 1
+"""))
+def category_value_rollup(spark, sf_dir):
+    valid, _ = validate.split_valid(P.wire_events(spark, sf_dir), as_of=FIXTURE_NOW)
+    return (enrich.enrich_events(valid).groupBy("event_category")
+            .agg(F.count(F.lit(1)).alias("events"), F.sum("business_value_score").alias("total_score")))
+
+
+@register("quality_running", O.q(f"""
+, fl AS (SELECT event_id, timestamp, coalesce(customer_id, '~') AS ck, {WV} AS ok FROM raw)
+SELECT event_id,
+  COUNT(*) OVER w AS running_processed,
+  CAST(SUM(CASE WHEN ok THEN 1 ELSE 0 END) OVER w AS BIGINT) AS running_valid,
+  {O.pct_sql("SUM(CASE WHEN ok THEN 1 ELSE 0 END) OVER w", "COUNT(*) OVER w", 1)} AS running_quality_pct
+FROM fl
+WINDOW w AS (PARTITION BY ck, CAST(timestamp AS DATE) ORDER BY timestamp, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+"""))
+def quality_running(spark, sf_dir):
+    d = (_flagged(spark, sf_dir)
+         .withColumn("_ck", F.coalesce(F.col("customer_id"), F.lit("~")))
+         .withColumn("_day", F.to_date("timestamp")))
+    out = quality.running_quality(d, ["_ck", "_day"], "timestamp", "event_id")
+    return out.select("event_id", "running_processed", "running_valid", "running_quality_pct")
+
+
+@register("dq_declared_invalid", O.q("""
+SELECT invalid_field, COUNT(*) AS events FROM raw WHERE invalid_field IS NOT NULL GROUP BY 1
+"""))
+def dq_declared_invalid(spark, sf_dir):
+    return quality.declared_invalid_breakdown(P.wire_events(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Data quality (Q1, Q2, Q5, Q8, Q9, V5)
+# --------------------------------------------------------------------------
+
+@register("dq_issue_tags", O.q("""
+SELECT issue, COUNT(*) AS events FROM (SELECT unnest(issues) AS issue FROM raw) GROUP BY 1
+"""))
+def dq_issue_tags(spark, sf_dir):
+    return quality.issue_counts(P.raw_events(spark, sf_dir))
+
+
+@register("dq_required_nulls", O.q("""
+SELECT COUNT(*) AS total_rows,
+  COUNT(*) FILTER (WHERE event_id IS NULL) AS missing_event_id,
+  COUNT(*) FILTER (WHERE event_type IS NULL) AS missing_event_type,
+  COUNT(*) FILTER (WHERE timestamp IS NULL) AS missing_timestamp,
+  COUNT(*) FILTER (WHERE event_id IS NULL) + COUNT(*) FILTER (WHERE event_type IS NULL)
+    + COUNT(*) FILTER (WHERE timestamp IS NULL) AS missing_total
+FROM raw
+"""))
+def dq_required_nulls(spark, sf_dir):
+    return quality.required_nulls(dedup.keep_first(P.raw_events(spark, sf_dir)))
+
+
+@register("dq_future_ts", O.q(f"""
+SELECT COUNT(*) FILTER (WHERE timestamp > {O.NOW}) AS future_events, COUNT(*) AS total_rows FROM raw
+"""))
+def dq_future_ts(spark, sf_dir):
+    return quality.future_timestamps(P.raw_events(spark, sf_dir), as_of=FIXTURE_NOW)
+
+
+def _two_sources(spark, sf_dir):
+    """Files (every landed event) + the local store (its half of the two-way
+    split, re-ingested a day later): the ETL's two extracts."""
+    raw = P.raw_events(spark, sf_dir)
+    files = raw.withColumn("source_rank", F.lit(0))
+    store = (raw.filter(F.col("storage_type") == "duckdb")
+             .withColumn("source_file", F.lit("duckdb"))
+             .withColumn("ingestion_time", F.col("ingestion_time") + F.expr("INTERVAL 1 DAY"))
+             .withColumn("source_rank", F.lit(1)))
+    return dedup.union_by_name([files, store])
+
+
+@register("dq_key_uniqueness", O.q("""
+SELECT event_id, COUNT(*) AS copies FROM (
+  SELECT event_id FROM raw UNION ALL SELECT event_id FROM raw WHERE storage_type = 'duckdb')
+GROUP BY 1 HAVING COUNT(*) > 1
+"""))
+def dq_key_uniqueness(spark, sf_dir):
+    return quality.duplicate_keys(_two_sources(spark, sf_dir), "event_id")
+
+
+@register("dq_order_reconcile", O.q("""
+SELECT event_id, order_id, CAST(subtotal AS DOUBLE) AS subtotal, CAST(tax_amount AS DOUBLE) AS tax_amount,
+  CAST(shipping_cost AS DOUBLE) AS shipping_cost, CAST(discount_amount AS DOUBLE) AS discount_amount,
+  CAST(total_amount AS DOUBLE) AS total_amount, FALSE AS total_mismatch, FALSE AS tax_mismatch,
+  FALSE AS shipping_mismatch
+FROM pu WHERE FALSE
+"""))
+def dq_order_reconcile(spark, sf_dir):
+    out = quality.order_reconciliation(P.processed(spark, sf_dir)["purchases"])
+    return out.select(*[F.col(c).cast("double").alias(c) if c in
+                        ("subtotal", "tax_amount", "shipping_cost", "discount_amount", "total_amount")
+                        else F.col(c) for c in out.columns])
+
+
+_DQ = """
+SELECT CAST(ingestion_time AS DATE) AS date, COUNT(*) AS total_events,
+  COUNT(*) FILTER (WHERE is_valid) AS valid_events,
+  COUNT(*) FILTER (WHERE NOT is_valid) AS invalid_events,
+  {pct} AS quality_score_pct,
+  COUNT(*) FILTER (WHERE {has}) AS events_with_issues
+FROM rawv GROUP BY 1
+"""
+
+
+@register("data_quality_summary", O.q(_DQ.format(
+    pct=O.pct_sql("COUNT(*) FILTER (WHERE is_valid)", "COUNT(*)"), has="issues IS NOT NULL")))
+def data_quality_summary(spark, sf_dir):
+    return views.data_quality_summary(P.raw_events(spark, sf_dir), corrected=False)
+
+
+@register("data_quality_summary_fixed", O.q(_DQ.format(
+    pct=O.pct_sql("COUNT(*) FILTER (WHERE is_valid)", "COUNT(*)"), has="len(issues) > 0")))
+def data_quality_summary_fixed(spark, sf_dir):
+    return views.data_quality_summary(P.raw_events(spark, sf_dir), corrected=True)
+
+
+@register("quality_last_7_days", O.q(_DQ.format(
+    pct=O.pct_sql("COUNT(*) FILTER (WHERE is_valid)", "COUNT(*)"), has="len(issues) > 0")
+    + " ORDER BY date DESC LIMIT 7"))
+def quality_last_7_days(spark, sf_dir):
+    dq = views.data_quality_summary(P.raw_events(spark, sf_dir), corrected=True)
+    return metrics.latest(dq, 7, [F.col("date").desc_nulls_last()])
+
+
+# --------------------------------------------------------------------------
+# De-duplication, merge, incremental load
+# --------------------------------------------------------------------------
+
+@register("dedup_keep_first", O.q("""
+SELECT event_id, 'events.parquet' AS source_file, storage_type, ingestion_time FROM rawv
+"""))
+def dedup_keep_first(spark, sf_dir):
+    return dedup.keep_first(_two_sources(spark, sf_dir)).select(
+        "event_id", "source_file", "storage_type", "ingestion_time")
+
+
+@register("last_write_wins", O.q("""
+SELECT event_id, CASE WHEN storage_type = 'duckdb' THEN 'duckdb' ELSE 'events.parquet' END AS source_file,
+       CASE WHEN storage_type = 'duckdb' THEN ingestion_time + INTERVAL 1 DAY ELSE ingestion_time END AS ingestion_time
+FROM rawv
+"""))
+def last_write_wins(spark, sf_dir):
+    return dedup.last_write_wins(_two_sources(spark, sf_dir)).select("event_id", "source_file", "ingestion_time")
+
+
+MERGE_CUTOFF = "2024-01-20"
+
+
+@register("upsert_raw_events", O.q(f"""
+, tgt AS (SELECT event_id, event_type, is_valid FROM rawv WHERE timestamp < TIMESTAMP '{MERGE_CUTOFF}')
+SELECT coalesce(t.event_id, s.event_id) AS event_id,
+  CASE WHEN t.event_id IS NOT NULL THEN 'run_1' ELSE 'run_2' END AS etl_run_id,
+  CASE WHEN t.event_id IS NOT NULL THEN 'previous_load' ELSE 'events.parquet' END AS source_file,
+  CASE WHEN s.event_id IS NOT NULL THEN TIMESTAMP '2024-02-01 00:00:00' ELSE TIMESTAMP '2024-01-20 00:00:00' END AS etl_timestamp,
+  coalesce(s.event_type, t.event_type) AS event_type,
+  CASE WHEN s.event_id IS NOT NULL THEN s.is_valid ELSE t.is_valid END AS is_valid
+FROM tgt t FULL OUTER JOIN (SELECT event_id, event_type, is_valid FROM rawv) s ON t.event_id = s.event_id
+"""))
+def upsert_raw_events(spark, sf_dir):
+    raw = P.raw_events(spark, sf_dir)
+    target = (raw.filter(F.col("timestamp") < F.lit(MERGE_CUTOFF).cast("timestamp_ntz"))
+              .withColumn("etl_run_id", F.lit("run_1"))
+              .withColumn("source_file", F.lit("previous_load"))
+              .withColumn("etl_timestamp", F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")))
+    batch = (dedup.keep_first(raw)
+             .withColumn("etl_run_id", F.lit("run_2"))
+             .withColumn("etl_timestamp", F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")))
+    merged = dedup.merge_by_key(target, batch)
+    return merged.select("event_id", "etl_run_id", "source_file", "etl_timestamp", "event_type", "is_valid")
+
+
+@register("incremental_anti_join", O.q(f"""
+SELECT event_id, timestamp FROM pv
+WHERE event_id NOT IN (SELECT event_id FROM pv WHERE timestamp < TIMESTAMP '{MERGE_CUTOFF}')
+"""))
+def incremental_anti_join(spark, sf_dir):
+    pv = P.processed(spark, sf_dir)["page_views"]
+    target = pv.filter(F.col("timestamp") < F.lit(MERGE_CUTOFF).cast("timestamp_ntz"))
+    return dedup.incremental_append(pv.select("event_id", "timestamp"), target)
+
+
+@register("union_by_name", O.q("""
+SELECT event_id, page_url, NULL::VARCHAR AS order_id, NULL::DOUBLE AS total_amount FROM pv
+UNION ALL
+SELECT event_id, NULL, order_id, CAST(total_amount AS DOUBLE) FROM pu
+"""))
+def union_by_name(spark, sf_dir):
+    t = P.processed(spark, sf_dir)
+    a = t["page_views"].select("event_id", "page_url")
+    b = t["purchases"].select("event_id", "order_id", F.col("total_amount").cast("double").alias("total_amount"))
+    return dedup.union_by_name([a, b])

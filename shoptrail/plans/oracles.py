@@ -179,3 +179,32 @@ def q(body: str) -> str:
     """Oracle = shared CTEs + the query body (which may add CTEs with a
     leading comma)."""
     return BASE + body
+
+
+def pct_sql(n: str, d: str, scale: int = 2) -> str:
+    f = 10 ** scale
+    return (f"(CASE WHEN CAST({d} AS DOUBLE) != 0 THEN floor((CAST({n} AS DOUBLE) * {200.0 * f} + CAST({d} AS DOUBLE))"
+            f" / (CAST({d} AS DOUBLE) * 2.0)) / {float(f)} END)")
+
+
+def money_avg_sql(total: str, n: str) -> str:
+    return (f"(CASE WHEN CAST({n} AS DOUBLE) != 0 THEN floor((CAST(CAST({total} * 100 AS BIGINT) AS DOUBLE) * 2.0"
+            f" + CAST({n} AS DOUBLE)) / (CAST({n} AS DOUBLE) * 2.0)) / 100.0 END)")
+
+
+VALID_SQL = f"""COALESCE(customer_id IS NOT NULL AND customer_id != ''
+  AND event_type IN {_in(S.VALID_EVENT_TYPES)}
+  AND (CASE WHEN event_type IN {_in(S.MONEY_EVENT_TYPES)}
+            THEN TRY_CAST(amount AS DECIMAL(38,6)) > 0 AND currency IS NOT NULL AND currency != ''
+            ELSE TRUE END)
+  AND timestamp IS NOT NULL AND timestamp <= {NOW} + INTERVAL 1 HOUR
+  AND declared_valid, FALSE)"""
+
+CATEGORY_SQL = "CASE event_type " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in S.EVENT_CATEGORY.items()) + " END"
+SCORE_SQL = "CASE event_type " + " ".join(
+    f"WHEN '{k}' THEN {v}" for k, v in S.BUSINESS_VALUE_SCORE.items()) + " ELSE 0 END"
+GROUP_SQL = "CASE event_type " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in S.COUNTER_GROUPS.items()) + " END"
+TARGET_SQL = "CASE " + " ".join(
+    f"WHEN event_type IN {_in(ts)} THEN '{t}'" for t, ts in S.TABLE_PRECEDENCE) + f" ELSE '{S.MIXED_TABLE}' END"
