@@ -65,3 +65,21 @@ def running_quality(flagged: DataFrame, keys: list[str], ts: str, tie: str,
     d = running_count(flagged, keys, ts, tie, F.lit(True), "running_processed")
     d = running_count(d, keys, ts, tie, F.col(valid_col), "running_valid")
     return d.withColumn("running_quality_pct", pct("running_valid", "running_processed", 1))
+
+
+def order_line_reconciliation(orders: DataFrame, lineitem: DataFrame, tolerance: str = "0.02") -> DataFrame:
+    """Q8 for order tables: orders whose total differs from the sum of
+    extendedprice x (1 - discount) x (1 + tax) over their lines by more than
+    ``tolerance`` (or that have no lines). Lines are summed per order first
+    (partial aggregation), then joined to orders on the order key."""
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    net = price * (1 - F.col("l_discount").cast("decimal(4,2)")) * (1 + F.col("l_tax").cast("decimal(4,2)"))
+    lines = lineitem.groupBy("l_orderkey").agg(F.sum(net).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    total = F.col("o_totalprice").cast("decimal(12,2)")
+    j = orders.select("o_orderkey", "o_totalprice").join(
+        lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
+    return (j.filter(F.col("_s").isNull() | (F.abs(total - F.col("_s")) > F.lit(tolerance).cast("decimal(4,2)")))
+             .select(F.col("o_orderkey").cast("string").alias("order_id"),
+                     total.cast("double").alias("order_total"),
+                     F.round(F.col("_s"), 2).cast("double").alias("line_total"),
+                     F.coalesce(F.col("_n"), F.lit(0)).cast("long").alias("lines")))

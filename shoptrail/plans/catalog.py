@@ -290,3 +290,130 @@ def union_by_name(spark, sf_dir):
     a = t["page_views"].select("event_id", "page_url")
     b = t["purchases"].select("event_id", "order_id", F.col("total_amount").cast("double").alias("total_amount"))
     return dedup.union_by_name([a, b])
+
+
+@register("order_line_reconcile", """
+WITH l AS (
+  SELECT l_orderkey, SUM(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))
+                         * (1 + CAST(l_tax AS DECIMAL(4,2)))) AS s, COUNT(*) AS n
+  FROM lineitem GROUP BY 1)
+SELECT CAST(o.o_orderkey AS VARCHAR) AS order_id, CAST(CAST(o.o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS order_total,
+       CAST(round(l.s, 2) AS DOUBLE) AS line_total, CAST(coalesce(l.n, 0) AS BIGINT) AS lines
+FROM orders o LEFT JOIN l ON l.l_orderkey = o.o_orderkey
+WHERE l.s IS NULL OR abs(CAST(o.o_totalprice AS DECIMAL(12,2)) - l.s) > 0.02
+""")
+def order_line_reconcile(spark, sf_dir):
+    """Q8 on the order tables: orders whose total is not the sum of their
+    lines' extended price after discount and tax (lines aggregated per order
+    before the join)."""
+    return quality.order_line_reconciliation(P.read_table(spark, sf_dir, "orders"),
+                                             P.read_table(spark, sf_dir, "lineitem"))
+
+
+# --------------------------------------------------------------------------
+# Routing (R1-R7, R9, R6)
+# --------------------------------------------------------------------------
+
+@register("page_views", O.q("""
+SELECT event_id, session_id, customer_id, timestamp, event_type, page_url, page_title, previous_page,
+       time_on_page, scroll_depth, device_type, browser, traffic_source, is_bounce
+FROM pv
+"""))
+def page_views(spark, sf_dir):
+    return P.processed(spark, sf_dir)["page_views"]
+
+
+@register("product_interactions", O.q("""
+SELECT event_id, event_type, session_id, customer_id, timestamp, product_id, product_name, product_category,
+       product_brand, CAST(product_price AS DOUBLE) AS product_price, quantity, variant,
+       CAST(discount_applied AS DOUBLE) AS discount_applied, device_type, page_url
+FROM pi
+"""))
+def product_interactions(spark, sf_dir):
+    d = P.processed(spark, sf_dir)["product_interactions"]
+    return (d.withColumn("product_price", F.col("product_price").cast("double"))
+             .withColumn("discount_applied", F.col("discount_applied").cast("double")))
+
+
+_MONEY = ["subtotal", "tax_amount", "shipping_cost", "discount_amount", "total_amount"]
+
+
+@register("purchases", O.q("""
+SELECT event_id, session_id, customer_id, timestamp, order_id,
+       CAST(1 + pk_k % 3 AS INTEGER) AS item_count,
+       CAST(subtotal AS DOUBLE) AS subtotal, CAST(tax_amount AS DOUBLE) AS tax_amount,
+       CAST(shipping_cost AS DOUBLE) AS shipping_cost, CAST(discount_amount AS DOUBLE) AS discount_amount,
+       CAST(total_amount AS DOUBLE) AS total_amount, currency, payment_method, shipping_method, coupon_code,
+       device_type, is_guest_checkout
+FROM pu JOIN (SELECT event_id, pk_k FROM rawv) USING (event_id)
+"""))
+def purchases(spark, sf_dir):
+    d = P.processed(spark, sf_dir)["purchases"]
+    d = d.withColumn("item_count", F.json_array_length("items").cast("int")).drop("items")
+    for c in _MONEY:
+        d = d.withColumn(c, F.col(c).cast("double"))
+    return d
+
+
+@register("purchase_items", O.q("""
+SELECT purchase_item_id, event_id, order_id, product_id, product_name, category, brand,
+       CAST(price AS DOUBLE) AS price, quantity, CAST(line_total AS DOUBLE) AS line_total
+FROM pit
+"""))
+def purchase_items(spark, sf_dir):
+    d = P.processed(spark, sf_dir)["purchase_items"]
+    return d.withColumn("price", F.col("price").cast("double")).withColumn("line_total", F.col("line_total").cast("double"))
+
+
+@register("searches", O.q("""
+SELECT event_id, session_id, customer_id, timestamp, search_query, search_results_count, search_category,
+       clicked_result_position, device_type, filter_price_min, filter_price_max, filter_brand, filter_rating
+FROM se
+"""))
+def searches(spark, sf_dir):
+    raw = P.raw_events(spark, sf_dir)
+    return route.searches(raw, expand_filters=True).drop("search_filters")
+
+
+@register("user_engagement", O.q("""
+SELECT event_id, event_type, session_id, customer_id, timestamp, device_type, product_id, rating, review_text,
+       is_verified_purchase, CAST(shared_content AS VARCHAR) AS shared_content,
+       CAST(share_platform AS VARCHAR) AS share_platform, CAST(shared_url AS VARCHAR) AS shared_url,
+       email, subscription_type
+FROM ue
+"""))
+def user_engagement(spark, sf_dir):
+    return P.processed(spark, sf_dir)["user_engagement"]
+
+
+@register("table_routing", O.q(f"""
+SELECT {O.TARGET_SQL} AS target_table, COUNT(*) AS events,
+       COUNT(*) FILTER (WHERE is_valid) AS valid_events
+FROM rawv GROUP BY 1
+"""))
+def table_routing(spark, sf_dir):
+    raw = P.raw_events(spark, sf_dir)
+    return (raw.groupBy(route.target_table().alias("target_table"))
+               .agg(F.count(F.lit(1)).alias("events"),
+                    F.count_if(F.col("is_valid") == F.lit(True)).alias("valid_events")))
+
+
+@register("batch_table_choice", O.q(f"""
+, b AS (SELECT 'day_' || strftime(CAST(ingestion_time AS DATE), '%Y%m%d') AS source_file,
+               list_sort(list_distinct(list(event_type))) AS event_types
+        FROM rawv WHERE event_type IN ('SEARCH', 'REVIEW', 'NEWSLETTER_SIGNUP', 'PURCHASE') GROUP BY 1)
+SELECT source_file, event_types,
+  CASE WHEN list_has_any(event_types, ['PAGE_VIEW']) THEN 'PAGE_VIEWS'
+       WHEN list_has_any(event_types, ['PRODUCT_VIEW','ADD_TO_CART','REMOVE_FROM_CART','ADD_TO_WISHLIST']) THEN 'PRODUCT_INTERACTIONS'
+       WHEN list_has_any(event_types, ['PURCHASE']) THEN 'PURCHASES'
+       WHEN list_has_any(event_types, ['SEARCH']) THEN 'SEARCHES'
+       WHEN list_has_any(event_types, ['REVIEW','RATING','SHARE','NEWSLETTER_SIGNUP','ACCOUNT_UPDATE']) THEN 'USER_ENGAGEMENT'
+       ELSE 'MIXED_EVENTS' END AS target_table
+FROM b
+"""))
+def batch_table_choice(spark, sf_dir):
+    """R6 batch form over daily files of the non-page, non-product stream."""
+    raw = P.raw_events(spark, sf_dir)
+    files = (raw.filter(F.col("event_type").isin("SEARCH", "REVIEW", "NEWSLETTER_SIGNUP", "PURCHASE"))
+                .withColumn("source_file", F.concat(F.lit("day_"), F.date_format("ingestion_time", "yyyyMMdd"))))
+    return route.batch_table_choice(files, "source_file")
