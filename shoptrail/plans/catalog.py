@@ -417,3 +417,117 @@ def batch_table_choice(spark, sf_dir):
     files = (raw.filter(F.col("event_type").isin("SEARCH", "REVIEW", "NEWSLETTER_SIGNUP", "PURCHASE"))
                 .withColumn("source_file", F.concat(F.lit("day_"), F.date_format("ingestion_time", "yyyyMMdd"))))
     return route.batch_table_choice(files, "source_file")
+
+
+# --------------------------------------------------------------------------
+# Rollups and views
+# --------------------------------------------------------------------------
+
+@register("sessions", O.q(O.SESSIONS_CTE + " SELECT * FROM ses"))
+def sessions(spark, sf_dir):
+    return rollups.sessions(P.raw_events(spark, sf_dir))
+
+
+@register("customers_360", O.q(O.ORDERS_CTE + f"""
+, per AS (SELECT customer_id, COUNT(*) AS n, SUM(total_amount) AS spent,
+                 MAX(CAST(timestamp AS DATE)) AS last_purchase_date FROM op GROUP BY 1)
+SELECT cu.customer_id, cu.full_name, cu.customer_segment, cu.country,
+  CAST(coalesce(per.n, 0) AS INTEGER) AS total_orders,
+  CAST(coalesce(per.spent, 0) AS DOUBLE) AS total_spent,
+  coalesce({O.money_avg_sql("coalesce(per.spent, 0)", "coalesce(per.n, 0)")}, 0.0) AS avg_order_value,
+  per.last_purchase_date,
+  CAST(date_diff('day', per.last_purchase_date, DATE '{ORDERS_TODAY}') AS INTEGER) AS days_since_last_purchase
+FROM cu LEFT JOIN per USING (customer_id)
+"""))
+def customers_360(spark, sf_dir):
+    return rollups.customers_360(P.order_purchases(spark, sf_dir), P.customer_dim(spark, sf_dir), ORDERS_TODAY)
+
+
+@register("customer_journey", O.q(O.JOURNEY_CTE + " SELECT * FROM jr"))
+def customer_journey(spark, sf_dir):
+    t = P.processed(spark, sf_dir)
+    j = views.customer_journey(rollups.sessions(P.raw_events(spark, sf_dir)), t["purchases"])
+    return j.withColumn("purchase_amount", F.col("purchase_amount").cast("double"))
+
+
+@register("top_customers", O.q(O.JOURNEY_CTE + """
+SELECT customer_id, COUNT(DISTINCT session_id) AS total_sessions,
+  COUNT(DISTINCT session_id) FILTER (WHERE converted) AS converted_sessions,
+  CAST(coalesce(SUM(purchase_amount), 0) AS DOUBLE) AS total_revenue
+FROM jr GROUP BY 1 ORDER BY total_revenue DESC NULLS LAST, customer_id ASC NULLS LAST LIMIT 10
+"""))
+def top_customers(spark, sf_dir):
+    j = customer_journey(spark, sf_dir)
+    return rollups.top_customers(j, 10)
+
+
+_PP_SIDES = """
+, inter AS (SELECT product_id, product_name, product_category, product_brand,
+                   COUNT(*) FILTER (WHERE event_type = 'PRODUCT_VIEW') AS views,
+                   COUNT(*) FILTER (WHERE event_type = 'ADD_TO_CART') AS cart_adds
+            FROM pi GROUP BY 1, 2, 3, 4),
+it AS (SELECT product_id, COUNT(DISTINCT order_id) AS purchases, SUM(quantity) AS q, SUM(line_total) AS rev
+       FROM pit GROUP BY 1),
+pp AS (
+  SELECT i.product_id, product_name, product_category, product_brand, views, cart_adds,
+    coalesce(purchases, 0) AS purchases, CAST(q AS BIGINT) AS units_sold, CAST(rev AS DOUBLE) AS revenue,
+    """ + O.pct_sql("cart_adds", "views") + """ AS view_to_cart_rate,
+    """ + O.pct_sql("coalesce(purchases, 0)", "cart_adds") + """ AS cart_to_purchase_rate
+  FROM inter i LEFT JOIN it USING (product_id))
+"""
+
+
+@register("product_performance", O.q(_PP_SIDES + " SELECT * FROM pp"))
+def product_performance(spark, sf_dir):
+    t = P.processed(spark, sf_dir)
+    return views.product_performance(t["product_interactions"], t["purchase_items"])
+
+
+@register("product_performance_literal", O.q("""
+SELECT pi.product_id, pi.product_name, pi.product_category, pi.product_brand,
+  COUNT(CASE WHEN pi.event_type = 'PRODUCT_VIEW' THEN 1 END) AS views,
+  COUNT(CASE WHEN pi.event_type = 'ADD_TO_CART' THEN 1 END) AS cart_adds,
+  COUNT(DISTINCT pit.order_id) AS purchases,
+  CAST(SUM(pit.quantity) AS BIGINT) AS units_sold,
+  CAST(SUM(pit.line_total) AS DOUBLE) AS revenue,
+  """ + O.pct_sql("COUNT(CASE WHEN pi.event_type = 'ADD_TO_CART' THEN 1 END)",
+                  "COUNT(CASE WHEN pi.event_type = 'PRODUCT_VIEW' THEN 1 END)") + """ AS view_to_cart_rate,
+  """ + O.pct_sql("COUNT(DISTINCT pit.order_id)", "COUNT(CASE WHEN pi.event_type = 'ADD_TO_CART' THEN 1 END)") + """ AS cart_to_purchase_rate
+FROM pi LEFT JOIN pit ON pi.product_id = pit.product_id
+GROUP BY pi.product_id, pi.product_name, pi.product_category, pi.product_brand
+"""))
+def product_performance_literal(spark, sf_dir):
+    t = P.processed(spark, sf_dir)
+    return views.product_performance_literal(t["product_interactions"], t["purchase_items"])
+
+
+@register("top_products", O.q(_PP_SIDES + """
+SELECT * FROM pp ORDER BY revenue DESC NULLS LAST, product_id ASC LIMIT 10
+"""))
+def top_products(spark, sf_dir):
+    pp = product_performance(spark, sf_dir)
+    return metrics.latest(pp, 10, [F.col("revenue").desc_nulls_last(), F.col("product_id").asc()])
+
+
+_DAY = f"CAST(timestamp AS DATE) = DATE '{FIXTURE_TODAY}'"
+
+
+@register("realtime_metrics", O.q(f"""
+SELECT COUNT(*) AS total_events_today, COUNT(DISTINCT customer_id) AS unique_customers_today,
+  COUNT(DISTINCT session_id) AS unique_sessions_today,
+  COUNT(*) FILTER (WHERE event_type = 'PAGE_VIEW') AS page_views_today,
+  COUNT(*) FILTER (WHERE event_type IN ('PRODUCT_VIEW', 'ADD_TO_CART', 'REMOVE_FROM_CART')) AS product_interactions_today,
+  (SELECT COUNT(*) FROM pu WHERE {_DAY}) AS purchases_today,
+  (SELECT COUNT(*) FROM se WHERE {_DAY}) AS searches_today,
+  (SELECT CAST(SUM(total_amount) AS DOUBLE) FROM pu WHERE {_DAY}) AS revenue_today
+FROM (
+  SELECT 'PAGE_VIEW' AS event_type, customer_id, session_id FROM pv WHERE {_DAY}
+  UNION ALL SELECT event_type, customer_id, session_id FROM pi WHERE {_DAY}
+  UNION ALL SELECT 'PURCHASE', customer_id, session_id FROM pu WHERE {_DAY}
+  UNION ALL SELECT 'SEARCH', customer_id, session_id FROM se WHERE {_DAY}
+  UNION ALL SELECT event_type, customer_id, session_id FROM ue WHERE {_DAY})
+"""))
+def realtime_metrics(spark, sf_dir):
+    t = P.processed(spark, sf_dir)
+    return views.realtime_metrics(t["page_views"], t["product_interactions"], t["purchases"],
+                                  t["searches"], t["user_engagement"], FIXTURE_TODAY)

@@ -208,3 +208,44 @@ GROUP_SQL = "CASE event_type " + " ".join(
     f"WHEN '{k}' THEN '{v}'" for k, v in S.COUNTER_GROUPS.items()) + " END"
 TARGET_SQL = "CASE " + " ".join(
     f"WHEN event_type IN {_in(ts)} THEN '{t}'" for t, ts in S.TABLE_PRECEDENCE) + f" ELSE '{S.MIXED_TABLE}' END"
+
+
+ROUTED = (S.PAGE_VIEW_TYPES + S.PRODUCT_INTERACTION_TYPES + S.PURCHASE_TYPES + S.SEARCH_TYPES
+          + S.USER_ENGAGEMENT_TYPES)
+
+SESSIONS_CTE = f"""
+, sv AS (SELECT * FROM rawv WHERE is_valid AND session_id IS NOT NULL AND event_type IN {_in(ROUTED)}),
+ses AS (
+  SELECT session_id, min(customer_id) AS customer_id, min(timestamp) AS start_time, max(timestamp) AS end_time,
+    CAST((epoch_us(max(timestamp)) - epoch_us(min(timestamp))) // 1000000 AS INTEGER) AS duration_seconds,
+    arg_min(device_type, struct_pack(t := timestamp, e := event_id)) AS device_type,
+    arg_min(traffic_source, struct_pack(t := timestamp, e := event_id)) FILTER (WHERE event_type = 'PAGE_VIEW') AS traffic_source,
+    arg_min(page_url, struct_pack(t := timestamp, e := event_id)) FILTER (WHERE event_type = 'PAGE_VIEW') AS landing_page,
+    arg_max(page_url, struct_pack(t := timestamp, e := event_id)) FILTER (WHERE event_type = 'PAGE_VIEW') AS exit_page,
+    CAST(count(*) FILTER (WHERE event_type = 'PAGE_VIEW') AS INTEGER) AS page_views,
+    CAST(count(DISTINCT page_url) FILTER (WHERE event_type = 'PAGE_VIEW') AS INTEGER) AS unique_pages,
+    CASE WHEN count(*) FILTER (WHERE event_type = 'PAGE_VIEW') = 1 THEN 1.0 ELSE 0.0 END AS bounce_rate,
+    bool_or(event_type = 'PURCHASE') AS conversion_flag,
+    CAST(coalesce(sum(total_amount) FILTER (WHERE event_type = 'PURCHASE'), 0) AS DOUBLE) AS total_purchase_amount
+  FROM sv GROUP BY session_id)
+"""
+
+JOURNEY_CTE = SESSIONS_CTE + """
+, jr AS (
+  SELECT s.customer_id, s.session_id, s.start_time, s.duration_seconds, s.page_views, s.device_type, s.traffic_source,
+    p.order_id IS NOT NULL AS converted, CAST(p.total_amount AS DOUBLE) AS purchase_amount,
+    ROW_NUMBER() OVER (PARTITION BY coalesce(s.customer_id, chr(0))
+                       ORDER BY s.start_time ASC NULLS LAST, s.session_id ASC NULLS LAST, p.order_id ASC NULLS LAST) AS session_sequence
+  FROM ses s LEFT JOIN pu p ON s.session_id = p.session_id)
+"""
+
+ORDERS_CTE = """
+, op AS (SELECT 'CUST_' || CAST(o_custkey AS VARCHAR) AS customer_id, CAST(o_orderkey AS VARCHAR) AS order_id,
+                CAST(o_totalprice AS DECIMAL(12,2)) AS total_amount, o_orderdate AS timestamp FROM orders),
+oi AS (SELECT CAST(l.l_orderkey AS VARCHAR) AS order_id, 'PROD_' || CAST(l.l_partkey AS VARCHAR) AS product_id,
+              CAST(l.l_extendedprice AS DECIMAL(12,2)) AS line_total, p.p_type AS category
+       FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey),
+cu AS (SELECT 'CUST_' || CAST(c.c_custkey AS VARCHAR) AS customer_id, c.c_name AS full_name,
+              c.c_mktsegment AS customer_segment, n.n_name AS country
+       FROM customer c LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey)
+"""

@@ -68,3 +68,13 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_tax").cast("decimal(4,2)").alias("tax"))
     dim = product_dim(spark, sf_dir).drop("price")
     return li.join(dim, "product_id", "left")
+
+
+def customer_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer dimension: CUST_<custkey>, name, segment, country name."""
+    c = read_table(spark, sf_dir, "customer")
+    n = read_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country"))
+    return c.join(n, "c_nationkey", "left").select(
+        F.concat(F.lit("CUST_"), F.col("c_custkey").cast("string")).alias("customer_id"),
+        F.col("c_name").alias("full_name"), F.col("c_mktsegment").alias("customer_segment"), "country")
