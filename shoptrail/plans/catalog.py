@@ -531,3 +531,255 @@ def realtime_metrics(spark, sf_dir):
     t = P.processed(spark, sf_dir)
     return views.realtime_metrics(t["page_views"], t["product_interactions"], t["purchases"],
                                   t["searches"], t["user_engagement"], FIXTURE_TODAY)
+
+
+# --------------------------------------------------------------------------
+# KPIs, reports, top-k
+# --------------------------------------------------------------------------
+
+@register("event_rate", O.q("""
+SELECT time_bucket(INTERVAL 1 MINUTE, timestamp) AS window_start,
+       time_bucket(INTERVAL 1 MINUTE, timestamp) + INTERVAL 1 MINUTE AS window_end, COUNT(*) AS events
+FROM rawv GROUP BY 1, 2
+"""))
+def event_rate(spark, sf_dir):
+    return metrics.event_rate(P.raw_events(spark, sf_dir))
+
+
+@register("type_distribution", O.q(f"""
+SELECT event_type, COUNT(*) AS events, {O.GROUP_SQL} AS counter_group,
+       {O.pct_sql("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS share_pct
+FROM rawv GROUP BY event_type
+"""))
+def type_distribution(spark, sf_dir):
+    return metrics.type_distribution(P.raw_events(spark, sf_dir))
+
+
+@register("daily_volume", O.q(f"""
+SELECT CAST(timestamp AS DATE) AS day, COUNT(*) AS events FROM rawv
+WHERE CAST(timestamp AS DATE) < DATE '{FIXTURE_TODAY}' AND CAST(timestamp AS DATE) >= DATE '{FIXTURE_TODAY}' - INTERVAL 7 DAY
+GROUP BY 1
+"""))
+def daily_volume(spark, sf_dir):
+    return metrics.daily_volume(P.raw_events(spark, sf_dir), FIXTURE_TODAY, 7)
+
+
+_WEEKS = O.ORDERS_CTE + """
+, wk AS (SELECT CAST(date_trunc('week', timestamp) AS DATE) AS week_start, total_amount FROM op)
+"""
+
+
+@register("weekly_revenue", O.q(_WEEKS + f"""
+SELECT week_start, CAST(SUM(total_amount) AS DOUBLE) AS revenue, COUNT(*) AS orders FROM wk
+WHERE week_start < CAST(date_trunc('week', DATE '{ORDERS_TODAY}') AS DATE)
+  AND week_start >= CAST(date_trunc('week', DATE '{ORDERS_TODAY}') AS DATE) - INTERVAL 28 DAY
+GROUP BY 1
+"""))
+def weekly_revenue(spark, sf_dir):
+    return metrics.weekly_revenue(P.order_purchases(spark, sf_dir), ORDERS_TODAY, 4)
+
+
+@register("growth_rate", O.q(_WEEKS + """
+, w AS (SELECT week_start, CAST(SUM(total_amount) AS DOUBLE) AS revenue FROM wk GROUP BY 1),
+g AS (SELECT week_start, revenue, lag(revenue) OVER (ORDER BY week_start) AS previous FROM w)
+SELECT week_start, revenue, previous,
+  CASE WHEN CAST(CAST(previous * 100 AS BIGINT) AS DOUBLE) != 0 THEN
+    floor(((CAST(CAST(revenue * 100 AS BIGINT) AS DOUBLE) - CAST(CAST(previous * 100 AS BIGINT) AS DOUBLE)) * 20000.0
+           + CAST(CAST(previous * 100 AS BIGINT) AS DOUBLE)) / (CAST(CAST(previous * 100 AS BIGINT) AS DOUBLE) * 2.0)) / 100.0
+  END AS growth_pct
+FROM g
+"""))
+def growth_rate(spark, sf_dir):
+    op = P.order_purchases(spark, sf_dir)
+    weeks = (op.groupBy(F.date_trunc("week", F.col("timestamp").cast("timestamp")).cast("date").alias("week_start"))
+               .agg(F.sum("total_amount").cast("double").alias("revenue")))
+    return metrics.growth_rate(weeks, "week_start", "revenue")
+
+
+@register("segment_distribution", O.q(O.ORDERS_CTE + f"""
+SELECT customer_segment, COUNT(*) AS customers, {O.pct_sql("COUNT(*)", "SUM(COUNT(*)) OVER ()")} AS share_pct
+FROM cu GROUP BY 1
+"""))
+def segment_distribution(spark, sf_dir):
+    return metrics.segment_distribution(P.customer_dim(spark, sf_dir))
+
+
+@register("revenue_kpis", O.q(O.ORDERS_CTE + f"""
+SELECT CAST(SUM(total_amount) AS DOUBLE) AS total_revenue, COUNT(*) AS orders,
+       {O.money_avg_sql("SUM(total_amount)", "COUNT(*)")} AS avg_order_value
+FROM op
+"""))
+def revenue_kpis(spark, sf_dir):
+    return metrics.revenue_kpis(P.order_purchases(spark, sf_dir))
+
+
+@register("top_category", O.q(O.ORDERS_CTE + """
+SELECT category, CAST(SUM(line_total) AS DOUBLE) AS revenue FROM oi GROUP BY 1
+ORDER BY revenue DESC NULLS LAST, category ASC NULLS LAST LIMIT 1
+"""))
+def top_category(spark, sf_dir):
+    return metrics.top_category(P.order_items(spark, sf_dir))
+
+
+@register("session_kpis", O.q(O.SESSIONS_CTE + f"""
+, s AS (SELECT COUNT(*) AS sessions, COUNT(*) FILTER (WHERE conversion_flag) AS converted,
+               SUM(duration_seconds) AS dur FROM ses),
+e AS (SELECT COUNT(*) AS events FROM rawv WHERE session_id IS NOT NULL)
+SELECT sessions, converted, {O.pct_sql("converted", "sessions")} AS conversion_rate_pct,
+  floor((CAST(dur AS DOUBLE) * 200.0 + sessions) / (sessions * 2.0)) / 100.0 AS avg_session_seconds,
+  floor((CAST(events AS DOUBLE) * 200.0 + sessions) / (sessions * 2.0)) / 100.0 AS events_per_session
+FROM s, e
+"""))
+def session_kpis(spark, sf_dir):
+    raw = P.raw_events(spark, sf_dir)
+    return metrics.session_kpis(rollups.sessions(raw), raw)
+
+
+@register("storage_share", O.q(f"""
+SELECT storage_type, COUNT(*) AS events, {O.pct_sql("COUNT(*)", "greatest(SUM(COUNT(*)) OVER (), 1)", 1)} AS share_pct
+FROM rawv GROUP BY 1
+"""))
+def storage_share(spark, sf_dir):
+    return metrics.storage_share(P.raw_events(spark, sf_dir))
+
+
+@register("latest_events", O.q("""
+SELECT event_id, event_type, customer_id, ingestion_time, page_url FROM rawv
+ORDER BY ingestion_time DESC NULLS LAST, event_id ASC LIMIT 100
+"""))
+def latest_events(spark, sf_dir):
+    raw = route.with_payload(P.raw_events(spark, sf_dir))
+    top = metrics.latest(raw, 100, [F.col("ingestion_time").desc_nulls_last(), F.col("event_id").asc()])
+    return top.select("event_id", "event_type", "customer_id", "ingestion_time",
+                      F.coalesce(F.col("_p.page_url"), F.lit(None)).alias("page_url"))
+
+
+@register("latest_event", O.q("""
+SELECT event_id, event_type, ingestion_time FROM rawv ORDER BY ingestion_time DESC NULLS LAST, event_id ASC LIMIT 1
+"""))
+def latest_event(spark, sf_dir):
+    return metrics.latest(P.raw_events(spark, sf_dir), 1,
+                          [F.col("ingestion_time").desc_nulls_last(), F.col("event_id").asc()]).select(
+        "event_id", "event_type", "ingestion_time")
+
+
+@register("recent_per_partition", O.q("""
+SELECT * FROM (
+  SELECT partition_id, event_id, ingestion_time,
+         ROW_NUMBER() OVER (PARTITION BY partition_id ORDER BY ingestion_time DESC NULLS LAST, event_id ASC) AS rank
+  FROM rawv) WHERE rank <= 100
+"""))
+def recent_per_partition(spark, sf_dir):
+    raw = P.raw_events(spark, sf_dir).select("partition_id", "event_id", "ingestion_time")
+    return metrics.top_n_per_group(raw, ["partition_id"],
+                                   [F.col("ingestion_time").desc_nulls_last(), F.col("event_id").asc()], 100,
+                                   salt_col=F.pmod(F.xxhash64("event_id"), F.lit(16)))
+
+
+@register("day_event_types", O.q(f"""
+SELECT event_type, COUNT(*) AS events FROM rawv WHERE {_DAY} GROUP BY 1
+"""))
+def day_event_types(spark, sf_dir):
+    from shoptrail.operators.validate import on_day
+    d = on_day(P.raw_events(spark, sf_dir), "timestamp", FIXTURE_TODAY)
+    return d.groupBy("event_type").agg(F.count(F.lit(1)).alias("events")).orderBy(F.col("events").desc())
+
+
+@register("counters", O.q(f"""
+, f AS (SELECT *, {WV} AS ok, {O.GROUP_SQL} AS g FROM raw),
+a AS (SELECT COUNT(*) AS raw_events_count, COUNT(*) FILTER (WHERE ok) AS clean_events_count,
+        COUNT(*) FILTER (WHERE NOT ok) AS invalid_events_count,
+        COUNT(*) FILTER (WHERE g = 'page_views') AS page_views,
+        COUNT(*) FILTER (WHERE g = 'product_interactions') AS product_interactions,
+        COUNT(*) FILTER (WHERE g = 'purchases') AS purchases,
+        COUNT(*) FILTER (WHERE g = 'searches') AS searches,
+        COUNT(*) FILTER (WHERE g = 'user_engagement') AS user_engagement FROM f)
+SELECT counter, CAST(value_i AS DOUBLE) AS value
+FROM (UNPIVOT a ON raw_events_count, clean_events_count, invalid_events_count, page_views,
+               product_interactions, purchases, searches, user_engagement INTO NAME counter VALUE value_i)
+UNION ALL
+SELECT 'data_quality_score', CASE WHEN raw_events_count > 0 THEN
+  {O.pct_sql("clean_events_count", "raw_events_count", 1)} ELSE 100.0 END FROM a
+"""))
+def counters(spark, sf_dir):
+    return metrics.counters(_flagged(spark, sf_dir))
+
+
+@register("cumulative_counts", O.q(f"""
+, f AS (SELECT date_trunc('hour', timestamp) AS bucket, COUNT(*) AS r, COUNT(*) FILTER (WHERE {WV}) AS c
+        FROM raw GROUP BY 1)
+SELECT bucket, CAST(SUM(r) OVER w AS BIGINT) AS cumulative_raw, CAST(SUM(c) OVER w AS BIGINT) AS cumulative_clean
+FROM f WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+ORDER BY bucket DESC LIMIT 20
+"""))
+def cumulative_counts(spark, sf_dir):
+    return metrics.cumulative_counts(_flagged(spark, sf_dir).withColumn("timestamp", F.col("timestamp")))
+
+
+@register("table_counts", O.q("""
+SELECT 'raw_events' AS table_name, COUNT(*) AS row_count FROM rawv
+UNION ALL SELECT 'page_views', COUNT(*) FROM pv
+UNION ALL SELECT 'product_interactions', COUNT(*) FROM pi
+UNION ALL SELECT 'purchases', COUNT(*) FROM pu
+UNION ALL SELECT 'purchase_items', COUNT(*) FROM pit
+UNION ALL SELECT 'searches', COUNT(*) FROM se
+UNION ALL SELECT 'user_engagement', COUNT(*) FROM ue
+"""))
+def table_counts(spark, sf_dir):
+    t = P.processed(spark, sf_dir)
+    return metrics.table_counts({
+        "raw_events": P.raw_events(spark, sf_dir), "page_views": t["page_views"],
+        "product_interactions": t["product_interactions"], "purchases": t["purchases"],
+        "purchase_items": t["purchase_items"], "searches": t["searches"],
+        "user_engagement": t["user_engagement"]})
+
+
+@register("freshness", O.q("""
+SELECT (SELECT MAX(ingestion_time) FROM rawv) AS last_ingestion_time,
+       (SELECT MAX(timestamp) FROM pv) AS last_processed_time
+"""))
+def freshness(spark, sf_dir):
+    t = P.processed(spark, sf_dir)
+    return metrics.freshness(P.raw_events(spark, sf_dir), t["page_views"], created_col="timestamp")
+
+
+@register("etl_stats", O.q("""
+, u AS (SELECT event_id, timestamp, event_type, 0 AS src FROM rawv
+        UNION ALL SELECT event_id, timestamp, event_type, 1 FROM rawv WHERE storage_type = 'duckdb'),
+a AS (SELECT COUNT(*) FILTER (WHERE src = 0) AS extracted_files, COUNT(*) FILTER (WHERE src = 1) AS extracted_store,
+             COUNT(*) AS total_extracted FROM u),
+d AS (SELECT COUNT(*) AS loaded,
+             COUNT(*) FILTER (WHERE event_id IS NULL) + COUNT(*) FILTER (WHERE event_type IS NULL)
+             + COUNT(*) FILTER (WHERE timestamp IS NULL) + COUNT(*) FILTER (WHERE timestamp > TIMESTAMP '""" + FIXTURE_NOW + """') AS quality_issues
+      FROM rawv)
+SELECT extracted_files, extracted_store, total_extracted, total_extracted - loaded AS duplicates_removed,
+       quality_issues, loaded FROM a, d
+"""))
+def etl_stats(spark, sf_dir):
+    from shoptrail.plans.etl import etl_statistics
+    return etl_statistics(_two_sources(spark, sf_dir), as_of=FIXTURE_NOW)
+
+
+@register("load_statistics", O.q(f"""
+SELECT
+  (SELECT COUNT(*) FROM rawv WHERE CAST(ingestion_time AS DATE) = DATE '{FIXTURE_TODAY}') AS raw_events_today,
+  (SELECT COUNT(*) FROM pv WHERE {_DAY}) AS page_views_today,
+  (SELECT COUNT(*) FROM pi WHERE {_DAY}) AS product_interactions_today,
+  (SELECT COUNT(*) FROM pu WHERE {_DAY}) AS purchases_today,
+  (SELECT COUNT(*) FROM se WHERE {_DAY}) AS searches_today,
+  (SELECT COUNT(*) FILTER (WHERE is_valid) FROM rawv WHERE CAST(ingestion_time AS DATE) = DATE '{FIXTURE_TODAY}') AS valid_today,
+  (SELECT {O.pct_sql("COUNT(*) FILTER (WHERE is_valid)", "COUNT(*)")} FROM rawv
+     WHERE CAST(ingestion_time AS DATE) = DATE '{FIXTURE_TODAY}') AS quality_score_pct
+"""))
+def load_statistics(spark, sf_dir):
+    from shoptrail.plans.etl import load_statistics as ls
+    t = P.processed(spark, sf_dir)
+    return ls(P.raw_events(spark, sf_dir), t, FIXTURE_TODAY)
+
+
+@register("file_stats")
+def file_stats(spark, sf_dir):
+    """A13 over the driver's own Parquet files (rows only: file metadata has
+    no SQL twin)."""
+    paths = [f"{sf_dir}/{t}.parquet" for t in ("events", "orders", "lineitem", "part", "customer")]
+    return metrics.file_stats(spark.read.option("mergeSchema", "false").parquet(*paths).select("_metadata"))
