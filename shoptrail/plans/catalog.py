@@ -161,7 +161,7 @@ def dq_future_ts(spark, sf_dir):
 def _two_sources(spark, sf_dir):
     """Files (every landed event) + the local store (its half of the two-way
     split, re-ingested a day later): the ETL's two extracts."""
-    raw = P.raw_events(spark, sf_dir)
+    raw = P.landed_raw_events(spark, sf_dir)
     files = raw.withColumn("source_rank", F.lit(0))
     store = (raw.filter(F.col("storage_type") == "duckdb")
              .withColumn("source_file", F.lit("duckdb"))
@@ -445,8 +445,9 @@ def customers_360(spark, sf_dir):
 
 @register("customer_journey", O.q(O.JOURNEY_CTE + " SELECT * FROM jr"))
 def customer_journey(spark, sf_dir):
-    t = P.processed(spark, sf_dir)
-    j = views.customer_journey(rollups.sessions(P.raw_events(spark, sf_dir)), t["purchases"])
+    raw = P.landed_raw_events(spark, sf_dir)
+    t = P.processed(spark, sf_dir, raw)
+    j = views.customer_journey(rollups.sessions(raw), t["purchases"])
     return j.withColumn("purchase_amount", F.col("purchase_amount").cast("double"))
 
 
@@ -631,7 +632,7 @@ SELECT sessions, converted, {O.pct_sql("converted", "sessions")} AS conversion_r
 FROM s, e
 """))
 def session_kpis(spark, sf_dir):
-    raw = P.raw_events(spark, sf_dir)
+    raw = P.landed_raw_events(spark, sf_dir)
     return metrics.session_kpis(rollups.sessions(raw), raw)
 
 
@@ -726,9 +727,10 @@ UNION ALL SELECT 'searches', COUNT(*) FROM se
 UNION ALL SELECT 'user_engagement', COUNT(*) FROM ue
 """))
 def table_counts(spark, sf_dir):
-    t = P.processed(spark, sf_dir)
+    raw = P.landed_raw_events(spark, sf_dir)
+    t = P.processed(spark, sf_dir, raw)
     return metrics.table_counts({
-        "raw_events": P.raw_events(spark, sf_dir), "page_views": t["page_views"],
+        "raw_events": raw, "page_views": t["page_views"],
         "product_interactions": t["product_interactions"], "purchases": t["purchases"],
         "purchase_items": t["purchase_items"], "searches": t["searches"],
         "user_engagement": t["user_engagement"]})
@@ -739,8 +741,9 @@ SELECT (SELECT MAX(ingestion_time) FROM rawv) AS last_ingestion_time,
        (SELECT MAX(timestamp) FROM pv) AS last_processed_time
 """))
 def freshness(spark, sf_dir):
-    t = P.processed(spark, sf_dir)
-    return metrics.freshness(P.raw_events(spark, sf_dir), t["page_views"], created_col="timestamp")
+    raw = P.landed_raw_events(spark, sf_dir)
+    t = P.processed(spark, sf_dir, raw)
+    return metrics.freshness(raw, t["page_views"], created_col="timestamp")
 
 
 @register("etl_stats", O.q("""
@@ -773,8 +776,8 @@ SELECT
 """))
 def load_statistics(spark, sf_dir):
     from shoptrail.plans.etl import load_statistics as ls
-    t = P.processed(spark, sf_dir)
-    return ls(P.raw_events(spark, sf_dir), t, FIXTURE_TODAY)
+    raw = P.landed_raw_events(spark, sf_dir)
+    return ls(raw, P.processed(spark, sf_dir, raw), FIXTURE_TODAY)
 
 
 @register("file_stats")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.operators import route
 from shoptrail.operators.land import to_raw_events
+from shoptrail.session import ensure_checkpoint_dir
 from shoptrail.sources.fixtures import FIXTURE_NOW, raw_event_stream, read_table
 
 
@@ -19,12 +20,23 @@ def wire_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW_EVENTS landed from the whole ``events`` table."""
+    """RAW_EVENTS landed from the whole ``events`` table (lazy plan)."""
     return to_raw_events(wire_events(spark, sf_dir), as_of=FIXTURE_NOW)
 
 
-def processed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw = raw_events(spark, sf_dir)
+def landed_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RAW_EVENTS written once and read back, as the pipeline's landing table.
+
+    Plans that fan out into several routed tables read this instead of
+    re-deriving the landing step per branch. It is a reliable checkpoint in
+    the shared folder named by ``spark.checkpoint.dir`` (survives executor
+    loss; cuts the lineage)."""
+    ensure_checkpoint_dir(spark)
+    return raw_events(spark, sf_dir).checkpoint(eager=True)
+
+
+def processed(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> dict[str, DataFrame]:
+    raw = raw if raw is not None else landed_raw_events(spark, sf_dir)
     buys = route.purchases(raw)
     return {
         "page_views": route.page_views(raw),

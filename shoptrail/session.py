@@ -19,6 +19,7 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.parquet.compression.codec": "snappy",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
