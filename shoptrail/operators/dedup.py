@@ -56,6 +56,14 @@ def union_by_name(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def side_by_side(frames: list[DataFrame]) -> DataFrame:
+    """Combine one-row aggregates into one row without a join: union them by
+    name (each frame fills only its own columns) and take ``max`` per column,
+    which picks the single non-NULL value."""
+    u = union_by_name(frames)
+    return u.agg(*[F.max(c).alias(c) for c in u.columns])
+
+
 def merge_by_key(target: DataFrame, source: DataFrame, key: str = "event_id",
                  update_cols: list[str] | None = None) -> DataFrame:
     """MERGE source into target on ``key``; returns the new table.

@@ -69,7 +69,8 @@ def session_kpis(sessions: DataFrame, raw: DataFrame) -> DataFrame:
                      F.count_if(F.col("conversion_flag")).alias("converted"),
                      F.sum("duration_seconds").alias("_dur"))
     e = raw.filter(F.col("session_id").isNotNull()).agg(F.count(F.lit(1)).alias("_events"))
-    j = s.crossJoin(e)  # two one-row aggregates
+    from shoptrail.operators.dedup import side_by_side
+    j = side_by_side([s, e])
     return j.select("sessions", "converted",
                     pct("converted", "sessions").alias("conversion_rate_pct"),
                     (F.floor((F.col("_dur").cast("double") * 200.0 + F.col("sessions")) / (F.col("sessions") * 2.0)) / 100.0).alias("avg_session_seconds"),
@@ -123,10 +124,11 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
 
 def freshness(raw: DataFrame, page_views: DataFrame, created_col: str = "created_at") -> DataFrame:
     """Newest ingestion time and newest processed row, as one row
-    (two one-row aggregates side by side; no base-table product)."""
+    (two one-row aggregates side by side; no join at all)."""
+    from shoptrail.operators.dedup import side_by_side
     a = raw.agg(F.max("ingestion_time").alias("last_ingestion_time"))
     b = page_views.agg(F.max(created_col).alias("last_processed_time"))
-    return a.crossJoin(b)
+    return side_by_side([a, b])
 
 
 def counters(wire: DataFrame, valid_flag: str = "is_valid_event") -> DataFrame:

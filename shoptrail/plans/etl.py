@@ -31,7 +31,7 @@ def etl_statistics(extracted: DataFrame, as_of=None) -> DataFrame:
         (F.count_if(F.col("event_id").isNull()) + F.count_if(F.col("event_type").isNull())
          + F.count_if(F.col("timestamp").isNull())
          + F.count_if(F.col("timestamp") > as_of_ts(as_of))).alias("quality_issues"))
-    j = a.crossJoin(d)  # two one-row aggregates
+    j = dedup.side_by_side([a, d])
     return j.select("extracted_files", "extracted_store", "total_extracted",
                     (F.col("total_extracted") - F.col("loaded")).alias("duplicates_removed"),
                     "quality_issues", "loaded")
@@ -42,10 +42,10 @@ def load_statistics(raw: DataFrame, tables: dict[str, DataFrame], day) -> DataFr
     raw_day = raw.filter(F.to_date("ingestion_time") == F.lit(str(day)).cast("date"))
     r = raw_day.agg(F.count(F.lit(1)).alias("raw_events_today"),
                     F.count_if(F.col("is_valid") == F.lit(True)).alias("valid_today"))
-    out = r
+    parts = [r]
     for name in ["page_views", "product_interactions", "purchases", "searches"]:
-        c = on_day(tables[name], "timestamp", day).agg(F.count(F.lit(1)).alias(f"{name}_today"))
-        out = out.crossJoin(c)
+        parts.append(on_day(tables[name], "timestamp", day).agg(F.count(F.lit(1)).alias(f"{name}_today")))
+    out = dedup.side_by_side(parts)
     return out.select("raw_events_today", "page_views_today", "product_interactions_today",
                       "purchases_today", "searches_today", "valid_today",
                       pct("valid_today", "raw_events_today").alias("quality_score_pct"))

@@ -6,12 +6,14 @@ Nothing here collects; each function returns a DataFrame.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.operators import route
 from shoptrail.operators.land import to_raw_events
-from shoptrail.session import ensure_checkpoint_dir
+from shoptrail.session import scratch_path
 from shoptrail.sources.fixtures import FIXTURE_NOW, raw_event_stream, read_table
 
 
@@ -25,14 +27,19 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RAW_EVENTS written once and read back, as the pipeline's landing table.
+    """RAW_EVENTS written once as a Parquet table and read back, as the
+    pipeline's landing table.
 
     Plans that fan out into several routed tables read this instead of
-    re-deriving the landing step per branch. It is a reliable checkpoint in
-    the shared folder named by ``spark.checkpoint.dir`` (survives executor
-    loss; cuts the lineage)."""
-    ensure_checkpoint_dir(spark)
-    return raw_events(spark, sf_dir).checkpoint(eager=True)
+    re-deriving the landing step per branch. The table lives in the shared
+    folder named by ``spark.checkpoint.dir`` (it survives executor loss and
+    cuts the lineage); being Parquet, later filters and projections push
+    down into its scan, and rows are sorted by event time within each file
+    so row-group statistics prune time-range filters."""
+    path = scratch_path(spark, f"landed/raw_events-{uuid.uuid4().hex}")
+    (raw_events(spark, sf_dir).sortWithinPartitions("timestamp")
+        .write.mode("overwrite").parquet(path))
+    return spark.read.parquet(path)
 
 
 def processed(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> dict[str, DataFrame]:
