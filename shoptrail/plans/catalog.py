@@ -786,3 +786,164 @@ def file_stats(spark, sf_dir):
     no SQL twin)."""
     paths = [f"{sf_dir}/{t}.parquet" for t in ("events", "orders", "lineitem", "part", "customer")]
     return metrics.file_stats(spark.read.option("mergeSchema", "false").parquet(*paths).select("_metadata"))
+
+
+# --------------------------------------------------------------------------
+# Projections and small enrichments
+# --------------------------------------------------------------------------
+
+@register("silver_events", O.q(f"""
+SELECT event_id AS EVENT_ID, customer_id AS CUSTOMER_ID, event_type AS EVENT_TYPE, amount AS AMOUNT,
+       currency AS CURRENCY, strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f') AS EVENT_TIMESTAMP
+FROM raw WHERE {WV}
+"""))
+def silver_events(spark, sf_dir):
+    valid, _ = validate.split_valid(P.wire_events(spark, sf_dir), as_of=FIXTURE_NOW)
+    return validate.silver_projection(valid)
+
+
+@register("search_filters_flat", O.q("""
+SELECT event_id, search_query, filter_price_min AS search_filters_price_min,
+       filter_price_max AS search_filters_price_max, filter_brand AS search_filters_brand,
+       filter_rating AS search_filters_rating
+FROM se
+"""))
+def search_filters_flat(spark, sf_dir):
+    raw = P.raw_events(spark, sf_dir)
+    d = route.with_payload(raw.filter((F.col("event_type") == "SEARCH") & (F.col("is_valid") == F.lit(True))))
+    nested = d.select("event_id", F.col("_p.search_query").alias("search_query"),
+                      F.col("_p.search_filters").alias("search_filters"))
+    return validate.flatten(nested)
+
+
+@register("display_summary", O.q("""
+SELECT event_id, event_type,
+  CASE WHEN event_type = 'PURCHASE'
+         THEN '{"total_amount":' || CAST(total_amount AS VARCHAR) || ',"order_id":"' || order_id || '"}'
+       WHEN event_type = 'SEARCH'
+         THEN '{"query":"' || search_query || '","results":' || CAST(search_results_count AS VARCHAR) || '}'
+       WHEN page_url IS NULL THEN '{}'
+       ELSE '{"page_url":"' || page_url || '"}' END AS summary
+FROM rawv WHERE is_valid
+"""))
+def display_summary(spark, sf_dir):
+    raw = P.raw_events(spark, sf_dir).filter(F.col("is_valid") == F.lit(True))
+    return validate.display_summary(raw).select("event_id", "event_type", "summary")
+
+
+@register("product_catalog", """
+SELECT 'PROD_' || CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name, p_type AS category,
+       p_brand AS brand, CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS DOUBLE) AS price,
+       '/product/' || lower('PROD_' || CAST(p_partkey AS VARCHAR)) AS product_url
+FROM part
+""")
+def product_catalog(spark, sf_dir):
+    from shoptrail.functions.events import product_url
+    dim = P.product_dim(spark, sf_dir)
+    return dim.select("product_id", "product_name", "category", "brand",
+                      F.col("price").cast("double").alias("price"), product_url("product_id").alias("product_url"))
+
+
+@register("quality_bands", O.q("""
+, d AS (SELECT CAST(ingestion_time AS DATE) AS date, """ + O.pct_sql("COUNT(*) FILTER (WHERE is_valid)", "COUNT(*)")
+    + """ AS quality_score_pct FROM rawv GROUP BY 1)
+SELECT date, quality_score_pct,
+  CASE WHEN quality_score_pct >= 90 THEN 'excellent' WHEN quality_score_pct >= 70 THEN 'good' ELSE 'poor' END AS quality_band
+FROM d
+"""))
+def quality_bands(spark, sf_dir):
+    from shoptrail.functions.events import quality_band
+    dq = views.data_quality_summary(P.raw_events(spark, sf_dir), corrected=True)
+    return dq.select("date", "quality_score_pct", quality_band("quality_score_pct").alias("quality_band"))
+
+
+@register("etl_breakdown", O.q("""
+, u AS (SELECT event_id FROM rawv UNION ALL SELECT event_id FROM rawv WHERE storage_type = 'duckdb')
+SELECT (SELECT COUNT(*) FROM u) AS extracted,
+       (SELECT COUNT(*) FROM u) - (SELECT COUNT(*) FROM rawv) AS duplicates,
+       (SELECT COUNT(*) FROM rawv) AS transformed,
+       (SELECT COUNT(*) FROM rawv WHERE is_valid) AS valid,
+       (SELECT COUNT(*) FROM rawv WHERE len(issues) > 0) AS with_issues
+"""))
+def etl_breakdown(spark, sf_dir):
+    """Extracted, duplicates, transformed (= extracted - duplicates),
+    valid and with-issues counts of one ETL run."""
+    both = _two_sources(spark, sf_dir)
+    a = both.agg(F.count(F.lit(1)).alias("extracted"))
+    kept = dedup.keep_first(both)
+    b = kept.agg(F.count(F.lit(1)).alias("transformed"),
+                 F.count_if(F.col("is_valid") == F.lit(True)).alias("valid"),
+                 F.count_if(F.json_array_length("data_quality_issues") > 0).alias("with_issues"))
+    j = dedup.side_by_side([a, b])
+    return j.select("extracted", (F.col("extracted") - F.col("transformed")).alias("duplicates"),
+                    "transformed", "valid", "with_issues")
+
+
+# --------------------------------------------------------------------------
+# Streaming forms (X1, X6, X8) -- run to completion on files Spark derives
+# from the driver tables, checked against the batch twin's SQL
+# --------------------------------------------------------------------------
+
+def _stream_input(spark, sf_dir, replay: bool = False) -> str:
+    """Write the wire events as JSON-lines files (the topic substitute) into
+    a fresh folder under the shared checkpoint location."""
+    import uuid as _uuid
+    from shoptrail.session import scratch_path
+    path = scratch_path(spark, f"streams/input-{_uuid.uuid4().hex}")
+    wire = P.wire_events(spark, sf_dir).select(*[f.name for f in S.FLAT_EVENT_SCHEMA.fields])
+    wire.write.mode("overwrite").json(path)
+    if replay:  # at-least-once delivery: every event arrives a second time
+        spark.read.json(path, schema=S.FLAT_EVENT_SCHEMA).write.mode("append").json(path)
+    return path
+
+
+def _run_stream(spark, df, mode: str = "append"):
+    """Run a streaming query to completion (availableNow) into Parquet in
+    the shared folder and read the result back. Append mode uses the file
+    sink (exactly-once via its commit log); complete mode rewrites the whole
+    result table per micro-batch with ``foreachBatch``. Nothing is held on
+    the driver."""
+    import uuid as _uuid
+    from shoptrail.session import scratch_path
+    name = f"q_{_uuid.uuid4().hex}"
+    out = scratch_path(spark, f"streams/out-{name}")
+    w = (df.writeStream.outputMode(mode)
+         .option("checkpointLocation", scratch_path(spark, f"streams/ckpt-{name}"))
+         .trigger(availableNow=True))
+    if mode == "append":
+        w = w.format("parquet").option("path", out)
+    else:
+        w = w.foreachBatch(lambda batch, _id: batch.write.mode("overwrite").parquet(out))
+    w.start().awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_clean_events", O.q(f"""
+SELECT event_id, event_type, customer_id, {O.CATEGORY_SQL} AS event_category,
+       CAST({O.SCORE_SQL} AS INTEGER) AS business_value_score
+FROM raw WHERE {WV}
+"""))
+def stream_clean_events(spark, sf_dir):
+    from shoptrail.streaming import processor as X
+    src = X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4)
+    out = X.validate_and_enrich(src, as_of=FIXTURE_NOW).filter(F.col("is_valid_event"))
+    return _run_stream(spark, out.select("event_id", "event_type", "customer_id", "event_category",
+                                         "business_value_score"))
+
+
+@register("stream_dedup", O.q("SELECT event_id, event_type FROM raw"))
+def stream_dedup(spark, sf_dir):
+    from shoptrail.streaming import processor as X
+    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir, replay=True)))
+    return _run_stream(spark, X.dedup_stream(src).select("event_id", "event_type"))
+
+
+@register("stream_counters", O.q(f"""
+SELECT coalesce({O.GROUP_SQL}, 'other') AS counter_group, COUNT(*) AS raw_events,
+       COUNT(*) FILTER (WHERE {WV}) AS clean_events, COUNT(*) FILTER (WHERE NOT {WV}) AS invalid_events
+FROM raw GROUP BY 1
+"""))
+def stream_counters(spark, sf_dir):
+    from shoptrail.streaming import processor as X
+    src = X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4)
+    return _run_stream(spark, X.running_counters(X.validate_and_enrich(src, as_of=FIXTURE_NOW)), "complete")
