@@ -63,7 +63,7 @@ def read_newest_files(spark: SparkSession, path: str, files: int = 5, limit: int
     """Rows of the newest ``files`` files by modification time, newest
     first, at most ``limit`` rows. Files are ranked on file metadata, so only
     a per-file aggregate (one row per file) is ordered globally."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    df = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(path)
     meta = df.select(F.col("_metadata.file_path").alias("_fp"),
                      F.col("_metadata.file_modification_time").alias("_mt"))
     newest = meta.distinct().orderBy(F.col("_mt").desc(), F.col("_fp")).limit(files)
