@@ -947,3 +947,74 @@ def stream_counters(spark, sf_dir):
     from shoptrail.streaming import processor as X
     src = X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4)
     return _run_stream(spark, X.running_counters(X.validate_and_enrich(src, as_of=FIXTURE_NOW)), "complete")
+
+
+@register("enriched_events", O.q(f"""
+SELECT event_id, event_type, {WV} AS is_valid_event, {O.CATEGORY_SQL} AS event_category,
+       CAST({O.SCORE_SQL} AS INTEGER) AS business_value_score
+FROM raw
+"""))
+def enriched_events(spark, sf_dir):
+    """X1 batch form: every event with its validity flag and enrichment."""
+    from shoptrail.streaming import processor as X
+    out = X.validate_and_enrich(P.wire_events(spark, sf_dir), as_of=FIXTURE_NOW)
+    return out.select("event_id", "event_type", "is_valid_event", "event_category", "business_value_score")
+
+
+def _processor_routes(spark, sf_dir):
+    import uuid as _uuid
+    from shoptrail.session import scratch_path
+    from shoptrail.streaming import processor as X
+    run = _uuid.uuid4().hex
+    clean, dead = scratch_path(spark, f"streams/clean-{run}"), scratch_path(spark, f"streams/dead-{run}")
+    src = X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4)
+    X.start_processor(spark, src, clean, dead, name=f"processor_{run}",
+                      checkpoint=scratch_path(spark, f"streams/ckpt-processor-{run}"),
+                      available_now=True, as_of=FIXTURE_NOW).awaitTermination()
+    return clean, dead
+
+
+@register("dead_letter", O.q(f"""
+SELECT event_id, event_type, customer_id, invalid_field FROM raw WHERE NOT {WV}
+"""))
+def dead_letter(spark, sf_dir):
+    """The stream processor's dead-letter route, read back."""
+    _, dead = _processor_routes(spark, sf_dir)
+    return spark.read.parquet(dead).select("event_id", "event_type", "customer_id", "invalid_field")
+
+
+@register("stream_event_rate", O.q("""
+SELECT time_bucket(INTERVAL 1 MINUTE, timestamp) AS window_start,
+       time_bucket(INTERVAL 1 MINUTE, timestamp) + INTERVAL 1 MINUTE AS window_end, COUNT(*) AS events
+FROM raw GROUP BY 1, 2
+"""))
+def stream_event_rate(spark, sf_dir):
+    """Tumbling one-minute counts on the stream (complete output)."""
+    from shoptrail.streaming import processor as X
+    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4))
+    out = _run_stream(spark, X.rate_per_minute(src), "complete")
+    return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "events")
+
+
+@register("stream_sessions", O.q("""
+, s0 AS (SELECT customer_id, timestamp, event_type, page_url,
+                lag(timestamp) OVER (PARTITION BY customer_id ORDER BY timestamp, event_id) AS prev
+         FROM raw WHERE customer_id IS NOT NULL),
+s1 AS (SELECT *, SUM(CASE WHEN prev IS NULL OR timestamp - prev >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                 OVER (PARTITION BY customer_id ORDER BY timestamp, event_type, page_url
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sn FROM s0)
+SELECT customer_id, min(timestamp) AS session_start, max(timestamp) + INTERVAL 30 MINUTE AS session_end,
+       COUNT(*) AS events, COUNT(*) FILTER (WHERE event_type = 'PAGE_VIEW') AS page_views,
+       arg_max(page_url, timestamp) FILTER (WHERE event_type = 'PAGE_VIEW') AS last_page
+FROM s1 GROUP BY customer_id, sn
+"""))
+def stream_sessions(spark, sf_dir):
+    """Per-customer 30-minute inactivity sessions with ``session_window``
+    on the stream (complete output), read back from Parquet."""
+    from shoptrail.streaming import processor as X
+    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4))
+    out = _run_stream(spark, X.session_activity(src, gap="30 minutes"), "complete")
+    return out.select("customer_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
+                      F.col("session_end").cast("timestamp_ntz").alias("session_end"),
+                      "events", "page_views", "last_page")
