@@ -155,3 +155,10 @@ def data_quality_summary(raw: DataFrame, corrected: bool = True) -> DataFrame:
                .withColumn("quality_score_pct", pct("valid_events", "total_events"))
                .select("date", "total_events", "valid_events", "invalid_events",
                        "quality_score_pct", "events_with_issues"))
+
+
+def journey_of(journey: DataFrame, customer_id: str) -> DataFrame:
+    """one customer's journey in session order (a point filter that
+    pushes down to the journey's inputs, then a sort of that customer's rows)."""
+    return (journey.filter(F.col("customer_id") == F.lit(customer_id))
+                   .orderBy(F.col("session_sequence").asc_nulls_last()))
