@@ -111,3 +111,41 @@ def unseen(source: DataFrame, target: DataFrame, key: str = "event_id") -> DataF
 def incremental_append(source: DataFrame, target: DataFrame, key: str = "event_id") -> DataFrame:
     """U2 core: the rows to append -- de-duplicated within the batch, then unseen."""
     return unseen(keep_first(source, key), target, key)
+
+
+BUCKET_COL = "key_bucket"
+
+
+def key_bucket(key: str, buckets: int) -> Column:
+    """Stable hash bucket of a key (same key, same bucket, every run)."""
+    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+
+
+def merge_into_buckets(spark, target_path: str, source: DataFrame, staging_path: str,
+                       key: str = "event_id", buckets: int = 256,
+                       update_cols: list[str] | None = None) -> str:
+    """U1 at scale: MERGE a batch into a Parquet table laid out in
+    ``key_bucket=<b>`` folders, rewriting only the buckets the batch touches.
+
+    1. the batch's distinct bucket ids (at most ``buckets`` integers: table
+       metadata, not data) become a partition filter, so only touched bucket
+       folders are listed and read (static partition pruning);
+    2. those buckets are merged (``merge_by_key``) and written to
+       ``staging_path`` (a shared folder, so the step survives executor loss);
+    3. the staged buckets replace their folders in the target with a dynamic
+       partition overwrite; untouched buckets are never read or rewritten.
+    The first load writes the whole batch. Source must be unique per key.
+    Returns ``target_path``."""
+    src = source.filter(F.col(key).isNotNull()).withColumn(BUCKET_COL, key_bucket(key, buckets))
+    try:
+        target = spark.read.parquet(target_path)
+    except Exception:  # noqa: BLE001 -- first load: no table yet
+        src.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(target_path)
+        return target_path
+    touched = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
+    tgt = target.filter(F.col(BUCKET_COL).isin(touched))
+    merged = merge_by_key(tgt, src.select(*target.columns), key, update_cols)
+    merged.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging_path)
+    (spark.read.parquet(staging_path).write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(target_path))
+    return target_path

@@ -52,31 +52,28 @@ def load_statistics(raw: DataFrame, tables: dict[str, DataFrame], day) -> DataFr
 
 
 def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_dir: str,
-            processed_dir: str, run_at: datetime | None = None) -> dict[str, str]:
+            processed_dir: str, run_at: datetime | None = None, buckets: int = 256) -> dict[str, str]:
     """U4: one batch run. Reads landed Parquet files (and the local store
     table when given), de-duplicates (files first, newest store rows next),
-    stamps run metadata, merges into RAW_EVENTS at ``target_dir`` (written to
-    a new version folder, never over the one being read), then appends the
-    unseen rows of every processed table. Returns the written paths."""
+    stamps run metadata, merges into RAW_EVENTS at ``target_dir`` rewriting
+    only the key buckets the batch touches (``merge_into_buckets``; staging
+    in the shared checkpoint folder), then appends the unseen rows of every
+    processed table. Returns the written paths."""
+    import uuid
+
+    from shoptrail.session import scratch_path
     from shoptrail.sources.files import read_landed
     run_at = run_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    version = run_at.strftime("%Y%m%d_%H%M%S")
-    files = read_landed(spark, file_dir).withColumn("source_rank", F.lit(0))
+    files = read_landed(spark, file_dir).drop("extraction_time").withColumn("source_rank", F.lit(0))
     frames = [files]
     if store is not None:
         frames.append(store.withColumn("source_rank", F.lit(1)).withColumn("source_file", F.lit("duckdb")))
     batch = etl_metadata(dedup.keep_first(dedup.union_by_name(frames)).drop("source_rank"), run_at)
     batch = batch.withColumn("is_valid", F.coalesce(F.col("is_valid"), F.lit(True)))
-    current = _latest_version(spark, target_dir)
-    new_path = f"{target_dir}/v={version}"
-    if current is None:
-        merged = batch
-    else:
-        target = spark.read.parquet(current)
-        merged = dedup.merge_by_key(target, batch.select(*target.columns))
-    merged.write.mode("overwrite").parquet(new_path)
-    raw = spark.read.parquet(new_path)
-    written = {"raw_events": new_path}
+    staging = scratch_path(spark, f"staging/raw_events-{uuid.uuid4().hex}")
+    dedup.merge_into_buckets(spark, target_dir, batch, staging, buckets=buckets)
+    raw = spark.read.parquet(target_dir).drop(dedup.BUCKET_COL)
+    written = {"raw_events": target_dir}
     builders = {"page_views": route.page_views, "product_interactions": route.product_interactions,
                 "purchases": route.purchases, "searches": route.searches,
                 "user_engagement": route.user_engagement}
@@ -91,13 +88,3 @@ def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_
         rows.write.mode("append").parquet(path)
         written[name] = path
     return written
-
-
-def _latest_version(spark: SparkSession, target_dir: str) -> str | None:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(target_dir)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return None
-    versions = sorted(s.getPath().getName() for s in fs.listStatus(jvm_path)
-                      if s.getPath().getName().startswith("v="))
-    return f"{target_dir}/{versions[-1]}" if versions else None
