@@ -185,3 +185,13 @@ def file_summary(df: DataFrame) -> DataFrame:
                    F.round(F.sum("file_size") / (1024 * 1024), 2).alias("size_mb"),
                    F.sum("records").alias("records"),
                    F.max_by("file_name", "modified").alias("latest_file"))
+
+
+def load_report(loaded: DataFrame, file_col: str = "source_file", loaded_at=None) -> DataFrame:
+    """K6: per source file, rows loaded, a success flag and the load time --
+    the bulk loader's per-file result list as a DataFrame (one grouped
+    aggregate over the appended rows)."""
+    ts = F.current_timestamp().cast("timestamp_ntz") if loaded_at is None else F.lit(str(loaded_at)).cast("timestamp_ntz")
+    return (loaded.groupBy(file_col).agg(F.count(F.lit(1)).alias("rows_loaded"))
+                  .select(F.col(file_col).alias("file"), "rows_loaded",
+                          (F.col("rows_loaded") > 0).alias("success"), ts.alias("timestamp")))

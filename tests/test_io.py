@@ -27,6 +27,9 @@ def test_landed_scan_lineage_and_merge_schema(spark, tmpdir_path):
     assert read_recent(spark, tmpdir_path, days_back=7).count() == 2
     assert read_recent(spark, tmpdir_path, days_back=7, now=datetime(2000, 1, 1)).count() == 2
     assert read_newest_files(spark, tmpdir_path, files=1, limit=10).count() == 1
+    from shoptrail.operators.metrics import load_report
+    rep = load_report(df, loaded_at="2024-02-01 00:00:00").collect()
+    assert sorted(r.rows_loaded for r in rep) == [1, 1] and all(r.success for r in rep)
 
 
 def test_json_array_files(spark, tmpdir_path):
