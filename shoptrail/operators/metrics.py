@@ -101,18 +101,12 @@ def latest(df: DataFrame, n: int, order: list[Column]) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
-def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int,
-                    salt_col: Column | None = None, salts: int = 16) -> DataFrame:
-    """T5: top ``n`` rows per group without one task per hot group: first the
-    top ``n`` per (group, salt), then the top ``n`` per group over at most
-    ``n x salts`` survivors."""
-    salt = salt_col if salt_col is not None else F.pmod(F.xxhash64(*[o for o in df.columns]), F.lit(salts))
-    d = df.withColumn("_salt", salt)
-    w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
-    d = d.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= n)
-    w2 = Window.partitionBy(*keys).orderBy(*order)
-    return (d.withColumn("rank", F.row_number().over(w2)).filter(F.col("rank") <= n)
-             .drop("_salt", "_r1"))
+def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int) -> DataFrame:
+    """T5: top ``n`` rows per group with their ``rank``. The rank filter
+    becomes a partial ``WindowGroupLimit`` before the shuffle, so a hot group
+    sends at most ``n`` rows per map task, not all of its rows."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

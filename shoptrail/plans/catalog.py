@@ -673,8 +673,7 @@ SELECT * FROM (
 def recent_per_partition(spark, sf_dir):
     raw = P.raw_events(spark, sf_dir).select("partition_id", "event_id", "ingestion_time")
     return metrics.top_n_per_group(raw, ["partition_id"],
-                                   [F.col("ingestion_time").desc_nulls_last(), F.col("event_id").asc()], 100,
-                                   salt_col=F.pmod(F.xxhash64("event_id"), F.lit(16)))
+                                   [F.col("ingestion_time").desc_nulls_last(), F.col("event_id").asc()], 100)
 
 
 @register("day_event_types", O.q(f"""
