@@ -93,15 +93,28 @@ def sequence_number(df: DataFrame, keys: list[str], ts: str, ties: list[str],
 def running_count(df: DataFrame, keys: list[str], ts: str, tie: str, flag: Column | str,
                   out: str, chunk: str = "day") -> DataFrame:
     """Running count of rows where ``flag`` is true, per key, in time order."""
-    flag_c = F.col(flag) if isinstance(flag, str) else flag
+    return running_counts(df, keys, ts, tie, {out: flag}, chunk)
+
+
+def running_counts(df: DataFrame, keys: list[str], ts: str, tie: str, flags: dict,
+                   chunk: str = "day") -> DataFrame:
+    """Several running counts (``{out: flag}``) per key in one two-level pass:
+    one row-level window, one per-chunk aggregate, one join back."""
     w = Window.partitionBy(*keys, _CHUNK).orderBy(F.col(ts), F.col(tie))
-    d = (_with_chunk(df, ts, chunk)
-         .withColumn("_o_f", F.coalesce(flag_c.cast("int"), F.lit(0)))
-         .withColumn("_o_local", F.sum("_o_f").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    per_chunk = d.groupBy(*keys, _CHUNK).agg(F.sum("_o_f").alias("_o_n"))
-    wk = Window.partitionBy(*keys).orderBy(_CHUNK)
-    per_chunk = per_chunk.withColumn(
-        "_o_offset", F.coalesce(F.sum("_o_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    joined = _join_back(d, per_chunk, keys, ["_o_offset"])
-    return (joined.withColumn(out, (F.col("_o_offset") + F.col("_o_local")).cast("long"))
-            .drop("_o_f", "_o_local", "_o_offset", _CHUNK))
+    frame = w.rowsBetween(Window.unboundedPreceding, 0)
+    d = _with_chunk(df, ts, chunk)
+    names = list(flags)
+    for i, name in enumerate(names):
+        f = flags[name]
+        f = F.col(f) if isinstance(f, str) else f
+        d = d.withColumn(f"_o_f{i}", F.coalesce(f.cast("int"), F.lit(0)))
+        d = d.withColumn(f"_o_l{i}", F.sum(f"_o_f{i}").over(frame))
+    per_chunk = d.groupBy(*keys, _CHUNK).agg(*[F.sum(f"_o_f{i}").alias(f"_o_n{i}") for i in range(len(names))])
+    wk = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    for i in range(len(names)):
+        per_chunk = per_chunk.withColumn(f"_o_o{i}", F.coalesce(F.sum(f"_o_n{i}").over(wk), F.lit(0)))
+    joined = _join_back(d, per_chunk, keys, [f"_o_o{i}" for i in range(len(names))])
+    for i, name in enumerate(names):
+        joined = joined.withColumn(name, (F.col(f"_o_o{i}") + F.col(f"_o_l{i}")).cast("long"))
+    drop = [c for i in range(len(names)) for c in (f"_o_f{i}", f"_o_l{i}", f"_o_o{i}")]
+    return joined.drop(*drop, _CHUNK)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.functions.events import as_of_ts, order_shipping, order_tax, order_total, pct
-from shoptrail.operators.ordered import running_count
+from shoptrail.operators.ordered import running_counts
 
 
 def required_nulls(df: DataFrame, fields=("event_id", "event_type", "timestamp")) -> DataFrame:
@@ -62,8 +62,8 @@ def running_quality(flagged: DataFrame, keys: list[str], ts: str, tie: str,
                     valid_col: str = "is_valid_event") -> DataFrame:
     """Running processed / valid counts and quality % per key in time
     order (the stream processor's cumulative score, per customer-day here)."""
-    d = running_count(flagged, keys, ts, tie, F.lit(True), "running_processed")
-    d = running_count(d, keys, ts, tie, F.col(valid_col), "running_valid")
+    d = running_counts(flagged, keys, ts, tie,
+                       {"running_processed": F.lit(True), "running_valid": F.col(valid_col)})
     return d.withColumn("running_quality_pct", pct("running_valid", "running_processed", 1))
 
 

@@ -62,3 +62,12 @@ def test_approx_daily_summary_close_to_exact(spark):
     for k, r in exact.items():
         assert r.event_count == approx[k].event_count
         assert abs(r.unique_customers - approx[k].unique_customers) <= max(1, 0.05 * r.unique_customers)
+
+
+def test_valid_plus_invalid_is_total(spark):
+    from shoptrail.operators.validate import split_valid
+    wire = P.wire_events(spark, SMALL)
+    valid, invalid = split_valid(wire, as_of="2024-01-31 00:00:00")
+    v = {r.event_id for r in valid.select("event_id").collect()}
+    i = {r.event_id for r in invalid.select("event_id").collect()}
+    assert len(v) + len(i) == wire.count() and not (v & i)
