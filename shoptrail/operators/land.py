@@ -58,7 +58,10 @@ def store_of(event_id="event_id") -> "F.Column":
     return F.when(digit % 2 == 0, F.lit("parquet")).otherwise(F.lit("duckdb"))
 
 
-def pack_event(df: DataFrame, exclude: tuple = ()) -> DataFrame:
-    """The whole row as one JSON document in ``event_data``."""
+def pack_event(df: DataFrame, exclude: tuple = (), keep_nulls: bool = False) -> DataFrame:
+    """The whole row as one JSON document in ``event_data``.
+    ``keep_nulls`` writes NULL fields as ``null`` instead of omitting them
+    (the staged bulk copy keeps them)."""
     keep = [c for c in df.columns if c not in exclude]
-    return df.withColumn("event_data", F.to_json(F.struct(*keep)))
+    opts = {"ignoreNullFields": "false"} if keep_nulls else {}
+    return df.withColumn("event_data", F.to_json(F.struct(*keep), opts))

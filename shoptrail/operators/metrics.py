@@ -17,7 +17,9 @@ def event_rate(df: DataFrame, ts: str = "timestamp", minutes: int = 1) -> DataFr
 
 
 def type_distribution(df: DataFrame) -> DataFrame:
-    """Events per type with the live-counter group, count-descending."""
+    """Events per type with the live-counter group and share %.
+    The share's keyless window runs over the per-type aggregate (one row per
+    type), never over events."""
     return (df.groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
               .withColumn("counter_group", counter_group("event_type"))
               .withColumn("share_pct", pct("events", F.sum("events").over(Window.partitionBy()))))
@@ -45,7 +47,8 @@ def weekly_revenue(purchases: DataFrame, as_of, weeks: int = 4) -> DataFrame:
 
 
 def segment_distribution(customers: DataFrame, segment: str = "customer_segment") -> DataFrame:
-    """M5: customers per segment and share of all customers."""
+    """M5: customers per segment and share of all customers (keyless window
+    over the per-segment aggregate only)."""
     return (customers.groupBy(segment).agg(F.count(F.lit(1)).alias("customers"))
                      .withColumn("share_pct", pct("customers", F.sum("customers").over(Window.partitionBy()))))
 
@@ -90,7 +93,8 @@ def growth_rate(periods: DataFrame, period: str, value: str) -> DataFrame:
 
 
 def storage_share(raw: DataFrame) -> DataFrame:
-    """Events per store and share %, 1 dp, total floored at 1."""
+    """Events per store and share %, 1 dp, total floored at 1 (keyless
+    window over the per-store aggregate only)."""
     per = raw.groupBy("storage_type").agg(F.count(F.lit(1)).alias("events"))
     total = F.greatest(F.sum("events").over(Window.partitionBy()), F.lit(1))
     return per.withColumn("share_pct", pct("events", total, 1))
