@@ -224,7 +224,7 @@ ses AS (
     arg_max(page_url, struct_pack(t := timestamp, e := event_id)) FILTER (WHERE event_type = 'PAGE_VIEW') AS exit_page,
     CAST(count(*) FILTER (WHERE event_type = 'PAGE_VIEW') AS INTEGER) AS page_views,
     CAST(count(DISTINCT page_url) FILTER (WHERE event_type = 'PAGE_VIEW') AS INTEGER) AS unique_pages,
-    CASE WHEN count(*) FILTER (WHERE event_type = 'PAGE_VIEW') = 1 THEN 1.0 ELSE 0.0 END AS bounce_rate,
+    CAST(CASE WHEN count(*) FILTER (WHERE event_type = 'PAGE_VIEW') = 1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS bounce_rate,
     bool_or(event_type = 'PURCHASE') AS conversion_flag,
     CAST(coalesce(sum(total_amount) FILTER (WHERE event_type = 'PURCHASE'), 0) AS DOUBLE) AS total_purchase_amount
   FROM sv GROUP BY session_id)
