@@ -110,7 +110,8 @@ def top_n_per_group(df: DataFrame, keys: list[str], order: list[Column], n: int)
     becomes a partial ``WindowGroupLimit`` before the shuffle, so a hot group
     sends at most ``n`` rows per map task, not all of its rows."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
+    return (df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
+              .withColumn("rank", F.col("_rn").cast("long")).drop("_rn"))
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

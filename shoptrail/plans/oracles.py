@@ -66,7 +66,7 @@ fx AS (
          WHEN eid % 71 = 5 THEN 'timestamp' WHEN eid % 37 = 3 OR eid % 43 = 19 THEN 'amount'
          WHEN eid % 59 = 11 THEN 'currency' WHEN eid % 41 = 17 THEN 'product_price' END AS invalid_field,
     eid % 41 = 17 AS neg_price,
-    user_id % 3 AS partition_id,
+    CAST(user_id % 3 AS INTEGER) AS partition_id,
     eid AS offset_id,
     ts + INTERVAL 90 SECOND AS ingestion_time
   FROM ev3),
