@@ -71,3 +71,24 @@ def test_stream_windows(spark, tmpdir_path):
           .option("checkpointLocation", os.path.join(tmpdir_path, "c4")).trigger(availableNow=True).start())
     q2.awaitTermination(300)
     assert spark.table("t_sess").count() >= 0
+
+
+def test_silver_writer_and_topic_records(spark, tmpdir_path):
+    import json as _json
+
+    from shoptrail.sinks.writers import silver_batch_writer
+    src = os.path.join(tmpdir_path, "in")
+    wire = _land_json(spark, src)
+    out = os.path.join(tmpdir_path, "silver")
+    q = (X.file_events(spark, src, max_files_per_trigger=2).writeStream
+         .foreachBatch(silver_batch_writer(out))
+         .option("checkpointLocation", os.path.join(tmpdir_path, "c5")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    silver = spark.read.parquet(out)
+    assert silver.columns[:6] == ["EVENT_ID", "CUSTOMER_ID", "EVENT_TYPE", "AMOUNT", "CURRENCY", "EVENT_TIMESTAMP"]
+    assert silver.count() == wire.count()
+    # re-running a batch id replaces its folder instead of appending twice
+    silver_batch_writer(out)(wire.limit(5), 0)
+    assert spark.read.parquet(os.path.join(out, "batch_id=0")).count() == 5
+    rec = X.to_topic_records(X.validate_and_enrich(wire, as_of=NOW).filter("customer_id IS NOT NULL")).first()
+    assert _json.loads(rec.value)["customer_id"] == rec.key
