@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -61,5 +60,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediates."""
-    return os.path.join(ensure_checkpoint_dir(spark), name)
+    """A path for written intermediates (landed tables, stream inputs,
+    checkpoints, staging) under the shared checkpoint folder, grouped per
+    application: ``<checkpoint dir>/shoptrail/<application id>/<name>``, so
+    one application's scratch data can be dropped as a unit."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/shoptrail/{spark.sparkContext.applicationId}/{name}"
