@@ -104,3 +104,25 @@ def test_run_etl_end_to_end_and_replay(spark, tmpdir_path):
     assert {r.etl_run_id for r in r2.select("etl_run_id").distinct().collect()} == {"20240201_000000"}
     assert {r.etl_timestamp for r in r2.select("etl_timestamp").distinct().collect()} == {datetime(2024, 2, 2)}
     assert spark.read.parquet(w2["page_views"]).count() == n_pv
+
+
+def test_store_table_file_table_and_journey_lookup(spark, tmpdir_path):
+    from shoptrail.operators import rollups, views
+    from shoptrail.sources.files import read_file_for_table, read_store_table
+    raw = P.raw_events(spark, SMALL)
+    spark.sql("DROP TABLE IF EXISTS store_events_s6")
+    raw.write.saveAsTable("store_events_s6")
+    store = read_store_table(spark, "store_events_s6")
+    assert store.count() == raw.count() and {r.source_file for r in store.select("source_file").distinct().collect()} == {"duckdb"}
+    spark.sql("DROP TABLE IF EXISTS store_events_s6")
+    path = os.path.join(tmpdir_path, "one")
+    raw.select("event_id", "event_type").write.parquet(path)
+    routed = read_file_for_table(spark, path)
+    got = {r.event_type: r.target_table for r in routed.select("event_type", "target_table").distinct().collect()}
+    assert got["PAGE_VIEW"] == "PAGE_VIEWS" and got["ERROR"] == "MIXED_EVENTS"
+    assert got["NEWSLETTER_SIGNUP"] == "USER_ENGAGEMENT"
+    t = P.processed(spark, SMALL)
+    journey = views.customer_journey(rollups.sessions(raw), t["purchases"])
+    one = journey.filter("customer_id IS NOT NULL").select("customer_id").first().customer_id
+    seq = [r.session_sequence for r in views.journey_of(journey, one).collect()]
+    assert seq == list(range(1, len(seq) + 1))
