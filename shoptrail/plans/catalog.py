@@ -60,7 +60,6 @@ def daily_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Validation and enrichment
 # --------------------------------------------------------------------------
 
-from shoptrail.functions.events import as_of_ts  # noqa: E402
 from shoptrail.operators import dedup, enrich, metrics, quality, rollups, route, validate  # noqa: E402
 from shoptrail.sources.fixtures import FIXTURE_NOW, FIXTURE_TODAY, ORDERS_TODAY  # noqa: E402
 

@@ -12,11 +12,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.functions.events import as_of_ts
+from shoptrail.functions.events import as_of_ts, pct
 from shoptrail.operators import dedup, route
 from shoptrail.operators.enrich import etl_metadata
 from shoptrail.operators.validate import on_day
-from shoptrail.functions.events import pct
 
 
 def etl_statistics(extracted: DataFrame, as_of=None) -> DataFrame:
