@@ -8,9 +8,9 @@ union-find grouping over distributed tables.
    compared with the bucket's smallest member on full sets (a star, so a
    group of copies makes as many pairs as members, not all pairs).
 3. Confirmed links are grouped. Only buckets that still hold several groups
-   go on: small ones try the pairs across groups; in large ones a pair of
-   this similarity must share one of the rarest quarter of either's shingles,
-   so only pairs across groups with such a shingle in common are tried.
+   go on: small ones try the pairs across groups; in large ones only pairs
+   across groups are tried whose rarest shingles meet (prefix and position
+   bounds of set similarity joins, which lose no pair).
    Nothing is capped: each band pair is confirmed, implied by a chain of
    confirmed links, or excluded by an exact bound.
 4. Links of both rounds give the components.
@@ -87,22 +87,36 @@ def _fits(percent: int):
 
 
 def _across(left: DataFrame, key: str, percent: int) -> DataFrame:
-    """Pairs u < v that share ``key`` and lie in different groups."""
+    """Pairs u < v of small buckets that lie in different groups."""
     a = left.select(key, F.col("doc_id").alias("u"), F.col("n").alias("nu"), F.col("group").alias("gu"))
     b = left.select(key, F.col("doc_id").alias("v"), F.col("n").alias("nv"), F.col("group").alias("gv"))
     return a.join(b, key).where((F.col("u") < F.col("v")) & (F.col("gu") != F.col("gv")) & _fits(percent)).select("u", "v")
 
 
 def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The rarest shingles of each document of large buckets: n - ceil(p n) + 1
-    of them under one global order, which any two similar sets must share."""
+    """Pairs across groups of large buckets that can still be similar.
+
+    A document's shingles stand in one global order, rarest first. For a pair
+    of this similarity the larger set's first n - ceil(p n) + 1 shingles and
+    the smaller one's first n - ceil(2p/(1+p) n) + 1 must meet, and the first
+    one they share must leave room for the overlap that the sizes ask for.
+    Passages that many texts share stand at the end of that order, so they
+    bring no pairs together. Both bounds are exact."""
     ids = members.select("doc_id", "n", "group").distinct()
     rows = ids.join(sets, "doc_id").select("doc_id", "n", "group", F.explode("shingles").alias("shingle"))
     seen = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
     place = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "shingle"))
-    need = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
-    return (rows.join(seen, "shingle").withColumn("place", place)
-            .where((F.col("place") <= need) & (F.col("df") > 1)).select("shingle", "doc_id", "n", "group"))
+    placed = stage(rows.join(seen, "shingle").withColumn("place", place)
+                   .where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & (F.col("df") > 1))
+                   .select("shingle", "doc_id", "n", "group", "place"), "rare")
+    a = placed.select("shingle", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"), F.col("place").alias("pa"))
+    b = (placed.where(F.col("place") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1)
+         .select("shingle", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"), F.col("place").alias("pb")))
+    larger = (F.col("na") > F.col("nb")) | ((F.col("na") == F.col("nb")) & (F.col("a") > F.col("b")))
+    room = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    fits = (100 + percent) * room >= percent * (F.col("na") + F.col("nb"))
+    return (a.join(b, "shingle").where(larger & (F.col("ga") != F.col("gb")) & (100 * F.col("nb") >= percent * F.col("na")) & fits)
+            .select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 75, k: int = 5,
@@ -133,7 +147,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     mixed = labelled.groupBy("band").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("band")
     left = stage(labelled.join(mixed, "band", "left_semi"), "left")
     few, many = left.where(F.col("size") <= small_bucket), left.where(F.col("size") > small_bucket)
-    more = _across(few, "band", percent).unionByName(_across(_rare(many, sets, percent), "shingle", percent))
+    more = _across(few, "band", percent).unionByName(_rare(many, sets, percent))
     more = stage(more.distinct().join(star, ["u", "v"], "left_anti"), "across")
     all_links = links.unionByName(_confirmed(more, sets, percent))
     final = components(all_links)
