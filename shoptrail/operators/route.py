@@ -141,7 +141,7 @@ def batch_table_choice(df: DataFrame, batch_col: str = "source_file") -> DataFra
     The set of types per batch is bounded by the type vocabulary."""
     types = df.groupBy(batch_col).agg(F.collect_set("event_type").alias("_types"))
     expr = None
-    for table, ts in S.TABLE_PRECEDENCE:
+    for table, ts in S.BATCH_TABLE_PRECEDENCE:
         cond = F.arrays_overlap(F.col("_types"), F.array(*[F.lit(t) for t in ts]))
         expr = F.when(cond, F.lit(table)) if expr is None else expr.when(cond, F.lit(table))
     return types.select(batch_col, F.array_sort("_types").alias("event_types"),
