@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoptrail.session import table_exists
+
 # Columns MERGE updates on a match; the target keeps the rest.
 MERGE_UPDATE_COLS = ["event_type", "session_id", "customer_id", "timestamp", "event_data",
                      "data_quality_issues", "is_valid", "etl_timestamp"]
@@ -62,8 +64,9 @@ def merge_by_key(target: DataFrame, source: DataFrame, key: str = "event_id",
                  update_cols: list[str] | None = None) -> DataFrame:
     """MERGE source into target on ``key``; returns the new table.
 
-    * matched: ``update_cols`` from source, every other column from target
-      (so ``source_file``, ``storage_type``, ``etl_run_id`` are kept);
+    * matched: the ``update_cols`` that the source has from source, every
+      other column from target (so ``source_file``, ``storage_type``,
+      ``etl_run_id`` are kept, and a column the source lacks is not blanked);
     * source only: inserted as is; target only: kept.
     Source rows with a NULL key are dropped here (the key is NOT NULL in the
     table; see ``null_key_rows`` for the reject list). Source must be unique
@@ -82,7 +85,7 @@ def merge_by_key(target: DataFrame, source: DataFrame, key: str = "event_id",
         tc = F.col(f"_t_{c}")
         if c == key:
             out.append(F.coalesce(tc, sc).alias(c))
-        elif c in update_cols:
+        elif c in update_cols and c in src.columns:
             out.append(F.when(in_s, sc).otherwise(tc).alias(c))
         else:
             out.append(F.when(in_t, tc).otherwise(sc).alias(c))
@@ -131,14 +134,13 @@ def merge_into_buckets(spark, target_path: str, source: DataFrame, staging_path:
     The first load writes the whole batch. Source must be unique per key.
     Returns ``target_path``."""
     src = source.filter(F.col(key).isNotNull()).withColumn(BUCKET_COL, key_bucket(key, buckets))
-    try:
-        target = spark.read.parquet(target_path)
-    except Exception:  # noqa: BLE001 -- first load: no table yet
-        src.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(target_path)
+    if not table_exists(spark, target_path):  # first load; a failing read of a table that is there must rise
+        src.write.mode("errorifexists").partitionBy(BUCKET_COL).parquet(target_path)
         return target_path
+    target = spark.read.parquet(target_path)
     touched = [r[0] for r in src.select(BUCKET_COL).distinct().collect()]
     tgt = target.filter(F.col(BUCKET_COL).isin(touched))
-    merged = merge_by_key(tgt, src.select(*target.columns), key, update_cols)
+    merged = merge_by_key(tgt, src.select(*[c for c in target.columns if c in src.columns]), key, update_cols)
     merged.write.mode("overwrite").partitionBy(BUCKET_COL).parquet(staging_path)
     (spark.read.parquet(staging_path).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET_COL).parquet(target_path))

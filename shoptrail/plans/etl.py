@@ -51,7 +51,8 @@ def load_statistics(raw: DataFrame, tables: dict[str, DataFrame], day) -> DataFr
 
 
 def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_dir: str,
-            processed_dir: str, run_at: datetime | None = None, buckets: int = 256) -> dict[str, str]:
+            processed_dir: str, run_at: datetime | None = None, buckets: int = 256,
+            products: DataFrame | None = None) -> dict[str, str]:
     """U4: one batch run. Reads landed Parquet files (and the local store
     table when given), de-duplicates (files first, newest store rows next),
     stamps run metadata, merges into RAW_EVENTS at ``target_dir`` rewriting
@@ -60,30 +61,31 @@ def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_
     processed table. Returns the written paths."""
     import uuid
 
-    from shoptrail.session import scratch_path
+    from shoptrail.session import scratch_path, table_exists
     from shoptrail.sources.files import read_landed
     run_at = run_at or datetime.now(timezone.utc).replace(tzinfo=None)
     files = read_landed(spark, file_dir).drop("extraction_time").withColumn("source_rank", F.lit(0))
     frames = [files]
     if store is not None:
         frames.append(store.withColumn("source_rank", F.lit(1)).withColumn("source_file", F.lit("duckdb")))
-    batch = etl_metadata(dedup.keep_first(dedup.union_by_name(frames)).drop("source_rank"), run_at)
+    union = dedup.union_by_name(frames)
+    rejects = f"{processed_dir}/rejected"  # rows without a key cannot be merged; they are kept apart
+    etl_metadata(dedup.null_key_rows(union).drop("source_rank"), run_at).write.mode("append").parquet(rejects)
+    batch = etl_metadata(dedup.keep_first(union.filter(F.col("event_id").isNotNull())).drop("source_rank"), run_at)
     batch = batch.withColumn("is_valid", F.coalesce(F.col("is_valid"), F.lit(True)))
     staging = scratch_path(spark, f"staging/raw_events-{uuid.uuid4().hex}")
     dedup.merge_into_buckets(spark, target_dir, batch, staging, buckets=buckets)
     raw = spark.read.parquet(target_dir).drop(dedup.BUCKET_COL)
-    written = {"raw_events": target_dir}
+    written = {"raw_events": target_dir, "rejected": rejects}
     builders = {"page_views": route.page_views, "product_interactions": route.product_interactions,
                 "purchases": route.purchases, "searches": route.searches,
-                "user_engagement": route.user_engagement}
+                "user_engagement": route.user_engagement,
+                "purchase_items": lambda raw: route.purchase_items(route.purchases(raw), products)}
     for name, build in builders.items():
         path = f"{processed_dir}/{name}"
         rows = build(raw)
-        try:
-            existing = spark.read.parquet(path)
-            rows = dedup.unseen(rows, existing)
-        except Exception:  # noqa: BLE001 -- first load: no table yet
-            pass
+        if table_exists(spark, path):
+            rows = dedup.unseen(rows, spark.read.parquet(path), "purchase_item_id" if name == "purchase_items" else "event_id")
         rows.write.mode("append").parquet(path)
         written[name] = path
     return written

@@ -48,17 +48,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     ``spark.checkpoint.dir`` is read from the session. Only when it is unset
-    (local runs, tests) is a private scratch folder created and used.
+    and the master is one local JVM is a private scratch folder created; on a
+    cluster an unset folder is an error, as executors would not share it.
     """
     sc = spark.sparkContext
     current = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="shoptrail-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, asked of its file system; errors other than
+    a missing path rise."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for written intermediates (landed tables, stream inputs,
     checkpoints, staging) under the shared checkpoint folder, grouped per

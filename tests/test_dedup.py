@@ -1,7 +1,9 @@
 """De-duplication, merge and incremental-load properties."""
 
+import pytest
 from pyspark.sql import functions as F
 
+from shoptrail.operators import dedup
 from shoptrail.operators.dedup import incremental_append, keep_first, last_write_wins, merge_by_key, unseen
 
 SCHEMA = ("event_id string, event_type string, source_rank int, ingestion_time timestamp_ntz, "
@@ -46,3 +48,25 @@ def test_unseen_and_incremental(spark):
     src = spark.createDataFrame([("e1", 1), ("e3", 2), ("e3", 3), (None, 4)], "event_id string, offset_id long")
     assert sorted(r.event_id for r in unseen(src, tgt).collect()) == ["e3", "e3"]
     assert [r.event_id for r in incremental_append(src, tgt).collect()] == ["e3"]
+
+
+def test_merge_keeps_columns_the_source_lacks(spark):
+    target = spark.createDataFrame([("a", "s1", "x"), ("b", "s2", "y")], "event_id string, session_id string, event_type string")
+    source = spark.createDataFrame([("a", "z"), ("c", "w")], "event_id string, event_type string")
+    got = {r["event_id"]: (r["session_id"], r["event_type"]) for r in dedup.merge_by_key(target, source).collect()}
+    assert got == {"a": ("s1", "z"), "b": ("s2", "y"), "c": (None, "w")}
+
+
+def test_failing_target_read_leaves_the_table(spark, tmpdir_path):
+    path, rows = f"{tmpdir_path}/t", spark.createDataFrame([("a", "x"), ("b", "y")], "event_id string, event_type string")
+    dedup.merge_into_buckets(spark, path, rows, f"{tmpdir_path}/s1", buckets=4)
+
+    class Failing:
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+        @property
+        def read(self):
+            raise OSError("injected")
+    with pytest.raises(OSError):
+        dedup.merge_into_buckets(Failing(), path, rows.limit(1), f"{tmpdir_path}/s2", buckets=4)
+    assert spark.read.parquet(path).count() == 2
