@@ -85,8 +85,8 @@ def growth_rate(periods: DataFrame, period: str, value: str) -> DataFrame:
     aggregate (one row per period), so the global ordering is over a few rows."""
     w = Window.orderBy(period)
     prev = F.lag(value).over(w)
-    cents = (F.col(value) * 100).cast("long").cast("double")
-    prev_c = (prev * 100).cast("long").cast("double")
+    cents = F.round(F.col(value) * 100).cast("long").cast("double")
+    prev_c = F.round(prev * 100).cast("long").cast("double")
     return periods.select(period, value, prev.alias("previous"),
                           F.when(prev_c != 0, F.floor(((cents - prev_c) * 20000.0 + prev_c) / (prev_c * 2.0)) / 100.0)
                           .alias("growth_pct"))
@@ -155,10 +155,10 @@ def counters(wire: DataFrame, valid_flag: str = "is_valid_event") -> DataFrame:
 
 def cumulative_counts(wire: DataFrame, valid_flag: str = "is_valid_event", ts: str = "timestamp",
                       minutes: int = 60, points: int = 20) -> DataFrame:
-    """Cumulative raw and clean counts per time bucket, last ``points``
-    buckets. Counts are aggregated per bucket first; the running sum then
+    """Cumulative raw and clean counts per ``minutes`` long time bucket,
+    last ``points`` buckets. Counts are aggregated per bucket first; the running sum then
     runs over one row per bucket."""
-    per = (wire.groupBy(F.date_trunc("hour" if minutes == 60 else "minute", F.col(ts)).alias("bucket"))
+    per = (wire.groupBy(F.window(ts, f"{int(minutes)} minutes")["start"].alias("bucket"))
                .agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col(valid_flag)).alias("clean")))
     w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     cum = per.select("bucket", F.sum("raw").over(w).alias("cumulative_raw"),

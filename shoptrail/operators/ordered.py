@@ -22,7 +22,9 @@ _CHUNK = "_chunk"
 
 
 def _with_chunk(df: DataFrame, ts: str, chunk: str) -> DataFrame:
-    return df.withColumn(_CHUNK, F.date_trunc(chunk, F.col(ts)))
+    # rows without a time form the first chunk, where the plain window has them
+    first = F.lit("0001-01-01 00:00:00").cast(df.schema[ts].dataType)
+    return df.withColumn(_CHUNK, F.coalesce(F.date_trunc(chunk, F.col(ts)), first))
 
 
 def _join_back(df: DataFrame, agg: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:

@@ -179,14 +179,29 @@ def dq_key_uniqueness(spark, sf_dir):
 
 
 @register("dq_order_reconcile", O.q("""
+
+, late AS (SELECT event_id, order_id, subtotal, discount_amount, CAST(substr(order_id, 5) AS BIGINT) AS n,
+  CAST(tax_amount + CASE WHEN CAST(substr(order_id, 5) AS BIGINT) % 5 = 0 THEN 0.03 ELSE 0.02 END AS DECIMAL(12,2)) AS tax_amount,
+  CAST(shipping_cost + CASE WHEN CAST(substr(order_id, 5) AS BIGINT) % 7 = 0 THEN 1 ELSE 0 END AS DECIMAL(10,2)) AS shipping_cost,
+  CAST(total_amount + CASE WHEN CAST(substr(order_id, 5) AS BIGINT) % 3 = 0 THEN 1 ELSE 0.02 END AS DECIMAL(12,2)) AS total_amount
+  FROM pu),
+ruled AS (SELECT *, abs(total_amount - (subtotal + tax_amount + shipping_cost - discount_amount)) > 0.02 AS total_mismatch,
+  abs(tax_amount - round(subtotal * 0.08, 2)) > 0.02 AS tax_mismatch,
+  shipping_cost <> CASE WHEN subtotal > 50 THEN 0 ELSE 9.99 END AS shipping_mismatch FROM late)
 SELECT event_id, order_id, CAST(subtotal AS DOUBLE) AS subtotal, CAST(tax_amount AS DOUBLE) AS tax_amount,
   CAST(shipping_cost AS DOUBLE) AS shipping_cost, CAST(discount_amount AS DOUBLE) AS discount_amount,
-  CAST(total_amount AS DOUBLE) AS total_amount, FALSE AS total_mismatch, FALSE AS tax_mismatch,
-  FALSE AS shipping_mismatch
-FROM pu WHERE FALSE
+  CAST(total_amount AS DOUBLE) AS total_amount, total_mismatch, tax_mismatch, shipping_mismatch
+FROM ruled WHERE total_mismatch OR tax_mismatch OR shipping_mismatch
 """))
 def dq_order_reconcile(spark, sf_dir):
-    out = quality.order_reconciliation(P.processed(spark, sf_dir)["purchases"])
+    """Q8 over all purchases, with amounts put off by a rule on the order
+    number so that every check has rows on both sides of its tolerance."""
+    n = F.substring("order_id", 5, 20).cast("long")
+    off = P.processed(spark, sf_dir)["purchases"].withColumns({
+        "tax_amount": (F.col("tax_amount") + F.when(n % 5 == 0, F.lit(0.03)).otherwise(F.lit(0.02)).cast("decimal(4,2)")).cast("decimal(12,2)"),
+        "shipping_cost": (F.col("shipping_cost") + F.when(n % 7 == 0, 1).otherwise(0)).cast("decimal(10,2)"),
+        "total_amount": (F.col("total_amount") + F.when(n % 3 == 0, F.lit(1.0)).otherwise(F.lit(0.02)).cast("decimal(4,2)")).cast("decimal(12,2)")})
+    out = quality.order_reconciliation(off)
     return out.select(*[F.col(c).cast("double").alias(c) if c in
                         ("subtotal", "tax_amount", "shipping_cost", "discount_amount", "total_amount")
                         else F.col(c) for c in out.columns])
@@ -398,23 +413,22 @@ def table_routing(spark, sf_dir):
 
 
 @register("batch_table_choice", O.q(f"""
-, b AS (SELECT 'day_' || strftime(CAST(ingestion_time AS DATE), '%Y%m%d') AS source_file,
+, b AS (SELECT 'batch_' || strftime(ingestion_time, '%Y%m%d%H%M') AS source_file,
                list_sort(list_distinct(list(event_type))) AS event_types
-        FROM rawv WHERE event_type IN ('SEARCH', 'REVIEW', 'NEWSLETTER_SIGNUP', 'PURCHASE') GROUP BY 1)
+        FROM rawv GROUP BY 1)
 SELECT source_file, event_types,
   CASE WHEN list_has_any(event_types, ['PAGE_VIEW']) THEN 'PAGE_VIEWS'
        WHEN list_has_any(event_types, ['PRODUCT_VIEW','ADD_TO_CART','REMOVE_FROM_CART','ADD_TO_WISHLIST']) THEN 'PRODUCT_INTERACTIONS'
        WHEN list_has_any(event_types, ['PURCHASE']) THEN 'PURCHASES'
        WHEN list_has_any(event_types, ['SEARCH']) THEN 'SEARCHES'
-       WHEN list_has_any(event_types, ['REVIEW','RATING','SHARE','NEWSLETTER_SIGNUP','ACCOUNT_UPDATE']) THEN 'USER_ENGAGEMENT'
+       WHEN list_has_any(event_types, ['REVIEW','RATING','SHARE','NEWSLETTER_SIGNUP']) THEN 'USER_ENGAGEMENT'
        ELSE 'MIXED_EVENTS' END AS target_table
 FROM b
 """))
 def batch_table_choice(spark, sf_dir):
-    """R6 batch form over daily files of the non-page, non-product stream."""
-    raw = P.raw_events(spark, sf_dir)
-    files = (raw.filter(F.col("event_type").isin("SEARCH", "REVIEW", "NEWSLETTER_SIGNUP", "PURCHASE"))
-                .withColumn("source_file", F.concat(F.lit("day_"), F.date_format("ingestion_time", "yyyyMMdd"))))
+    """R6 batch form over the whole stream, in batches of a minute."""
+    files = P.raw_events(spark, sf_dir).withColumn(
+        "source_file", F.concat(F.lit("batch_"), F.date_format("ingestion_time", "yyyyMMddHHmm")))
     return route.batch_table_choice(files, "source_file")
 
 
@@ -444,10 +458,12 @@ def customers_360(spark, sf_dir):
 
 @register("customer_journey", O.q(O.JOURNEY_CTE + " SELECT * FROM jr"))
 def customer_journey(spark, sf_dir):
+    return _journey(spark, sf_dir).withColumn("purchase_amount", F.col("purchase_amount").cast("double"))
+
+
+def _journey(spark, sf_dir):
     raw = P.landed_raw_events(spark, sf_dir)
-    t = P.processed(spark, sf_dir, raw)
-    j = views.customer_journey(rollups.sessions(raw), t["purchases"])
-    return j.withColumn("purchase_amount", F.col("purchase_amount").cast("double"))
+    return views.customer_journey(rollups.sessions(raw), P.processed(spark, sf_dir, raw)["purchases"])
 
 
 @register("top_customers", O.q(O.JOURNEY_CTE + """
@@ -457,8 +473,7 @@ SELECT customer_id, COUNT(DISTINCT session_id) AS total_sessions,
 FROM jr GROUP BY 1 ORDER BY total_revenue DESC NULLS LAST, customer_id ASC NULLS LAST LIMIT 10
 """))
 def top_customers(spark, sf_dir):
-    j = customer_journey(spark, sf_dir)
-    return rollups.top_customers(j, 10)
+    return rollups.top_customers(_journey(spark, sf_dir), 10)  # sums decimals
 
 
 _PP_SIDES = """
@@ -712,7 +727,18 @@ FROM f WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT
 ORDER BY bucket DESC LIMIT 20
 """))
 def cumulative_counts(spark, sf_dir):
-    return metrics.cumulative_counts(_flagged(spark, sf_dir).withColumn("timestamp", F.col("timestamp")))
+    return metrics.cumulative_counts(_flagged(spark, sf_dir))
+
+
+@register("cumulative_counts_15", O.q(f"""
+, f AS (SELECT time_bucket(INTERVAL 15 MINUTE, timestamp) AS bucket, COUNT(*) AS r, COUNT(*) FILTER (WHERE {WV}) AS c
+        FROM raw GROUP BY 1)
+SELECT bucket, CAST(SUM(r) OVER w AS BIGINT) AS cumulative_raw, CAST(SUM(c) OVER w AS BIGINT) AS cumulative_clean
+FROM f WINDOW w AS (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+ORDER BY bucket DESC LIMIT 20
+"""))
+def cumulative_counts_15(spark, sf_dir):
+    return metrics.cumulative_counts(_flagged(spark, sf_dir), minutes=15)
 
 
 @register("table_counts", O.q("""
@@ -778,12 +804,21 @@ def load_statistics(spark, sf_dir):
     return ls(raw, P.processed(spark, sf_dir, raw), FIXTURE_TODAY)
 
 
-@register("file_stats")
+STATS_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
+                "embeddings", "pages", "benchmark", "labels", "conversations"]
+
+
+@register("file_stats", " UNION ALL ".join(f"SELECT '{t}.parquet' AS table_name, COUNT(*) AS records FROM {t}" for t in STATS_TABLES))
 def file_stats(spark, sf_dir):
-    """A13 over the driver's own Parquet files (rows only: file metadata has
-    no SQL twin)."""
-    paths = [f"{sf_dir}/{t}.parquet" for t in ("events", "orders", "lineitem", "part", "customer")]
-    return metrics.file_stats(spark.read.option("mergeSchema", "false").parquet(*paths).select("_metadata"))
+    """A13 over all the driver's Parquet files: records of each table's
+    files (sizes and times have no SQL twin)."""
+    def of(t):
+        per = metrics.file_stats(spark.read.parquet(f"{sf_dir}/{t}.parquet").select("_metadata"))
+        return per.agg(F.lit(f"{t}.parquet").alias("table_name"), F.coalesce(F.sum("records"), F.lit(0)).alias("records"))
+    out = of(STATS_TABLES[0])
+    for t in STATS_TABLES[1:]:
+        out = out.unionByName(of(t))
+    return out
 
 
 # --------------------------------------------------------------------------
@@ -889,7 +924,8 @@ def _stream_input(spark, sf_dir, replay: bool = False) -> str:
     from shoptrail.session import scratch_path
     path = scratch_path(spark, f"streams/input-{_uuid.uuid4().hex}")
     wire = P.wire_events(spark, sf_dir).select(*[f.name for f in S.FLAT_EVENT_SCHEMA.fields])
-    wire.write.mode("overwrite").json(path)
+    # several files in time order, so that a stream over them has several triggers
+    wire.repartitionByRange(6, "event_timestamp").write.mode("overwrite").json(path)
     if replay:  # at-least-once delivery: every event arrives a second time
         spark.read.json(path, schema=S.FLAT_EVENT_SCHEMA).write.mode("append").json(path)
     return path
@@ -929,11 +965,14 @@ def stream_clean_events(spark, sf_dir):
                                          "business_value_score"))
 
 
-@register("stream_dedup", O.q("SELECT event_id, event_type FROM raw"))
+@register("stream_dedup", O.q(f"SELECT event_id, event_type FROM raw WHERE timestamp <= TIMESTAMP '{FIXTURE_NOW}' + INTERVAL 1 HOUR"))
 def stream_dedup(spark, sf_dir):
+    """X6 in several triggers (two files each) with future stamps and a
+    replay of every event. The watermark is wider than the replayed month."""
     from shoptrail.streaming import processor as X
-    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir, replay=True)))
-    return _run_stream(spark, X.dedup_stream(src).select("event_id", "event_type"))
+    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir, replay=True), max_files_per_trigger=2))
+    good = X.not_future(src, FIXTURE_NOW)
+    return _run_stream(spark, X.dedup_stream(good, watermark="45 days").select("event_id", "event_type"))
 
 
 @register("stream_counters", O.q(f"""

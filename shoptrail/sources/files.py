@@ -59,6 +59,14 @@ def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:
     return events.select(env.alias("e"), "event_data", "source_file").select("e.*", "event_data", "source_file")
 
 
+def json_array_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """The files of a folder that hold no JSON array, with their text;
+    ``read_json_arrays`` has no rows for them."""
+    text = spark.read.option("wholetext", "true").text(path).select(
+        F.col("_metadata.file_name").alias("source_file"), "value")
+    return text.where(F.from_json("value", "array<string>").isNull())
+
+
 def read_newest_files(spark: SparkSession, path: str, files: int = 5, limit: int = 100) -> DataFrame:
     """Rows of the newest ``files`` files by modification time, newest
     first, at most ``limit`` rows. Files are ranked on file metadata, so only

@@ -76,9 +76,19 @@ def with_event_time(events: DataFrame, col: str = "event_timestamp", out: str =
     return events.withColumn(out, ts.cast("timestamp"))
 
 
+def not_future(events: DataFrame, as_of, hours: int = 1, time_col: str = "event_time") -> DataFrame:
+    """Events at most ``hours`` ahead of ``as_of``. A stamp from the future
+    would move the watermark past good events, so stateful operators take
+    their input through this; what it holds back is invalid by rule and goes
+    to the dead-letter route (``validate_and_enrich``)."""
+    now = F.lit(str(as_of)).cast("timestamp") if as_of is not None else F.current_timestamp()
+    return events.where(F.col(time_col) <= now + F.expr(f"INTERVAL {int(hours)} HOURS"))
+
+
 def dedup_stream(events: DataFrame, watermark: str = DEFAULT_WATERMARK, key: str = "event_id",
                  time_col: str = "event_time") -> DataFrame:
-    """Drop repeated event ids seen within the watermark (bounded state)."""
+    """Drop repeated event ids seen within the watermark (bounded state).
+    Pass the events through ``not_future`` first."""
     return events.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark([key])
 
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from shoptrail.plans import catalog
 from tests.conftest import SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -39,13 +40,14 @@ def test_entry(spark):
     assert df.columns == ["event_date", "event_type", "event_count", "unique_customers", "unique_sessions"]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if n in catalog.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SMALL)
     cols = sorted(df.columns)
     got = [tuple(r[c] for c in cols) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
+        assert got, "a query without an oracle must at least return rows"
         return
     rel = con.sql(sql)
     assert sorted(rel.columns) == cols

@@ -66,11 +66,11 @@ def test_stream_windows(spark, tmpdir_path):
              .agg(F.count(F.lit(1)).alias("events"))
              .select(F.col("w.start").alias("window_start"), "events"))
     joined = emitted.join(batch, "window_start").filter(emitted["events"] != batch["events"])
-    assert joined.count() == 0
+    assert emitted.count() > 0 and joined.count() == 0
     q2 = (X.session_activity(s).writeStream.format("memory").queryName("t_sess").outputMode("append")
           .option("checkpointLocation", os.path.join(tmpdir_path, "c4")).trigger(availableNow=True).start())
     q2.awaitTermination(300)
-    assert spark.table("t_sess").count() >= 0
+    assert spark.table("t_sess").where("events < 1 or session_end <= session_start").count() == 0
 
 
 def test_silver_writer_and_topic_records(spark, tmpdir_path):
