@@ -185,8 +185,12 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     def level(n: int, on: list[str]) -> DataFrame:
         p = params.where(F.col("level") == n)
         return p.select(*on, F.struct("mean", "inv").alias(f"p{n}"))
+    whole = params.where("level = 2").first()  # one row of 27 numbers
+    p2 = F.lit(None)
+    if whole is not None:
+        p2 = F.struct(F.array(*map(F.lit, whole["mean"])).alias("mean"), F.array(*map(F.lit, whole["inv"])).alias("inv"))
     judged = (table.join(level(0, ["g1", "g2"]), ["g1", "g2"], "left").join(level(1, ["g1"]), "g1", "left")
-              .join(level(2, []).withColumn("_all", F.lit(1)), F.lit(1) == F.col("_all"), "left"))
+              .withColumn("p2", p2.cast("struct<mean:array<double>,inv:array<double>>")))
     judged = judged.withColumn("level", F.when(F.col("p0").isNotNull(), 0).when(F.col("p1").isNotNull(), 1).otherwise(2))
     judged = judged.withColumn("p", F.coalesce("p0", "p1", "p2")).withColumn("mean", F.col("p.mean")).withColumn("inv", F.col("p.inv"))
     d2 = F.when(~F.col("base_failed"), _distance())
