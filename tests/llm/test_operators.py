@@ -218,10 +218,10 @@ def test_secrets_base_spans_ownership_and_masks(spark, docs, rows):
                                   *[(3 + i, "api_key=EXAMPLE0EXAMPLE", "en", f"s{i}") for i in range(4)]],
                                  "doc_id long, text string, lang string, source string")
     found = {r["doc_id"]: r for r in secrets.scan(made, *owner_columns()).collect()}
-    assert found[1]["spans"] == "assign:14:32" and found[1]["n_live"] == 1
+    assert found[1]["spans"] == "assign:14:31" and found[1]["n_live"] == 1
     assert found[2]["spans"] == "mixed:4:25" and found[3]["live_spans"] == "" and found[3]["n_copied"] == 1
     masked = {r["doc_id"]: r["text"] for r in secrets.redact(made, *owner_columns()).collect()}
-    assert masked[1] == "é token=short [SECRET] x" or masked[1].startswith("é token=short [SECRET]")
+    assert masked[1] == "é token=short [SECRET]' x"
     assert masked[2] == "key [SECRET] end" and masked[3] == "api_key=EXAMPLE0EXAMPLE"
 
 
