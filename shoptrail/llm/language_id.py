@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoptrail.llm.tables import crc_mod, stage
+from shoptrail.llm.tables import crc_mod, stage, text_batches
 from shoptrail.llm.text import U, chunks, mix
 
 ORDER = 5
@@ -258,6 +258,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         calibration: int = 200, order: int = ORDER, slack: float = 3.0, modulus: int = 4, held: int = 2):
     """Learns the models and their limits from labelled, not held-out rows and
     returns the predictor."""
+    text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       F.col(lang_col).cast("string").alias("lang"))
     able = src.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), modulus, held) & F.col("lang").isNotNull())

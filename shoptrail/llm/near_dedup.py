@@ -37,7 +37,7 @@ from pyspark.sql.window import Window
 
 from shoptrail.llm.components import components
 from shoptrail.llm.superminhash import band_keys, signatures
-from shoptrail.llm.tables import narrow, stage
+from shoptrail.llm.tables import narrow, stage, text_batches
 from shoptrail.llm.text import WordHashes, chunks, shingle_set, signed, words
 
 SIGNED = "doc_id long, n_shingles long, class string, bands array<long>"
@@ -48,7 +48,7 @@ def _signer(k: int, ranks: int, band_rows: int):
         wh = WordHashes()
         for pdf in frames:
             texts = pdf["text"].tolist()
-            for a, b in chunks([len(t or "") for t in texts], 1_000_000):
+            for a, b in chunks([len(t or "") for t in texts], 300_000):
                 sets = [shingle_set(wh.of(words(t, lower=True)), k) for t in texts[a:b]]
                 n = np.array([len(s) for s in sets], np.int64)
                 sig = signatures(np.concatenate(sets), np.repeat(np.arange(len(sets)), n), len(sets), ranks)
@@ -64,7 +64,7 @@ def _setter(k: int):
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wh = WordHashes()
         for pdf in frames:
-            for a, b in chunks([len(t or "") for t in pdf["text"]], 1_000_000):
+            for a, b in chunks([len(t or "") for t in pdf["text"]], 300_000):
                 part = pdf.iloc[a:b]
                 yield pd.DataFrame({"doc_id": part["doc_id"].to_numpy(), "shingles": [
                     signed(shingle_set(wh.of(words(t, lower=True)), k)) for t in part["text"]]})
@@ -123,6 +123,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     ranks: int = 128, band_rows: int = 4, small_bucket: int = 32) -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id
     (smallest doc_id reachable over links of Jaccard >= percent/100), kept."""
+    text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     table = stage(src.mapInPandas(_signer(k, ranks, band_rows), SIGNED), "signed")
 

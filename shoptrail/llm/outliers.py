@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from shoptrail.llm.tables import stage
+from shoptrail.llm.tables import stage, text_batches
 
 FEATURES = ["word_length", "symbols", "dup_lines", "repeats", "upper", "digits"]
 P = len(FEATURES)
@@ -158,6 +158,7 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """One row for each row of ``docs``: doc_id, the base statistics,
     base_failed, kept, distance2 (null if base_failed) and the level of the
     estimate used (0 source, 1 language, 2 all)."""
+    text_batches(docs.sparkSession)
     measure = F.pandas_udf(_stats, STATS)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       F.coalesce(F.concat(F.lit("="), F.col(lang_col).cast("string")), F.lit("null")).alias("g1"),

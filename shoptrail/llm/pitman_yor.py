@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.exchange import buckets_for, deal, joined, lengths, parts
-from shoptrail.llm.tables import blocks, crc_mod, stage, text_bytes
+from shoptrail.llm.tables import blocks, crc_mod, stage, text_batches, text_bytes
 from shoptrail.llm.text import words
 
 BLOCK_BYTES = 8_000_000
@@ -259,6 +259,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``contexts`` and ``parent``: discount and strength; the discount of the
     rare words' restaurant follows from the corpus (words seen once, twice).
     """
+    text_batches(docs.sparkSession)
     _, n_bytes = text_bytes(docs, text_col)
     n_buckets = buckets_for(n_bytes)
     base, _ = blocks(docs, id_col, text_col, BLOCK_BYTES)

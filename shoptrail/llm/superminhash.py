@@ -44,7 +44,7 @@ def signatures(hashes: np.ndarray, owner: np.ndarray, n_sets: int, m: int) -> np
             break
         if perm is None:  # ranks are the identity until the first exchange
             h, g, k = h[active], g[active], k[active]
-            perm = np.tile(np.arange(m, dtype=np.uint16), (len(h), 1))
+            perm = np.tile(np.arange(m, dtype=np.uint8 if m <= 256 else np.uint16), (len(h), 1))
             perm[np.arange(len(h)), k] = 0
         elif n_active < len(h):
             h, g, perm = h[active], g[active], perm[active]

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -24,6 +24,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession, rows: int = 1_000) -> None:
+    """Texts go to Python in Arrow batches of at most ``rows`` rows: a batch
+    of whole texts is what bounds a worker's memory. Only ever lowers the
+    session's setting."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(name))
+    if now <= 0 or now > rows:
+        spark.conf.set(name, str(rows))
+
+
 def narrow(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """A broadcast hint for a staged table of a few longs a row, only if it
     has at most ``rows`` rows; beyond that the join stays a shuffled one."""

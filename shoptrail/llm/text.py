@@ -15,7 +15,7 @@ import xxhash
 
 U = np.uint64
 _MASK = (1 << 64) - 1
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 100_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
