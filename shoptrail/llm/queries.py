@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoptrail.llm import (fingerprints, language_id, mixing, near_dedup, outliers, packing, phrase_dedup, pitman_yor,
-                           secrets, sharding)
+from shoptrail.llm import (fingerprints, language_id, mixing, near_dedup, oracles, outliers, packing, phrase_dedup,
+                           pitman_yor, secrets, sharding)
 
 MIX_WEIGHTS = {"domain": {"d0": 5, "d1": 3, "d2": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 2}}
 
@@ -67,4 +67,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_mixing, op2_language_id, op3_phrase_dedup, op4_fingerprints, op5_packing, op6_outliers,
                             op7_pitman_yor, op8_near_dedup, op9_secrets, op10_sharding)}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_phrase_dedup": oracles.phrase_dedup(), "op8_near_dedup": oracles.near_dedup(), "op9_secrets": oracles.secrets()}
