@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoptrail import schemas as S
 from shoptrail.functions.events import counter_group, money_avg, pct
 
 
@@ -121,6 +122,18 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
         F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()])
 
 
+def processed_counts(raw: DataFrame) -> DataFrame:
+    """U6/A14 straight from RAW_EVENTS: row counts of the raw and the routed
+    tables and of the purchase items, in one scan."""
+    good = F.col("is_valid") == F.lit(True)
+    buys = good & F.col("event_type").isin(*S.PURCHASE_TYPES)
+    items = F.from_json(F.when(buys, F.col("event_data")), S.PAYLOAD_SCHEMA)["items"]
+    one = raw.agg(F.count(F.lit(1)).alias("raw_events"),
+                  *[F.count_if(good & F.col("event_type").isin(*types)).alias(table.lower()) for table, types in S.TABLE_PRECEDENCE],
+                  F.coalesce(F.sum(F.when(items.isNotNull(), F.size(items)).cast("long")), F.lit(0)).alias("purchase_items"))
+    return one.unpivot([], one.columns, "table_name", "row_count")
+
+
 def freshness(raw: DataFrame, page_views: DataFrame, created_col: str = "created_at") -> DataFrame:
     """Newest ingestion time and newest processed row, as one row
     (two one-row aggregates side by side; no join at all)."""

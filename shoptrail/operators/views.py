@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from shoptrail import schemas as S
 from shoptrail.functions.events import pct
 from shoptrail.operators.dedup import union_by_name
-from shoptrail.operators.validate import on_day
+from shoptrail.operators.validate import on_day, processed_filter
 
 
 def _daily(df: DataFrame, event_type=None, approx: bool = False) -> DataFrame:
@@ -41,6 +41,13 @@ def daily_event_summary(page_views: DataFrame, product_interactions: DataFrame,
     ])
 
 
+def daily_event_summary_of(raw: DataFrame, approx: bool = False) -> DataFrame:
+    """V1 straight from RAW_EVENTS in one scan: a type belongs to one processed
+    table, so grouping the rows that any of them takes by day and type gives
+    the union of the five."""
+    return _daily(processed_filter(raw, S.PROCESSED_TYPES), None, approx)
+
+
 def customer_journey(sessions: DataFrame, purchases: DataFrame, chunk: str = "day") -> DataFrame:
     """V2: sessions LEFT JOIN purchases on session; ``converted``,
     ``purchase_amount``, and ``session_sequence`` numbering the joined rows per
@@ -124,7 +131,18 @@ def realtime_metrics(page_views: DataFrame, product_interactions: DataFrame, pur
            on_day(purchases, "timestamp", as_of).select(F.lit("PURCHASE").alias("event_type"), *sel[1:], "total_amount"),
            on_day(searches, "timestamp", as_of).select(F.lit("SEARCH").alias("event_type"), *sel[1:], F.lit(None).cast("decimal(12,2)").alias("total_amount")),
            on_day(user_engagement, "timestamp", as_of).select(*sel, F.lit(None).cast("decimal(12,2)").alias("total_amount"))]
-    u = union_by_name(day)
+    return _day_totals(union_by_name(day))
+
+
+def realtime_metrics_of(raw: DataFrame, as_of) -> DataFrame:
+    """V4 straight from RAW_EVENTS: one scan with the day as a range filter;
+    the payload is parsed for purchases only."""
+    paid = F.from_json(F.when(F.col("event_type").isin(*S.PURCHASE_TYPES), F.col("event_data")), S.PAYLOAD_SCHEMA)["total_amount"]
+    day = on_day(processed_filter(raw, S.PROCESSED_TYPES), "timestamp", as_of)
+    return _day_totals(day.select("event_type", "customer_id", "session_id", paid.alias("total_amount")))
+
+
+def _day_totals(u: DataFrame) -> DataFrame:
     et = F.col("event_type")
     return u.agg(
         F.count(F.lit(1)).alias("total_events_today"),

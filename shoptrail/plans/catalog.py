@@ -51,9 +51,7 @@ SELECT CAST(timestamp AS DATE), event_type, COUNT(*), COUNT(DISTINCT customer_id
 FROM ue GROUP BY 1, 2
 """))
 def daily_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = P.processed(spark, sf_dir)
-    return views.daily_event_summary(t["page_views"], t["product_interactions"], t["purchases"],
-                                     t["searches"], t["user_engagement"])
+    return views.daily_event_summary_of(P.raw_events(spark, sf_dir))
 
 
 # --------------------------------------------------------------------------
@@ -543,9 +541,7 @@ FROM (
   UNION ALL SELECT event_type, customer_id, session_id FROM ue WHERE {_DAY})
 """))
 def realtime_metrics(spark, sf_dir):
-    t = P.processed(spark, sf_dir)
-    return views.realtime_metrics(t["page_views"], t["product_interactions"], t["purchases"],
-                                  t["searches"], t["user_engagement"], FIXTURE_TODAY)
+    return views.realtime_metrics_of(P.raw_events(spark, sf_dir), FIXTURE_TODAY)
 
 
 # --------------------------------------------------------------------------
@@ -751,13 +747,7 @@ UNION ALL SELECT 'searches', COUNT(*) FROM se
 UNION ALL SELECT 'user_engagement', COUNT(*) FROM ue
 """))
 def table_counts(spark, sf_dir):
-    raw = P.landed_raw_events(spark, sf_dir)
-    t = P.processed(spark, sf_dir, raw)
-    return metrics.table_counts({
-        "raw_events": raw, "page_views": t["page_views"],
-        "product_interactions": t["product_interactions"], "purchases": t["purchases"],
-        "purchase_items": t["purchase_items"], "searches": t["searches"],
-        "user_engagement": t["user_engagement"]})
+    return metrics.processed_counts(P.raw_events(spark, sf_dir))
 
 
 @register("freshness", O.q("""
@@ -800,8 +790,7 @@ SELECT
 """))
 def load_statistics(spark, sf_dir):
     from shoptrail.plans.etl import load_statistics as ls
-    raw = P.landed_raw_events(spark, sf_dir)
-    return ls(raw, P.processed(spark, sf_dir, raw), FIXTURE_TODAY)
+    return ls(P.raw_events(spark, sf_dir), FIXTURE_TODAY)
 
 
 STATS_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
@@ -917,7 +906,7 @@ def etl_breakdown(spark, sf_dir):
 # from the driver tables, checked against the batch twin's SQL
 # --------------------------------------------------------------------------
 
-def _stream_input(spark, sf_dir, replay: bool = False) -> str:
+def _stream_input(spark, sf_dir, replay: bool = False, closing: bool = False) -> str:
     """Write the wire events as JSON-lines files (the topic substitute) into
     a fresh folder under the shared checkpoint location."""
     import uuid as _uuid
@@ -926,6 +915,11 @@ def _stream_input(spark, sf_dir, replay: bool = False) -> str:
     wire = P.wire_events(spark, sf_dir).select(*[f.name for f in S.FLAT_EVENT_SCHEMA.fields])
     # several files in time order, so that a stream over them has several triggers
     wire.repartitionByRange(6, "event_timestamp").write.mode("overwrite").json(path)
+    if closing:  # one late event moves the watermark past all others, so that append mode gives every window
+        last = F.date_format(F.lit(FIXTURE_NOW).cast("timestamp") + F.expr("INTERVAL 400 DAYS"), "yyyy-MM-dd'T'HH:mm:ss")
+        (spark.range(1).select(F.lit("closing").alias("event_id"), F.lit("HEARTBEAT").alias("event_type"),
+                               F.lit("~").alias("customer_id"), last.alias("event_timestamp"))
+         .write.mode("append").json(path))
     if replay:  # at-least-once delivery: every event arrives a second time
         spark.read.json(path, schema=S.FLAT_EVENT_SCHEMA).write.mode("append").json(path)
     return path
@@ -1026,10 +1020,12 @@ SELECT time_bucket(INTERVAL 1 MINUTE, timestamp) AS window_start,
 FROM raw GROUP BY 1, 2
 """))
 def stream_event_rate(spark, sf_dir):
-    """Tumbling one-minute counts on the stream (complete output)."""
+    """Tumbling one-minute counts on the stream in append mode: a window
+    is written once, when the watermark passes it. The watermark is wider
+    than the month of events and the stamps 45 days ahead of it."""
     from shoptrail.streaming import processor as X
-    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4))
-    out = _run_stream(spark, X.rate_per_minute(src), "complete")
+    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir, closing=True), max_files_per_trigger=2))
+    out = _run_stream(spark, X.rate_per_minute(src, watermark="90 days"))
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "events")
 
@@ -1048,10 +1044,10 @@ FROM s1 GROUP BY customer_id, sn
 """))
 def stream_sessions(spark, sf_dir):
     """Per-customer 30-minute inactivity sessions with ``session_window``
-    on the stream (complete output), read back from Parquet."""
+    on the stream in append mode, read back from Parquet."""
     from shoptrail.streaming import processor as X
-    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir), max_files_per_trigger=4))
-    out = _run_stream(spark, X.session_activity(src, gap="30 minutes"), "complete")
+    src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir, closing=True), max_files_per_trigger=2))
+    out = _run_stream(spark, X.session_activity(src, gap="30 minutes", watermark="90 days"))
     return out.select("customer_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"),
                       "events", "page_views", "last_page")

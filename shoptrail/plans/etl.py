@@ -12,10 +12,10 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shoptrail import schemas as S
 from shoptrail.functions.events import as_of_ts, pct
 from shoptrail.operators import dedup, route
 from shoptrail.operators.enrich import etl_metadata
-from shoptrail.operators.validate import on_day
 
 
 def etl_statistics(extracted: DataFrame, as_of=None) -> DataFrame:
@@ -36,15 +36,22 @@ def etl_statistics(extracted: DataFrame, as_of=None) -> DataFrame:
                     "quality_issues", "loaded")
 
 
-def load_statistics(raw: DataFrame, tables: dict[str, DataFrame], day) -> DataFrame:
-    """today's counts per table and today's quality, as one row."""
-    raw_day = raw.filter(F.to_date("ingestion_time") == F.lit(str(day)).cast("date"))
-    r = raw_day.agg(F.count(F.lit(1)).alias("raw_events_today"),
-                    F.count_if(F.col("is_valid") == F.lit(True)).alias("valid_today"))
-    parts = [r]
-    for name in ["page_views", "product_interactions", "purchases", "searches"]:
-        parts.append(on_day(tables[name], "timestamp", day).agg(F.count(F.lit(1)).alias(f"{name}_today")))
-    out = dedup.side_by_side(parts)
+def load_statistics(raw: DataFrame, day) -> DataFrame:
+    """today's counts per table and today's quality, as one row. A row
+    counts for a table by its type, validity and event day, and as raw by its
+    ingestion day, so one scan of RAW_EVENTS holds all of it."""
+    start = F.lit(str(day)).cast("date").cast("timestamp_ntz")
+
+    def today(col: str):
+        return (F.col(col) >= start) & (F.col(col) < start + F.expr("INTERVAL 1 DAY"))
+    good = F.col("is_valid") == F.lit(True)
+    tables = {"page_views": S.PAGE_VIEW_TYPES, "product_interactions": S.PRODUCT_INTERACTION_TYPES,
+              "purchases": S.PURCHASE_TYPES, "searches": S.SEARCH_TYPES}
+    out = raw.where(today("ingestion_time") | today("timestamp")).agg(
+        F.count_if(today("ingestion_time")).alias("raw_events_today"),
+        F.count_if(today("ingestion_time") & good).alias("valid_today"),
+        *[F.count_if(today("timestamp") & good & F.col("event_type").isin(*types)).alias(f"{name}_today")
+          for name, types in tables.items()])
     return out.select("raw_events_today", "page_views_today", "product_interactions_today",
                       "purchases_today", "searches_today", "valid_today",
                       pct("valid_today", "raw_events_today").alias("quality_score_pct"))

@@ -56,6 +56,8 @@ TABLE_PRECEDENCE = [
     ("SEARCHES", SEARCH_TYPES),
     ("USER_ENGAGEMENT", USER_ENGAGEMENT_TYPES),
 ]
+# Every type that some processed table takes; a type belongs to one table.
+PROCESSED_TYPES = [t for _, types in TABLE_PRECEDENCE for t in types]
 # The whole-batch chooser does not know account updates.
 BATCH_TABLE_PRECEDENCE = [(table, [t for t in types if t != "ACCOUNT_UPDATE"]) for table, types in TABLE_PRECEDENCE]
 MIXED_TABLE = "MIXED_EVENTS"

@@ -5,10 +5,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from shoptrail import schemas as S
-from shoptrail.operators import route
+from shoptrail.operators import metrics, route, views
 from shoptrail.operators.dedup import keep_first, merge_by_key
 from shoptrail.operators.views import daily_event_summary
 from shoptrail.plans import pipeline as P
+from shoptrail.sources.fixtures import FIXTURE_TODAY
 from tests.conftest import SMALL
 
 ids = st.sampled_from(["e1", "e2", "e3", "e4", None])
@@ -64,6 +65,16 @@ def test_approx_daily_summary_close_to_exact(spark):
         assert abs(r.unique_customers - approx[k].unique_customers) <= max(1, 0.05 * r.unique_customers)
 
 
+def test_one_scan_views_equal_the_union_of_tables(spark):
+    raw = P.landed_raw_events(spark, SMALL)
+    t = P.processed(spark, SMALL, raw)
+    args = [t["page_views"], t["product_interactions"], t["purchases"], t["searches"], t["user_engagement"]]
+    assert _rows(views.daily_event_summary_of(raw)) == _rows(daily_event_summary(*args))
+    assert _rows(views.realtime_metrics_of(raw, FIXTURE_TODAY)) == _rows(views.realtime_metrics(*args, FIXTURE_TODAY))
+    counts = {"raw_events": raw, **t}
+    assert _rows(metrics.processed_counts(raw)) == _rows(metrics.table_counts(counts))
+
+
 def test_valid_plus_invalid_is_total(spark):
     from shoptrail.operators.validate import split_valid
     wire = P.wire_events(spark, SMALL)
