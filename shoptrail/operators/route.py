@@ -40,15 +40,18 @@ def page_views(raw: DataFrame, derive_session_fields: bool = True) -> DataFrame:
         _p("scroll_depth").alias("scroll_depth"), _p("device_type").alias("device_type"),
         _p("browser").alias("browser"), _p("traffic_source").alias("traffic_source"),
         _p("is_bounce").alias("_bounce"))
-    if derive_session_fields:
-        d = with_previous_page(d, out="_lag")
-        d = with_bounce(d, out="_b")
-        d = (d.withColumn("previous_page", F.coalesce("_pp", "_lag"))
-              .withColumn("is_bounce", F.coalesce("_bounce", "_b"))
-              .drop("_pp", "_lag", "_bounce", "_b"))
-    else:
-        d = d.withColumnRenamed("_pp", "previous_page").withColumnRenamed("_bounce", "is_bounce")
-    return d
+    d = d.withColumnRenamed("_pp", "previous_page").withColumnRenamed("_bounce", "is_bounce")
+    return with_session_fields(d) if derive_session_fields else d
+
+
+def with_session_fields(views: DataFrame) -> DataFrame:
+    """E6, E7 over a page view table: ``previous_page`` and ``is_bounce`` where
+    the payload gave none. Both depend on the whole session, so a table that
+    grows by increments keeps the payload's values and is read through this."""
+    d = with_bounce(with_previous_page(views, out="_lag"), out="_b")
+    return (d.withColumn("previous_page", F.coalesce("previous_page", "_lag"))
+             .withColumn("is_bounce", F.coalesce("is_bounce", "_b"))
+             .drop("_lag", "_b"))
 
 
 def product_interactions(raw: DataFrame) -> DataFrame:

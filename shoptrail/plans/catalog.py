@@ -1051,3 +1051,6 @@ def stream_sessions(spark, sf_dir):
     return out.select("customer_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"),
                       F.col("session_end").cast("timestamp_ntz").alias("session_end"),
                       "events", "page_views", "last_page")
+
+
+from shoptrail.plans import catalog_io  # noqa: E402,F401  (registers the file, sink and ETL queries)

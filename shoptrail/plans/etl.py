@@ -59,40 +59,53 @@ def load_statistics(raw: DataFrame, day) -> DataFrame:
 
 def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_dir: str,
             processed_dir: str, run_at: datetime | None = None, buckets: int = 256,
-            products: DataFrame | None = None) -> dict[str, str]:
+            products: DataFrame | None = None, manifest: str | None = None) -> dict[str, str]:
     """U4: one batch run. Reads landed Parquet files (and the local store
     table when given), de-duplicates (files first, newest store rows next),
     stamps run metadata, merges into RAW_EVENTS at ``target_dir`` rewriting
     only the key buckets the batch touches (``merge_into_buckets``; staging
-    in the shared checkpoint folder), then appends the unseen rows of every
-    processed table. Returns the written paths."""
+    in the shared checkpoint folder), then routes this run's rows only and
+    appends the unseen ones to every processed table. Returns the written paths.
+
+    With ``manifest`` (a table of loaded file paths) files that it names are
+    not read again; this run's files are added once all tables are written, so
+    a run that broke off is repeated whole. Page views keep the payload's
+    session fields: read them through ``route.with_session_fields``."""
     import uuid
 
     from shoptrail.session import scratch_path, table_exists
-    from shoptrail.sources.files import read_landed
+    from shoptrail.sources.files import new_files, read_landed
     run_at = run_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    files = read_landed(spark, file_dir).drop("extraction_time").withColumn("source_rank", F.lit(0))
-    frames = [files]
+    rejects = f"{processed_dir}/rejected"  # rows without a key cannot be merged; they are kept apart
+    paths = file_dir if manifest is None else new_files(spark, file_dir, manifest)
+    frames = []
+    if paths:
+        frames.append(read_landed(spark, paths).drop("extraction_time").withColumn("source_rank", F.lit(0)))
     if store is not None:
         frames.append(store.withColumn("source_rank", F.lit(1)).withColumn("source_file", F.lit("duckdb")))
+    builders = {"page_views": lambda raw: route.page_views(raw, derive_session_fields=False),
+                "product_interactions": route.product_interactions,
+                "purchases": route.purchases, "searches": route.searches,
+                "user_engagement": route.user_engagement,
+                "purchase_items": lambda raw: route.purchase_items(route.purchases(raw), products)}
+    written = {"raw_events": target_dir, "rejected": rejects} | {name: f"{processed_dir}/{name}" for name in builders}
+    if not frames:
+        return written
     union = dedup.union_by_name(frames)
-    rejects = f"{processed_dir}/rejected"  # rows without a key cannot be merged; they are kept apart
     etl_metadata(dedup.null_key_rows(union).drop("source_rank"), run_at).write.mode("append").parquet(rejects)
     batch = etl_metadata(dedup.keep_first(union.filter(F.col("event_id").isNotNull())).drop("source_rank"), run_at)
     batch = batch.withColumn("is_valid", F.coalesce(F.col("is_valid"), F.lit(True)))
-    staging = scratch_path(spark, f"staging/raw_events-{uuid.uuid4().hex}")
-    dedup.merge_into_buckets(spark, target_dir, batch, staging, buckets=buckets)
-    raw = spark.read.parquet(target_dir).drop(dedup.BUCKET_COL)
-    written = {"raw_events": target_dir, "rejected": rejects}
-    builders = {"page_views": route.page_views, "product_interactions": route.product_interactions,
-                "purchases": route.purchases, "searches": route.searches,
-                "user_engagement": route.user_engagement,
-                "purchase_items": lambda raw: route.purchase_items(route.purchases(raw), products)}
+    run = uuid.uuid4().hex
+    landed = scratch_path(spark, f"staging/batch-{run}")  # read by the merge and by every router
+    batch.write.parquet(landed)
+    batch = spark.read.parquet(landed)
+    dedup.merge_into_buckets(spark, target_dir, batch, scratch_path(spark, f"staging/raw_events-{run}"), buckets=buckets)
     for name, build in builders.items():
-        path = f"{processed_dir}/{name}"
-        rows = build(raw)
+        path = written[name]
+        rows = build(batch)
         if table_exists(spark, path):
             rows = dedup.unseen(rows, spark.read.parquet(path), "purchase_item_id" if name == "purchase_items" else "event_id")
         rows.write.mode("append").parquet(path)
-        written[name] = path
+    if manifest is not None and paths:
+        spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append").parquet(manifest)
     return written

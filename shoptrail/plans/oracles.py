@@ -71,11 +71,11 @@ fx AS (
     ts + INTERVAL 90 SECOND AS ingestion_time
   FROM ev3),
 items AS (
-  SELECT eid, event_id, i, (k + 31 * i) % 100 AS pk,
-         'PROD_' || CAST((k + 31 * i) % 100 AS VARCHAR) AS product_id,
-         CAST(CAST(5 AS DECIMAL(10,2)) + CAST((k + 31 * i) % 100 AS DECIMAL(10,2)) * CAST(1.25 AS DECIMAL(10,2)) AS DECIMAL(10,2)) AS price,
+  SELECT eid, event_id, i, pk, 'PROD_' || CAST(pk AS VARCHAR) AS product_id,
+         CAST(CAST(5 AS DECIMAL(10,2)) + CAST(pk AS DECIMAL(10,2)) * CAST(1.25 AS DECIMAL(10,2)) AS DECIMAL(10,2)) AS price,
          CAST(1 + (k + i) % 3 AS INTEGER) AS quantity
-  FROM (SELECT eid, event_id, k, unnest(range(0, 1 + k % 3)) AS i FROM fx WHERE event_type = 'PURCHASE')),
+  FROM (SELECT *, 1 + (eid + 31 * i) % (SELECT max(p_partkey) FROM part) AS pk FROM
+        (SELECT eid, event_id, k, unnest(range(0, 1 + k % 3)) AS i FROM fx WHERE event_type = 'PURCHASE'))),
 subt AS (
   SELECT eid, CAST(SUM(price * quantity) AS DECIMAL(12,2)) AS subtotal FROM items GROUP BY eid),
 fx2 AS (

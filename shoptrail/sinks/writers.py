@@ -11,7 +11,7 @@ from shoptrail.operators.validate import flatten
 
 
 def write_routes(df: DataFrame, base: str, route_col: str = "category",
-                 max_records_per_file: int = 1000, mode: str = "append") -> None:
+                 max_records_per_file: int = 1_000_000, mode: str = "append") -> None:
     """K2: Parquet files partitioned by route (raw / processed / failed),
     Snappy, at most ``max_records_per_file`` rows per file. Nested payloads
     are flattened to ``a_b`` columns (K4); arrays stay arrays."""
@@ -46,15 +46,18 @@ def warehouse_ready(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def silver_batch_writer(table_path: str):
+def silver_batch_writer(table_path: str, run_id: str | None = None):
     """K5: ``foreachBatch`` function appending the six-column silver shape.
     Each micro-batch is written under its batch id, so a retried batch
-    replaces its own output instead of appending twice."""
+    replaces its own output instead of appending twice. Batch ids start anew
+    with a new checkpoint: give each checkpoint its own ``run_id``, which keeps
+    the earlier history in a folder of its own."""
+    base = table_path if run_id is None else f"{table_path}/run_id={run_id}"
     from shoptrail.operators.validate import silver_projection
 
     def write(batch: DataFrame, batch_id: int) -> None:
         (silver_projection(batch).withColumn("BATCH_ID", F.lit(batch_id))
-            .write.mode("overwrite").parquet(f"{table_path}/batch_id={batch_id}"))
+            .write.mode("overwrite").parquet(f"{base}/batch_id={batch_id}"))
     return write
 
 

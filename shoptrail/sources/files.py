@@ -8,9 +8,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoptrail.session import table_exists
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Every Parquet file under ``path`` with lineage.
+
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """Path, modification time and length of every file under ``path``
+    (file metadata only; the content column is pruned)."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            .select("path", "modificationTime", "length"))
+
+
+def new_files(spark: SparkSession, path: str, manifest: str) -> list[str]:
+    """The Parquet files under ``path`` that ``manifest`` (a Parquet table of
+    loaded paths, absent before the first run) does not name. The list is of
+    file names, which the driver's file index holds for any scan."""
+    found = list_files(spark, path).where(F.col("path").endswith(".parquet")).select("path")
+    if table_exists(spark, manifest):
+        found = found.join(spark.read.parquet(manifest), "path", "left_anti")
+    return [r[0] for r in found.orderBy("path").collect()]
+
+
+def read_landed(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+    """Every Parquet file under ``path`` (a folder or a list of files)
+    with lineage.
 
     Schemas of different files are merged by name (missing columns NULL);
     unreadable files are skipped; each row gets ``source_file`` (file name,
@@ -19,7 +39,7 @@ def read_landed(spark: SparkSession, path: str, schema: T.StructType | None = No
               .option("recursiveFileLookup", "true"))
     if schema is not None:
         reader = reader.schema(schema)
-    df = reader.parquet(path)
+    df = reader.parquet(*([path] if isinstance(path, str) else path))
     cols = [c for c in df.columns if c != "source_file"]
     return df.select(*cols, F.col("_metadata.file_name").alias("source_file"),
                      F.current_timestamp().cast("timestamp_ntz").alias("extraction_time"))
@@ -68,17 +88,19 @@ def json_array_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_newest_files(spark: SparkSession, path: str, files: int = 5, limit: int = 100) -> DataFrame:
-    """Rows of the newest ``files`` files by modification time, newest
-    first, at most ``limit`` rows. Files are ranked on file metadata, so only
-    a per-file aggregate (one row per file) is ordered globally."""
-    df = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true").parquet(path)
-    meta = df.select(F.col("_metadata.file_path").alias("_fp"),
-                     F.col("_metadata.file_modification_time").alias("_mt"))
-    newest = meta.distinct().orderBy(F.col("_mt").desc(), F.col("_fp")).limit(files)
-    d = df.withColumn("_fp", F.col("_metadata.file_path")).join(newest, "_fp", "left_semi")
-    order = [F.col(c).desc_nulls_last() for c in ("ingestion_time", "timestamp") if c in df.columns]
-    order += [F.col(c) for c in ("event_id",) if c in df.columns]
-    return d.orderBy(*order).limit(limit).drop("_fp")
+    """Rows of the newest ``files`` files (that hold rows) by modification
+    time, newest first, at most ``limit`` rows. Ranking reads file metadata and
+    footers, no column; then only the ``files`` newest are read."""
+    reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
+    newest = (reader.parquet(path)
+              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("time"))
+              .distinct().orderBy(F.col("time").desc(), "path").limit(files).select("path").collect())
+    if not newest:
+        return reader.parquet(path).limit(0)
+    d = reader.parquet(*[r.path for r in newest])
+    order = [F.col(c).desc_nulls_last() for c in ("ingestion_time", "timestamp") if c in d.columns]
+    order += [F.col(c) for c in ("event_id",) if c in d.columns]
+    return d.orderBy(*order).limit(limit)
 
 
 def read_file_for_table(spark: SparkSession, path: str) -> DataFrame:

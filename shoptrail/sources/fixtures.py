@@ -129,12 +129,15 @@ def _payload(ev: DataFrame) -> DataFrame:
     price = F.col("p_retailprice").cast("decimal(10,2)")
     prod_price = F.when(F.col("neg_price"), -price).otherwise(price).cast("decimal(10,2)")
     n_items = 1 + k % 3
+
+    def part_key(i):
+        return 1 + (F.col("eid") + 31 * i) % F.col("n_parts")
     items = F.transform(F.sequence(F.lit(0), n_items - 1), lambda i: F.struct(
-        F.concat(F.lit("PROD_"), ((k + 31 * i) % 100).cast("string")).alias("product_id"),
+        F.concat(F.lit("PROD_"), part_key(i).cast("string")).alias("product_id"),
         F.lit(None).cast("string").alias("product_name"),
         F.lit(None).cast("string").alias("category"),
         F.lit(None).cast("string").alias("brand"),
-        (F.lit(5).cast("decimal(10,2)") + ((k + 31 * i) % 100).cast("decimal(10,2)")
+        (F.lit(5).cast("decimal(10,2)") + part_key(i).cast("decimal(10,2)")
          * F.lit("1.25").cast("decimal(10,2)")).cast("decimal(10,2)").alias("price"),
         (1 + (k + i) % 3).cast("int").alias("quantity")))
     ev = ev.withColumn("_items", on(is_buy, items))
@@ -206,7 +209,8 @@ def raw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     event_timestamp (ISO text), session_id, event_data (JSON), is_valid,
     invalid_field, source, plus the topic coordinates partition and offset.
     """
-    ev = _payload(_typed_events(spark, sf_dir))
+    parts = read_table(spark, sf_dir, "part").agg(F.max("p_partkey").cast("long"))
+    ev = _payload(_typed_events(spark, sf_dir).withColumn("n_parts", parts.scalar()))
     p = F.col("payload")
     # product page_url travels under the common name page_url
     event_data = F.to_json(p.withField("page_url", F.coalesce(p["page_url"], p["product_page_url"]))

@@ -126,3 +126,31 @@ def test_store_table_file_table_and_journey_lookup(spark, tmpdir_path):
     one = journey.filter("customer_id IS NOT NULL").select("customer_id").first().customer_id
     seq = [r.session_sequence for r in views.journey_of(journey, one).collect()]
     assert seq == list(range(1, len(seq) + 1))
+
+
+def test_run_etl_reads_only_new_files(spark, tmpdir_path):
+    raw = P.raw_events(spark, SMALL).drop("source_file")
+    land, target, done, manifest = (os.path.join(tmpdir_path, d) for d in ("landed", "raw_events", "processed", "loaded"))
+    raw.write.parquet(os.path.join(land, "a"))
+
+    def run(day):
+        return run_etl(spark, land, None, target, done, run_at=datetime(2024, 2, day), manifest=manifest, buckets=4)
+    run(1)
+    assert spark.read.parquet(manifest).count() == spark.read.parquet(manifest).distinct().count() > 0
+    w = run(2)  # nothing new: no row is stamped again
+    first = spark.read.parquet(w["raw_events"])
+    assert {r[0] for r in first.select("etl_timestamp").distinct().collect()} == {datetime(2024, 2, 1)}
+    one = raw.limit(1).withColumn("event_id", F.lit("EVT_new"))
+    one.write.parquet(os.path.join(land, "b"))
+    w = run(3)
+    after = spark.read.parquet(w["raw_events"])
+    assert after.count() == raw.count() + 1
+    assert [r.event_id for r in after.where(F.col("etl_timestamp") == F.lit(datetime(2024, 2, 3))).collect()] == ["EVT_new"]
+
+
+def test_silver_history_survives_a_new_checkpoint(spark, tmpdir_path):
+    from shoptrail.sinks.writers import silver_batch_writer
+    wire = P.wire_events(spark, SMALL)
+    silver_batch_writer(tmpdir_path, "r1")(wire.limit(3), 0)
+    silver_batch_writer(tmpdir_path, "r2")(wire.limit(2), 0)
+    assert spark.read.parquet(tmpdir_path).count() == 5
