@@ -21,10 +21,10 @@ from pyspark.sql import functions as F
 _CHUNK = "_chunk"
 
 
-def _with_chunk(df: DataFrame, ts: str, chunk: str) -> DataFrame:
-    # rows without a time form the first chunk, where the plain window has them
-    first = F.lit("0001-01-01 00:00:00").cast(df.schema[ts].dataType)
-    return df.withColumn(_CHUNK, F.coalesce(F.date_trunc(chunk, F.col(ts)), first))
+def _with_chunk(df: DataFrame, ts: str, chunk: str, nulls_last: bool = False) -> DataFrame:
+    # rows without a time form the first (or last) chunk, where the plain window has them
+    edge = F.lit("9999-12-31 23:59:59" if nulls_last else "0001-01-01 00:00:00").cast(df.schema[ts].dataType)
+    return df.withColumn(_CHUNK, F.coalesce(F.date_trunc(chunk, F.col(ts)), edge))
 
 
 def _join_back(df: DataFrame, agg: DataFrame, keys: list[str], extra: list[str]) -> DataFrame:
@@ -82,7 +82,7 @@ def sequence_number(df: DataFrame, keys: list[str], ts: str, ties: list[str],
     """``row_number()`` per key ordered by (ts, *ties), NULL times last."""
     order = [F.col(ts).asc_nulls_last()] + [F.col(t).asc_nulls_last() for t in ties]
     w = Window.partitionBy(*keys, _CHUNK).orderBy(*order)
-    d = _with_chunk(df, ts, chunk).withColumn("_o_rn", F.row_number().over(w))
+    d = _with_chunk(df, ts, chunk, nulls_last=True).withColumn("_o_rn", F.row_number().over(w))
     per_chunk = d.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("_o_n"))
     wk = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).asc_nulls_last())
     per_chunk = per_chunk.withColumn(

@@ -59,11 +59,12 @@ def declared_invalid_breakdown(wire: DataFrame) -> DataFrame:
 
 
 def running_quality(flagged: DataFrame, keys: list[str], ts: str, tie: str,
-                    valid_col: str = "is_valid_event") -> DataFrame:
+                    valid_col: str = "is_valid_event", chunk: str = "hour") -> DataFrame:
     """Running processed / valid counts and quality % per key in time
-    order (the stream processor's cumulative score, per customer-day here)."""
+    order (the stream processor's cumulative score, per customer-day here).
+    ``chunk`` must be finer than any time unit among the keys."""
     d = running_counts(flagged, keys, ts, tie,
-                       {"running_processed": F.lit(True), "running_valid": F.col(valid_col)})
+                       {"running_processed": F.lit(True), "running_valid": F.col(valid_col)}, chunk)
     return d.withColumn("running_quality_pct", pct("running_valid", "running_processed", 1))
 
 

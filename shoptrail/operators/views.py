@@ -48,10 +48,11 @@ def daily_event_summary_of(raw: DataFrame, approx: bool = False) -> DataFrame:
     return _daily(processed_filter(raw, S.PROCESSED_TYPES), None, approx)
 
 
-def customer_journey(sessions: DataFrame, purchases: DataFrame, chunk: str = "day") -> DataFrame:
+def customer_journey(sessions: DataFrame, purchases: DataFrame, chunk: str = "hour") -> DataFrame:
     """V2: sessions LEFT JOIN purchases on session; ``converted``,
     ``purchase_amount``, and ``session_sequence`` numbering the joined rows per
-    customer by start time (ties: session id, order id)."""
+    customer by start time (ties: session id, order id). Sessions without a
+    customer are numbered as one key, so ``chunk`` bounds their tasks."""
     from shoptrail.operators.ordered import sequence_number
     p = purchases.select("session_id", "order_id", F.col("total_amount").alias("purchase_amount"))
     j = sessions.select("customer_id", "session_id", "start_time", "duration_seconds",

@@ -49,3 +49,14 @@ def test_sequence_and_running_count(spark):
     w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
     ref2 = df.select("id", F.sum(F.col("ok").cast("long")).over(w).alias("c"))
     assert sorted(got2.collect()) == sorted(ref2.collect())
+
+
+def test_hot_key_day_and_missing_times_by_the_hour(spark):
+    rows = [("~", None if i % 17 == 0 else datetime(2024, 1, 3) + timedelta(seconds=(i * 7919) % 86400), i, i % 3 == 0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, id long, ok boolean")
+    w = Window.partitionBy("k").orderBy("ts", "id").rowsBetween(Window.unboundedPreceding, 0)
+    got = running_count(df, ["k"], "ts", "id", "ok", "c", chunk="hour").select("id", "c")
+    assert sorted(got.collect()) == sorted(df.select("id", F.sum(F.col("ok").cast("long")).over(w).alias("c")).collect())
+    got = sequence_number(df, ["k"], "ts", ["id"], "n", chunk="hour").select("id", "n")
+    last = Window.partitionBy("k").orderBy(F.col("ts").asc_nulls_last(), "id")
+    assert sorted(got.collect()) == sorted(df.select("id", F.row_number().over(last).alias("n")).collect())
