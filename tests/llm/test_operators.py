@@ -118,6 +118,15 @@ def test_language_id_held_out_accuracy(docs):
     assert all(0 <= r["score"] <= 1 for r in got)
 
 
+def test_language_sample_is_the_smallest_id_hashes(spark):
+    ids = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 100 == 0, "b").otherwise("a").alias("lang"))
+    got = {tuple(r) for r in language_id._smallest_hashes(ids, 500).select("lang", "doc_id", "place").collect()}
+    by = {}
+    for r in ids.withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").collect():
+        by.setdefault(r["lang"], []).append(r["doc_id"])
+    assert got == {(lang, i, n) for lang, some in by.items() for n, i in enumerate(some[:500], start=1)}
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     text = "abracadabra alakazam"
     codes, sizes, _ = language_id._Reader()([text])
