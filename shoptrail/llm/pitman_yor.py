@@ -1,35 +1,33 @@
 """LM scoring with a hierarchical Pitman-Yor model (operator 7).
 
-Restaurants: one for each previous word of a bounded head vocabulary (plus
-one for all other words and one for the start of a text) with the head words,
-RARE and END as dishes; all of them share one parent restaurant over the same
-dishes, whose base is uniform. A further restaurant seats the words behind
-RARE, as many as the corpus has; its base gives ``unseen`` to words never
-seen and spreads the rest evenly. A word's probability is that of its dish
-in its context, times that of the word behind RARE if it is rare.
+Restaurants: one for each previous word seen in training (the end token is
+the context of a text's first word), with the words that followed it as
+dishes; all of them share one parent restaurant over the whole vocabulary,
+whose base gives ``unseen`` to words never seen and spreads the rest evenly.
 
 Seating is sampled by Gibbs sweeps: a sweep seats the customers of each
-(restaurant, dish) cell again, one after the other, given the tables that all
-other cells had after the sweep before (long queues in growing steps, each a
-binomial draw). Tables of the context restaurants are the customers of the
+(previous word, word) cell again, one after the other, given the tables that
+all other cells had after the sweep before (long queues in growing steps, each
+a binomial draw). Tables of the context restaurants are the customers of the
 parent. After ``burn`` sweeps the predictive probabilities of the next ones
-are averaged. Draws are seeded by cell, so a lost task is redone alike.
+are averaged. Draws are seeded by bucket, so a lost task is redone alike.
 
-Words are counted over all training texts by blocks and hash buckets (see
-exchange.py): the vocabulary grows with the corpus and stays distributed. The
-head model is a (head+2) x (head+2) matrix of fixed size, the only thing that
-is sent to every task.
+Words and pairs are counted over all training texts by blocks and hash buckets
+(see exchange.py). A word bucket holds its words' counts and their tables as
+context and as dish; a pair bucket holds cells, dealt by both words, so that
+the cells of a frequent context are spread. A cell with one customer has one
+table in every sweep; only words of cells with more are exchanged in a sweep,
+as positions in their word bucket. Vocabulary and cells grow with the corpus
+and stay distributed; the driver sees a few totals a sweep.
 
 Words are 64-bit xxh64 hashes of lower-cased (A-Z) words. Defined cases: null
 and empty texts are the end token alone; rows without doc_id are held out
 False but are not learned from; with no training text every probability comes
-from the bases; an empty table gives an empty result.
+from the base; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 import xxhash
@@ -38,7 +36,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.llm.exchange import buckets_for, deal, joined, lengths, parts
 from shoptrail.llm.tables import blocks, crc_mod, stage, text_batches, text_bytes
-from shoptrail.llm.text import words
+from shoptrail.llm.text import U, mix, words
 
 BLOCK_BYTES = 8_000_000
 END = xxhash.xxh64_intdigest(b" ")  # no word holds a space
@@ -82,258 +80,348 @@ class _Ids(dict):
         return i
 
 
-def _tokens(texts, ids: _Ids) -> tuple[np.ndarray, np.ndarray]:
-    """(word numbers of all texts one after the other, words of each text)."""
+def _tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sorted distinct hashes with END, all texts' words as positions in them
+    with END after each text, tokens of each text)."""
+    ids = _Ids()
     rows = [np.fromiter(map(ids.__getitem__, words(t, lower=True)), np.int64) for t in texts]
-    return (np.concatenate(rows) if rows else np.empty(0, np.int64)), np.array([len(r) for r in rows], np.int64)
+    size = np.array([len(r) + 1 for r in rows], np.int64)
+    own = np.append(np.fromiter((xxhash.xxh64_intdigest(w) for w in ids), np.uint64, len(ids)), np.uint64(END))
+    order = np.argsort(own)
+    rank = np.empty(len(own), np.int64)
+    rank[order] = np.arange(len(own))
+    every = np.full(int(size.sum()), len(ids), np.int64)
+    inner = np.ones(len(every), bool)
+    inner[np.cumsum(size) - 1] = False
+    every[inner] = np.concatenate(rows)
+    return own[order], rank[every], size
+
+
+def _pairs(own: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (previous, word) positions in the order of their hashes, and
+    each token's pair. END is before the first word of every text."""
+    end = np.searchsorted(own, U(END))
+    code, which = np.unique(np.r_[end, every[:-1]] * len(own) + every, return_inverse=True)
+    return code // len(own), code % len(own), which
+
+
+def _deal_pairs(u: np.ndarray, w: np.ndarray, n: int):
+    return deal(mix(u * U(0x9E3779B97F4A7C15) ^ w), n)
+
+
+def _runs(sorted_values: np.ndarray) -> np.ndarray:
+    """Starts of the runs of equal values."""
+    return np.flatnonzero(np.r_[True, sorted_values[1:] != sorted_values[:-1]]) if len(sorted_values) else np.empty(0, np.int64)
+
+
+def _pack(x: np.ndarray) -> bytes:
+    """Non-negative integers in the least width that holds them all."""
+    top = int(x.max()) if len(x) else 0
+    width = next(w for w in (1, 2, 4, 8) if top < 256 ** w)
+    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+
+
+def _unpack(raw: bytes | None) -> np.ndarray:
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64) if raw else np.zeros(0, np.int64)
+
 
+def _pack_rising(x: np.ndarray) -> bytes:
+    return _pack(np.diff(x, prepend=0))
 
-def _hashes(ids: _Ids) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in ids), np.uint64, len(ids))
+
+def _unpack_rising(raw: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(raw))
 
 
 def _count(n_buckets: int):
+    """What a block asks: its words (kind 0) and pairs (kind 1), with their
+    counts in training texts. A pair row has the distinct contexts (h), how
+    many words follow each (n) and those words (w)."""
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = _Ids()
-        flat, n = _tokens(pdf["text"], ids)
-        learn = pdf["learn"].to_numpy(bool)
-        c = np.bincount(flat[np.repeat(learn, n)], minlength=len(ids)).astype(np.uint64)
-        h, c = np.append(_hashes(ids), np.uint64(END)), np.append(c, np.uint64(learn.sum()))
+        own, every, size = _tokens(pdf["text"])
+        taught = np.repeat(pdf["learn"].to_numpy(bool), size)
+        c = np.bincount(every[taught], minlength=len(own))
         block = int(pdf["block"].iloc[0])
-        return pd.DataFrame([(k, block, h[i].tobytes(), c[i].tobytes()) for k, i in deal(h, n_buckets)],
-                            columns=["bucket", "block", "h", "c"])
+        rows = [(0, k, block, own[i].tobytes(), b"", b"", _pack(c[i])) for k, i in deal(own, n_buckets)]
+        pu, pw, which = _pairs(own, every)
+        c = np.bincount(which[taught], minlength=len(pu))
+        hu, hw = own[pu], own[pw]
+        for k, i in _deal_pairs(hu, hw, n_buckets):
+            at = _runs(hu[i])
+            rows.append((1, k, block, hu[i][at].tobytes(), _pack(np.diff(np.r_[at, len(i)])), hw[i].tobytes(), _pack(c[i])))
+        return pd.DataFrame(rows, columns=["kind", "bucket", "block", "h", "n", "w", "c"])
     return count
 
 
-def _sum(pdf: pd.DataFrame) -> pd.DataFrame:
-    h, which = np.unique(joined(pdf["h"], np.uint64), return_inverse=True)
-    c = np.zeros(len(h), np.int64)
-    np.add.at(c, which, joined(pdf["c"], np.uint64).astype(np.int64))
-    h, c = h[c > 0], c[c > 0]
-    return pd.DataFrame([(int(pdf["bucket"].iloc[0]), h.tobytes(), c.tobytes(), int(c.sum()), len(h))],
-                        columns=["bucket", "h", "c", "n", "v"])
-
-
-def _top(k: int):
-    def top(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for hb, cb in zip(pdf["h"], pdf["c"]):
-                h, c = np.frombuffer(hb, np.uint64), np.frombuffer(cb, np.int64)
-                h, c = h[h != np.uint64(END)], c[h != np.uint64(END)]
-                first = np.lexsort((h, -c))[:k]
-                yield pd.DataFrame({"h": h[first].view(np.int64), "c": c[first]})
-    return top
-
-
-def _cells(head: np.ndarray):
-    """Counts of (previous dish, dish) over the training texts of a partition."""
-    size = len(head) + 2
-    rare, edge = len(head), len(head) + 1
-
-    def cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(size * size, np.int64)
-        dishes: dict[bytes, int] = {}
-        for pdf in frames:
-            for t in pdf["text"][pdf["learn"].to_numpy(bool)]:
-                ws = words(t, lower=True)
-                if len(dishes) > 300_000:
-                    dishes.clear()
-                new = [w for w in set(ws) if w not in dishes]
-                pos, ok = _spread(np.fromiter(map(xxhash.xxh64_intdigest, new), np.uint64, len(new)), head)
-                dishes.update(zip(new, np.where(ok, pos, rare).tolist()))
-                seq = np.fromiter(map(dishes.__getitem__, ws), np.int64, len(ws))
-                np.add.at(total, np.r_[edge, seq] * size + np.r_[seq, edge], 1)
-        at = np.flatnonzero(total)
-        for u in np.unique(at // size):
-            row = at[at // size == u]
-            yield pd.DataFrame([(int(u), (row % size).astype(np.int32).tobytes(), total[row].tobytes())], columns=["u", "w", "c"])
-    return cells
-
-
-def _restaurant(size: int):
-    def gather(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(size, np.int64)
-        np.add.at(total, joined(pdf["w"], np.int32), joined(pdf["c"], np.int64))
-        w = np.flatnonzero(total)
-        return pd.DataFrame([(int(pdf["u"].iloc[0]), w.astype(np.int32).tobytes(), total[w].tobytes())], columns=["u", "w", "c"])
+_ASKED = "kind int, bucket int, block int, h binary, n binary, w binary, c binary"
+_GATHERED = "kind int, bucket int, source int, h binary, c binary, su binary, sw binary, lu binary, lw binary, n long, v long"
+_GATHERED_COLUMNS = [x.split()[0] for x in _GATHERED.split(", ")]
+_EMPTY = [b""] * 4
+
+
+def _gather(n_buckets: int):
+    """Sums the counts of a word or pair bucket. Both give the positions of
+    every block's words or pairs among the bucket's (kinds 2 and 3).
+
+    Kind 0: a word bucket's words and counts, with their sum and the number
+    of words seen in training. Kind 1: a pair bucket's counts. Kind 4: the
+    cells with more than one customer as positions of their context (su) and
+    word (sw). Kind 5: the bucket's words for each word bucket: their cells
+    with one customer as context and as dish (su, sw) and with more (lu, lw).
+    The positions of kind 4 count the words that have cells with more, word
+    bucket after word bucket."""
+    def gather(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        kind, me = int(key[0]), int(key[1])
+        count = np.concatenate([_unpack(x) for x in pdf["c"]])
+        if kind == 0:
+            h, which = np.unique(joined(pdf["h"], np.uint64), return_inverse=True)
+        else:
+            asked_u = np.repeat(joined(pdf["h"], np.uint64), np.concatenate([_unpack(x) for x in pdf["n"]]))
+            asked_w = joined(pdf["w"], np.uint64)
+            order = np.lexsort((asked_w, asked_u))
+            u, w = asked_u[order], asked_w[order]
+            del asked_u, asked_w
+            new = np.r_[True, (u[1:] != u[:-1]) | (w[1:] != w[:-1])]
+            which = np.empty(len(order), np.int64)
+            which[order] = np.cumsum(new) - 1
+            u, w = u[new], w[new]
+            del order, new
+        c = np.zeros(len(h if kind == 0 else u), np.int64)
+        np.add.at(c, which, count)
+        sizes = lengths(pdf["h" if kind == 0 else "w"], 8)
+        rows = [(2 + kind, me, int(b), _pack_rising(x), b"", *_EMPTY, 0, 0) for b, x in zip(pdf["block"], parts(which, sizes))]
+        if kind == 0:
+            rows.append((0, me, me, h.tobytes(), _pack(c), *_EMPTY, int(c.sum()), int((c > 0).sum())))
+            return pd.DataFrame(rows, columns=_GATHERED_COLUMNS)
+        rows.append((1, me, me, b"", _pack(c), *_EMPTY, 0, 0))
+        u, w, c = u[c > 0], w[c > 0], c[c > 0]
+        own = np.unique(np.r_[u, w])
+        ui, wi, more = np.searchsorted(own, u), np.searchsorted(own, w), c > 1
+        used = [np.bincount(i[m], minlength=len(own)) for m in (~more, more) for i in (ui, wi)]
+        place, at = np.zeros(len(own), np.int64), 0
+        for k, i in sorted(deal(own, n_buckets), key=lambda x: x[0]):
+            rows.append((5, k, me, own[i].tobytes(), b"", *[_pack(x[i]) for x in used], 0, 0))
+            live = i[(used[2][i] + used[3][i]) > 0]
+            place[live] = np.arange(at, at + len(live))
+            at += len(live)
+        rows.append((4, me, me, b"", _pack(c[more]), _pack(place[ui[more]]), _pack(place[wi[more]]), b"", b"", 0, 0))
+        return pd.DataFrame(rows, columns=_GATHERED_COLUMNS)
     return gather
 
 
-def _seat_contexts(seats: _Seats, seed: int, sweep: int, T: np.ndarray, parent: np.ndarray):
-    """Tables of each restaurant's dishes in one sweep, given the tables of
-    all restaurants before it and the parent's probabilities."""
-    def seat(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = []
-            for u, wb, cb in zip(pdf["u"], pdf["w"], pdf["c"]):
-                w, c = np.frombuffer(wb, np.int32), np.frombuffer(cb, np.int64)
-                rng = np.random.default_rng([seed, sweep, int(u)])
-                t = seats.tables(c, (seats.theta + seats.d * T[u]) * parent[w], rng)
-                rows.append((int(u), wb, t.tobytes()))
-            yield pd.DataFrame(rows, columns=["u", "w", "c"])
-    return seat
+_STATE = ("kind int, bucket int, source int, pos binary, su binary, sw binary, t_u binary, served binary, t1 binary, t binary, "
+          "served_n long, t1_n long")
+_STATE_COLUMNS = [x.split()[0] for x in _STATE.split(", ")]
 
 
-def _matrix(rooms: DataFrame, size: int) -> np.ndarray:
-    """The head model's cells: at most size x size numbers, whatever the input."""
-    out = np.zeros((size, size))
-    for r in rooms.select("u", "w", "c").collect():
-        out[r["u"], np.frombuffer(r["w"], np.int32)] = np.frombuffer(r["c"], np.int64)
-    return out
-
-
-def _seat_rare(seats: _Seats, seed: int, head: np.ndarray, sweeps: list[tuple[int, float]], base: float):
-    """For each vocabulary bucket: its rare words' tables in each sweep
-    (number, tables before it), their sums and their mean."""
-    def seat(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for bucket, hb, cb in zip(pdf["bucket"], pdf["h"], pdf["c"]):
-                h, c = np.frombuffer(hb, np.uint64), np.frombuffer(cb, np.int64)
-                rare = ~_spread(h, head)[1] & (h != np.uint64(END))
-                mean, last = np.zeros(len(h)), 0
-                for s, T in sweeps:
-                    rng = np.random.default_rng([seed, s, int(bucket)])
-                    t = seats.tables(c[rare], np.full(int(rare.sum()), (seats.theta + seats.d * T) * base), rng)
-                    mean[rare] += t / len(sweeps)
-                    last = int(t.sum())
-                yield pd.DataFrame([(int(bucket), h.tobytes(), c.tobytes(), mean.tobytes(), last)],
-                                   columns=["bucket", "h", "c", "t", "tables"])
-    return seat
+def _state_row(bucket: int, su, sw, T, served, t1, t: bytes) -> tuple:
+    return (0, bucket, -1, b"", *[_pack(x) for x in (su, sw, T, served, t1)], t, int(served.sum()), int(t1.sum()))
 
 
-def _answer(pairs: pd.DataFrame, vocab: pd.DataFrame) -> pd.DataFrame:
-    """Tells each block the counts and mean tables of its words."""
-    h, c, t = (joined(vocab[n], x) for n, x in (("h", np.uint64), ("c", np.int64), ("t", np.float64)))
-    size = lengths(pairs["h"], 8)
-    rows = []
-    for block, ask in zip(pairs["block"], parts(joined(pairs["h"], np.uint64), size)):
-        pos, ok = _spread(ask, h)
-        rows.append((block, ask[ok].tobytes(), c[pos[ok]].tobytes() if len(h) else b"", t[pos[ok]].tobytes() if len(h) else b""))
-    return pd.DataFrame(rows, columns=["block", "h", "c", "t"])
+def _held(state: pd.DataFrame, column: str) -> np.ndarray:
+    return _unpack(state[column].iloc[0]) if len(state) else np.zeros(0, np.int64)
+
 
+def _open(vocab: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
+    """A word bucket before the first sweep (kind 0; one table a cell) and
+    the positions that each pair bucket asks for in a sweep (kind 1)."""
+    h = joined(vocab["h"], np.uint64)
+    total = [np.zeros(len(h), np.int64) for _ in range(4)]
+    bucket = int((vocab if len(vocab) else came)["bucket"].iloc[0])
+    rows = []
+    for r in came.itertuples(index=False):
+        pos = _spread(np.frombuffer(r.h, np.uint64), h)[0]
+        used = [_unpack(x) for x in (r.su, r.sw, r.lu, r.lw)]
+        for x, y in zip(total, used):
+            x[pos] += y
+        live = pos[(used[2] + used[3]) > 0]
+        if len(live):
+            rows.append((1, bucket, r.source, _pack_rising(live), *[b""] * 6, 0, 0))
+    su, sw, lu, lw = total
+    rows.append(_state_row(bucket, su, sw, su + lu, sw + lw, np.minimum(sw + lw, 1), b""))
+    return pd.DataFrame(rows, columns=_STATE_COLUMNS)
+
+
+class _Parent:
+    """The parent restaurant's predictive probabilities under its totals."""
+
+    def __init__(self, seats: _Seats, served: int, tables: int, base: float, unseen: float):
+        self.d, self.denom = seats.d, seats.theta + served
+        self.new, self.base, self.unseen = (seats.theta + seats.d * tables) / self.denom, base, unseen
+
+    def of(self, served: np.ndarray, t1: np.ndarray) -> np.ndarray:
+        return np.maximum(served - self.d * t1, 0) / self.denom + self.new * self.base
+
+
+def _tell(parent: _Parent):
+    """Gives the pair buckets their words' tables as context and probability
+    as dish."""
+    def tell(asks: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        T, p = _held(state, "t_u"), parent.of(_held(state, "served"), _held(state, "t1"))
+        rows = []
+        for r in asks.itertuples(index=False):
+            pos = _unpack_rising(r.pos)
+            rows.append((r.source, r.bucket, r.pos, _pack(T[pos]), p[pos].tobytes()))
+        return pd.DataFrame(rows, columns=["bucket", "source", "pos", "t_u", "p"])
+    return tell
+
+
+def _seat(seats: _Seats, seed: int, sweep: int):
+    """Seats a pair bucket's cells: rows with the tables by context and by
+    dish for the word buckets, and one with the tables of the cells."""
+    def seat(live: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        rows = []
+        if len(live) and len(told):
+            told = told.sort_values("source")
+            me = int(live["bucket"].iloc[0])
+            u, w, c = (_unpack(live[x].iloc[0]) for x in ("su", "sw", "c"))
+            T, p = np.concatenate([_unpack(x) for x in told["t_u"]]), joined(told["p"], np.float64)
+            t = seats.tables(c, (seats.theta + seats.d * T[u]) * p[w], np.random.default_rng([seed, sweep, me]))
+            size = lengths(told["p"], 8)
+            by_u, by_w = (parts(np.bincount(i, t, len(T)).astype(np.int64), size) for i in (u, w))
+            rows = [(int(k), pos, _pack(a), _pack(b), b"") for k, pos, a, b in zip(told["source"], told["pos"], by_u, by_w)]
+            rows.append((me, b"", b"", b"", _pack(t)))
+        return pd.DataFrame(rows, columns=["bucket", "pos", "by_u", "by_w", "t"])
+    return seat
 
-def _score(head: np.ndarray, log_dish: np.ndarray, d0: float, denom0: float, new0: float, unseen: float, n: int, v: int, seen_base: float):
-    """``log_dish``: log10 of the averaged dish probabilities by context."""
-    rare, edge = len(head), len(head) + 1
 
+def _close(root: _Seats, seed: int, sweep: int, new: float):
+    """A word bucket after a sweep; the parent's customers are seated again.
+    The tables of the pair bucket of the same number ride along."""
+    def close(key, sums: pd.DataFrame, state: pd.DataFrame) -> pd.DataFrame:
+        su, sw = _held(state, "su"), _held(state, "sw")
+        T, served, cells = su.copy(), sw.copy(), b""
+        for pos, a, b, t in zip(sums["pos"], sums["by_u"], sums["by_w"], sums["t"]):
+            if t:
+                cells = t
+                continue
+            at = _unpack_rising(pos)
+            T[at] += _unpack(a)
+            served[at] += _unpack(b)
+        t1 = root.tables(served, np.full(len(served), new), np.random.default_rng([seed, sweep, int(key[0])]))
+        return pd.DataFrame([_state_row(int(key[0]), su, sw, T, served, t1, cells)], columns=_STATE_COLUMNS)
+    return close
+
+
+_REPLY = "block int, kind int, bucket int, c binary, t_u binary, p binary"
+_REPLY_COLUMNS = [x.split()[0] for x in _REPLY.split(", ")]
+
+
+def _answer_words(parents: list[_Parent]):
+    """Tells each block its words' counts and, for each sample, their tables
+    as context and (in single precision) probability as dish, in the order
+    they were asked."""
+    def answer(asked: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
+        c = _held(came[came["sample"] < 0], "c")
+        states = came[came["sample"] >= 0].sort_values("sample")
+        T = [_unpack(x) for x in states["t_u"]]
+        p = [np.where(c > 0, q.of(_unpack(s), _unpack(t)), q.new * q.unseen) for q, s, t in zip(parents, states["served"], states["t1"])]
+        rows = []
+        for block, bucket, raw in zip(asked["source"], asked["bucket"], asked["h"]):
+            pos = _unpack_rising(raw)
+            rows.append((block, 0, bucket, _pack(c[pos]), _pack(np.concatenate([x[pos] for x in T])),
+                         np.concatenate([x[pos] for x in p]).astype(np.float32).tobytes()))
+        return pd.DataFrame(rows, columns=_REPLY_COLUMNS)
+    return answer
+
+
+def _answer_pairs(d: float, samples: int):
+    """Tells each block its pairs' customers less the discounts of their mean
+    tables (0 for pairs not seen), in the order they were asked."""
+    def answer(asked: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
+        c = _held(came[came["sample"] < 0], "c")
+        left = np.where(c > 0, c - d, 0.0)
+        if (c > 1).any():
+            left[c > 1] = c[c > 1] - d * sum(_unpack(t) for t in came.loc[came["sample"] >= 0, "t"]) / samples
+        rows = [(block, 1, bucket, b"", b"", left[_unpack_rising(raw)].astype(np.float32).tobytes())
+                for block, bucket, raw in zip(asked["source"], asked["bucket"], asked["h"])]
+        return pd.DataFrame(rows, columns=_REPLY_COLUMNS)
+    return answer
+
+
+def _score(seats: _Seats, n_buckets: int, samples: int, n: int, v: int):
     def score(pdf: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
-        ids = _Ids()
-        flat, size = _tokens(pdf["text"], ids)
-        h, c, t = (joined(came[x], y) for x, y in (("h", np.uint64), ("c", np.int64), ("t", np.float64)))
-        order = np.argsort(h)
-        h, c, t = h[order], c[order], t[order]
-        own = np.append(_hashes(ids), np.uint64(END))
-        pos, ok = _spread(own, h)
-        count = np.where(ok, c[pos], 0) if len(h) else np.zeros(len(own), np.int64)
-        mean = np.where(ok, t[pos], 0.0) if len(h) else np.zeros(len(own))
-        at, is_head = _spread(own, head)
-        dish = np.where(is_head, at, rare)
-        word = np.where(count > 0, (np.maximum(count - d0 * mean, 0) / denom0 if denom0 else 0) + new0 * seen_base, new0 * unseen)
-        spelled = np.where(is_head, 0.0, np.log10(np.maximum(word, 1e-300)))
+        own, every, size = _tokens(pdf["text"])
+        pu, pw, which = _pairs(own, every)
+        count, left = np.zeros(len(own), np.int64), np.zeros(len(pu))
+        T, p = np.zeros((samples, len(own))), np.zeros((samples, len(own)))
+        told = {(r.kind, r.bucket): r for r in came.itertuples(index=False)}
+        for k, i in deal(own, n_buckets):
+            r = told[0, k]
+            count[i] = _unpack(r.c)
+            T[:, i], p[:, i] = _unpack(r.t_u).reshape(samples, -1), np.frombuffer(r.p, np.float32).reshape(samples, -1)
+        for k, i in _deal_pairs(own[pu], own[pw], n_buckets):
+            left[i] = np.frombuffer(told[1, k].p, np.float32)
+        model = left
+        for s in range(samples):
+            model = model + (seats.theta + seats.d * T[s, pu]) * p[s, pw] / samples
+        model = np.log10(model / (seats.theta + count)[pu])
         base = np.log10((count + 1) / (n + v + 1))
-        spelled[-1], dish[-1] = 0.0, edge
-        ends = np.cumsum(size + 1) - 1
-        every = np.full(len(flat) + len(size), len(ids), np.int64)
-        inner = np.ones(len(every), bool)
-        inner[ends] = False
-        every[inner] = flat
-        d = dish[every]
-        before = np.r_[edge, d[:-1]] if len(d) else d
-        model = log_dish[before, d] + spelled[every]
-        start = ends - size
+        start = np.cumsum(size) - size
         return pd.DataFrame({
             "doc_id": pdf["doc_id"].to_numpy(np.int64), "known": pdf["known"].to_numpy(bool), "held_out": pdf["held_out"].to_numpy(bool),
-            "n_tokens": size + 1, "n_known": np.add.reduceat((count[every] > 0).astype(np.int64), start),
-            "train_tokens": n, "base_score": np.add.reduceat(base[every], start), "score": np.add.reduceat(model, start)})
+            "n_tokens": size, "n_known": np.add.reduceat((count[every] > 0).astype(np.int64), start),
+            "train_tokens": n, "base_score": np.add.reduceat(base[every], start), "score": np.add.reduceat(model[which], start)})
     return score
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held: int = 2,
-                head_words: int = 510, contexts: tuple[float, float] = (0.75, 5.0), parent: tuple[float, float] = (0.5, 5.0),
-                strength: float = 10.0, unseen: float = 0.5, burn: int = 2, samples: int = 4, seed: int = 7) -> DataFrame:
+                contexts: tuple[float, float] = (0.75, 5.0), parent: tuple[float, float] = (0.5, 5.0),
+                unseen: float = 0.5, burn: int = 2, samples: int = 4, seed: int = 7) -> DataFrame:
     """One row for each row of ``docs``: doc_id, held_out (crc32 of the id as
     text, modulo ``modulus``, is ``held``; such texts are not learned from),
     n_tokens, n_known, train_tokens, base_score (add-one unigram), score (the
     model's log10 probability of the text) and perplexity (of its tokens).
 
-    ``contexts`` and ``parent``: discount and strength; the discount of the
-    rare words' restaurant follows from the corpus (words seen once, twice).
+    ``contexts`` and ``parent``: discount and strength.
     """
     text_batches(docs.sparkSession)
     _, n_bytes = text_bytes(docs, text_col)
-    n_buckets = buckets_for(n_bytes)
+    n_buckets = buckets_for(2 * n_bytes)  # of half the usual size: pairs are many
     base, _ = blocks(docs, id_col, text_col, BLOCK_BYTES)
     out = F.coalesce(crc_mod(F.col("doc_id"), modulus) == held, F.lit(False))
     base = base.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text", "block",
                        out.alias("held_out"), (F.col("doc_id").isNotNull() & ~out).alias("learn"))
-    asked = stage(base.select("text", "learn", "block").groupBy("block")
-                  .applyInPandas(_count(n_buckets), "bucket int, block int, h binary, c binary"), "lm-words")
-    vocab = stage(asked.groupBy("bucket").applyInPandas(_sum, "bucket int, h binary, c binary, n long, v long"), "lm-vocabulary")
+    gathered = stage(base.select("text", "learn", "block").groupBy("block").applyInPandas(_count(n_buckets), _ASKED)
+                     .groupBy("kind", "bucket").applyInPandas(_gather(n_buckets), _GATHERED), "lm-cells")
+    vocab = gathered.where("kind = 0")
     n, v = (int(x or 0) for x in vocab.agg(F.sum("n"), F.sum("v")).first())
-
-    top = vocab.mapInPandas(_top(head_words), "h long, c long").orderBy(F.desc("c"), "h").limit(head_words).collect()
-    head = np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
-    size = len(head) + 2
-    counts = base.select("text", "learn").mapInPandas(_cells(head), _ROOM)
-    rooms = stage(counts.groupBy("u").applyInPandas(_restaurant(size), _ROOM), "lm-restaurants")
-
-    # customers and tables of the head model, as fixed-size arrays
-    (d2, th2), (d1, th1) = contexts, parent
-    ctx, root = _Seats(d2, th2), _Seats(d1, th1)
-    cells = _matrix(rooms, size)
-    in_room = cells.sum(axis=1)
-    rare_n = float(cells[:, len(head)].sum())
-    ones = vocab.mapInPandas(_few(head), "one long, two long, v long").agg(F.sum("one"), F.sum("two"), F.sum("v")).first()
-    one, two, rare_v = (int(x or 0) for x in ones)
-    d0 = min(0.95, max(0.05, one / (one + 2 * two))) if one + two else 0.5
-    rare = _Seats(d0, strength)
-    seen_base = (1 - unseen) / max(rare_v, 1)
-
-    T = (cells > 0).sum(axis=1).astype(float)
-    served = (cells > 0).sum(axis=0).astype(float)
-    t1, rare_T = np.minimum(served, 1), float(rare_v)
-    rare_history, averaged, gammas, parents = [], np.zeros((size, size)), [], []
+    live = gathered.where("kind = 4").select("bucket", "su", "sw", "c")
+    opened = stage(vocab.select("bucket", "h").groupBy("bucket").cogroup(
+        gathered.where("kind = 5").select("bucket", "source", "h", "su", "sw", "lu", "lw").groupBy("bucket")).applyInPandas(_open, _STATE), "lm-tables")
+    asks = opened.where("kind = 1").select("bucket", "source", "pos")
+    state = opened.where("kind = 0")
+
+    ctx, root, seen_base = _Seats(*contexts), _Seats(*parent), (1 - unseen) / max(v, 1)
+
+    def totals(state: DataFrame) -> tuple[int, int]:
+        served, t1 = state.agg(F.sum("served_n"), F.sum("t1_n")).first()
+        return int(served or 0), int(t1 or 0)
+    (served_n, t1_n), kept, parents = totals(state), [], []
     for s in range(1, burn + samples + 1):
-        up = np.maximum(served - d1 * t1, 0) / (th1 + served.sum()) + (th1 + d1 * t1.sum()) / (th1 + served.sum()) / size
-        rare_history.append((s, rare_T))
-        t = _matrix(rooms.mapInPandas(_seat_contexts(ctx, seed, s, T, up), _ROOM), size)
-        rare_T = float(vocab.mapInPandas(_seat_rare(rare, seed + 1, head, rare_history[-1:], seen_base), _RARE)
-                       .agg(F.sum("tables")).first()[0] or 0)
-        T, served = t.sum(axis=1), t.sum(axis=0)
-        rng = np.random.default_rng([seed, s])
-        t1 = root.tables(served.astype(np.int64), np.full(size, (th1 + d1 * t1.sum()) / size), rng).astype(float)
+        told = (asks.groupBy("bucket").cogroup(state.select("bucket", "t_u", "served", "t1").groupBy("bucket")).applyInPandas(
+            _tell(_Parent(root, served_n, t1_n, seen_base, unseen)), "bucket int, source int, pos binary, t_u binary, p binary"))
+        sums = live.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInPandas(
+            _seat(ctx, seed, s), "bucket int, pos binary, by_u binary, by_w binary, t binary")
+        new = (root.theta + root.d * t1_n) * seen_base
+        state = stage(sums.groupBy("bucket").cogroup(state.select("bucket", "su", "sw").groupBy("bucket")).applyInPandas(
+            _close(root, seed + 1, s, new), _STATE), "lm-tables")
+        served_n, t1_n = totals(state)
         if s > burn:
-            averaged += t / samples
-            gammas.append((th2 + d2 * T) / (th2 + in_room))
-            parents.append(np.maximum(served - d1 * t1, 0) / (th1 + served.sum())
-                           + (th1 + d1 * t1.sum()) / (th1 + served.sum()) / size)
-    back = sum(np.outer(g, p) for g, p in zip(gammas, parents)) / samples
-    dish = np.maximum(cells - d2 * averaged, 0) / (th2 + in_room)[:, None] + back
-    dish /= dish.sum(axis=1, keepdims=True)
-
-    final = vocab.mapInPandas(_seat_rare(rare, seed + 1, head, rare_history[burn:], seen_base), _RARE)
-    told = (asked.select("bucket", "block", "h").groupBy("bucket").cogroup(final.select("bucket", "h", "c", "t").groupBy("bucket"))
-            .applyInPandas(_answer, "block int, h binary, c binary, t binary"))
-    denom0 = strength + rare_n
-    mean_T = float(np.mean([x for _, x in rare_history[burn:]]))
-    new0 = (strength + d0 * mean_T) / denom0
+            kept.append(state.select("bucket", F.lit(s).alias("sample"), "t_u", "served", "t1", "t"))
+            parents.append(_Parent(root, served_n, t1_n, seen_base, unseen))
+
+    none, first = F.lit(None).cast("binary"), F.lit(-1).alias("sample")
+    known = vocab.select("bucket", first, "c", none.alias("t_u"), none.alias("served"), none.alias("t1"))
+    seated = gathered.where("kind = 1").select("bucket", first, "c", none.alias("t"))
+    for x in kept:
+        known = known.unionByName(x.drop("t"), allowMissingColumns=True)
+        seated = seated.unionByName(x.select("bucket", "sample", "t"), allowMissingColumns=True)
+    told = (gathered.where("kind = 2").select("bucket", "source", "h").groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_answer_words(parents), _REPLY)
+            .unionByName(gathered.where("kind = 3").select("bucket", "source", "h").groupBy("bucket").cogroup(seated.groupBy("bucket"))
+                         .applyInPandas(_answer_pairs(ctx.d, samples), _REPLY)))
     scored = base.drop("learn").groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
-        _score(head, np.log10(dish), d0, denom0, new0, unseen, n, v, seen_base),
+        _score(ctx, n_buckets, samples, n, v),
         "doc_id long, known boolean, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return scored.select(F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens",
                          "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
-
-
-_ROOM = "u int, w binary, c binary"
-_RARE = "bucket int, h binary, c binary, t binary, tables long"
-
-
-def _few(head: np.ndarray):
-    """Rare words seen once, twice, and all of them."""
-    def few(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            for hb, cb in zip(pdf["h"], pdf["c"]):
-                h, c = np.frombuffer(hb, np.uint64), np.frombuffer(cb, np.int64)
-                rare = ~_spread(h, head)[1] & (h != np.uint64(END))
-                yield pd.DataFrame([(int((c[rare] == 1).sum()), int((c[rare] == 2).sum()), int(rare.sum()))], columns=["one", "two", "v"])
-    return few

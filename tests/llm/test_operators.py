@@ -196,6 +196,18 @@ def test_pitman_yor_base_and_gain(docs, rows):
     assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
+def test_pitman_yor_learns_pairs_of_all_words(spark):
+    """1,400 words of equal count, far beyond any fixed head: a pair that was
+    seen is likelier than the same words in a pair that was not."""
+    made = [(i, f"left{i % 700} right{i % 700}") for i in range(4200) if zlib.crc32(str(i).encode()) % 7 != 2]
+    held = [i for i in range(10_000, 11_000) if zlib.crc32(str(i).encode()) % 7 == 2][:40]
+    made += [(i, f"left{k} right{k if k % 2 else k + 1}") for k, i in enumerate(held)]
+    got = {r["doc_id"]: r for r in pitman_yor.score_texts(spark.createDataFrame(made, "doc_id long, text string")).collect()}
+    seen, crossed = [got[i] for i in held[1::2]], [got[i] for i in held[::2]]
+    assert all(r["held_out"] and r["n_known"] == 3 for r in seen + crossed)
+    assert min(r["score"] for r in seen) > max(r["score"] for r in crossed) + 1
+
+
 def test_outliers_base_values(docs, rows):
     got = {r["doc_id"]: r for r in outliers.judge(docs).collect()}
     for i, r in rows.items():
