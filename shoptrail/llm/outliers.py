@@ -14,10 +14,14 @@ gathered anywhere, so a source with a third of all rows is like any other.
 Small groups use the estimate of their language, small languages that of all
 rows; all three levels are estimated alike.
 
-``floor`` is the least standard deviation of a statistic: most texts have no
-symbols or repeated lines at all, and a zero variance would reject any text
-with one. ``cutoff`` is in standard normal quantiles of the distance's
-chi-square law.
+Most texts have no symbols or repeated lines at all, and a zero variance would
+reject any text with one. So the variance of a statistic is for each text at
+least that text's own counting error, 1/4 over the units counted (the variance
+of an arcsine share): characters for symbols and upper case, words for word
+length and for digits (they come as numbers), lines for repeated lines, and
+six words for repeats (the least repeat is two runs of three words). One
+repeated line among three is thus no outlier, twelve among thirty are.
+``cutoff`` is in standard normal quantiles of the distance's chi-square law.
 
 Defined cases: null and wordless texts fail the base rule; null lang and
 source are groups of their own; a value that is undefined for a text (no
@@ -40,7 +44,7 @@ from shoptrail.llm.tables import stage, text_batches
 
 FEATURES = ["word_length", "symbols", "dup_lines", "repeats", "upper", "digits"]
 P = len(FEATURES)
-STATS = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+STATS = ("n_words long, word_chars long, n_lines long, n_symbols long, n_dup_lines long, n_repeat_words long, "
          + ", ".join(f"{f} double" for f in FEATURES))
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
 _SPACE = [9, 10, 11, 12, 13, 32]
@@ -48,9 +52,14 @@ _SPACE = [9, 10, 11, 12, 13, 32]
 _SYMBOLS = [ord(c) for c in "#*$%&|<>"]
 
 
-def _share(a: int, b: int, damp: int = 0) -> float:
-    """Variance-stabilised share; ``damp`` draws those of short texts to 0."""
-    return float(np.arcsin(np.sqrt(min(1.0, a / (b + damp))))) if b else 0.0
+# For each of FEATURES what its counting error is counted in, and how many make a unit.
+_UNITS = [("n_words", 1), ("word_chars", 1), ("n_lines", 1), ("n_words", 6), ("word_chars", 1), ("n_words", 1)]
+_COUNTS = ["n_words", "word_chars", "n_lines"]
+
+
+def _share(a: int, b: int) -> float:
+    """Variance-stabilised share."""
+    return float(np.arcsin(np.sqrt(min(1.0, a / b)))) if b else 0.0
 
 
 def text_stats(text: str | None) -> tuple:
@@ -76,8 +85,8 @@ def text_stats(text: str | None) -> tuple:
                     covered[i] = covered[i + 1] = covered[i + 2] = 1
             repeated = sum(covered)
     length = float(np.log(chars / n)) if n else 0.0
-    return (n, chars, symbols, dup, repeated, length, _share(symbols, chars), _share(dup, len(lines), 10),
-            _share(repeated, n, 200), _share(int(n_by[65:91].sum()), chars), _share(int(n_by[48:58].sum()), chars))
+    return (n, chars, len(lines), symbols, dup, repeated, length, _share(symbols, chars), _share(dup, len(lines)),
+            _share(repeated, n), _share(int(n_by[65:91].sum()), chars), _share(int(n_by[48:58].sum()), chars))
 
 
 def _stats(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
@@ -107,37 +116,56 @@ def _consistency(support: float) -> float:
     return support / cdf(P + 2)[min(q, len(grid) - 1)]
 
 
-def _inverted(floor: float, scale: float):
-    """Mean and the inverse of the (scaled, floored) covariance of a group."""
-    def invert(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _estimated(scale: float):
+    """Mean and the scaled covariance of a group."""
+    def estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in frames:
             rows = []
             for r in pdf.itertuples(index=False):
                 mean = np.array(r.s) / r.n
-                cov = np.zeros((P, P))
-                for (i, j), v in zip(PAIRS, r.q):
-                    cov[i, j] = cov[j, i] = v / r.n - mean[i] * mean[j]
-                cov = cov * scale + np.eye(P) * floor ** 2
-                inverse = np.linalg.inv(cov)
-                rows.append((r.level, r.g1, r.g2, mean.tolist(), [float(inverse[i, j]) for i, j in PAIRS]))
-            yield pd.DataFrame(rows, columns=["level", "g1", "g2", "mean", "inv"])
-    return invert
+                cov = [scale * (v / r.n - mean[i] * mean[j]) for (i, j), v in zip(PAIRS, r.q)]
+                rows.append((r.level, r.g1, r.g2, mean.tolist(), [float(v) for v in cov]))
+            yield pd.DataFrame(rows, columns=["level", "g1", "g2", "mean", "cov"])
+    return estimate
+
+
+_PARAMS = "level int, g1 string, g2 string, mean array<double>, cov array<double>"
+_ROWS = 10_000  # matrices solved at once
+
+
+def distances(x: np.ndarray, counts: np.ndarray, mean: np.ndarray, cov: np.ndarray) -> np.ndarray:
+    """Squared Mahalanobis distances of the rows of ``x`` to ``mean`` under
+    ``cov`` (PAIRS), each variance at least the row's own counting error."""
+    full = np.empty((len(x), P, P))
+    for k, (i, j) in enumerate(PAIRS):
+        full[:, i, j] = full[:, j, i] = cov[:, k]
+    for i, (unit, size) in enumerate(_UNITS):
+        error = size / (4 * np.maximum(counts[:, _COUNTS.index(unit)], 1))
+        full[:, i, i] = np.maximum(full[:, i, i], error) + 1e-9
+    dev = x - mean
+    return np.maximum(np.einsum("ij,ij->i", dev, np.linalg.solve(full, dev[:, :, None])[:, :, 0]), 0.0)
+
+
+def _far(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+    for mean, cov, *columns in batches:
+        out = np.full(len(mean), np.nan)  # rows without an estimate
+        known = np.flatnonzero(mean.notna().to_numpy())
+        values = np.column_stack([c.to_numpy(float) for c in columns])
+        for at in range(0, len(known), _ROWS):
+            i = known[at:at + _ROWS]
+            out[i] = distances(values[i, :P], values[i, P:], np.stack(mean.iloc[i].to_list()), np.stack(cov.iloc[i].to_list()))
+        yield pd.Series(out)
 
 
-_PARAMS = "level int, g1 string, g2 string, mean array<double>, inv array<double>"
+_far.__annotations__ = {"batches": Iterator[tuple[pd.Series, ...]], "return": Iterator[pd.Series]}
 
 
 def _distance() -> Column:
-    """Squared Mahalanobis distance of the feature columns to (mean, inv)."""
-    dev = [F.col(f) - F.col("mean")[i] for i, f in enumerate(FEATURES)]
-    terms = [F.col("inv")[k] * dev[i] * dev[j] * (1 if i == j else 2) for k, (i, j) in enumerate(PAIRS)]
-    total = terms[0]
-    for t in terms[1:]:
-        total = total + t
-    return F.greatest(total, F.lit(0.0))
+    """Squared Mahalanobis distance of the feature columns to (mean, cov)."""
+    return F.pandas_udf(_far, "double")("mean", "cov", *FEATURES, *_COUNTS)
 
 
-def _concentrate(rows: DataFrame, params: DataFrame, support: float, floor: float, scale: float) -> DataFrame:
+def _concentrate(rows: DataFrame, params: DataFrame, support: float, scale: float) -> DataFrame:
     """One concentration step: params of the closest ``support`` share."""
     keys = ["level", "g1", "g2"]
     far = rows.join(params, keys).withColumn("bin", F.floor(F.log1p(_distance()) * 50).cast("int"))
@@ -149,11 +177,11 @@ def _concentrate(rows: DataFrame, params: DataFrame, support: float, floor: floa
     sums = near.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.array(*[F.sum(f) for f in FEATURES]).alias("s"),
         F.array(*[F.sum(F.col(FEATURES[i]) * F.col(FEATURES[j])) for i, j in PAIRS]).alias("q"))
-    return stage(sums.mapInPandas(_inverted(floor, scale), _PARAMS), "mcd")
+    return stage(sums.mapInPandas(_estimated(scale), _PARAMS), "mcd")
 
 
 def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
-          min_words: int = 50, max_repeat_percent: int = 50, support: float = 0.75, steps: int = 3, floor: float = 0.1,
+          min_words: int = 50, max_repeat_percent: int = 50, support: float = 0.75, steps: int = 3,
           cutoff: float = 4.0, min_group: int = 100) -> DataFrame:
     """One row for each row of ``docs``: doc_id, the base statistics,
     base_failed, kept, distance2 (null if base_failed) and the level of the
@@ -170,30 +198,30 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     levels = F.array(F.struct(F.lit(0).alias("level"), F.col("g1"), F.col("g2")),
                      F.struct(F.lit(1).alias("level"), F.col("g1"), F.lit("*").alias("g2")),
                      F.struct(F.lit(2).alias("level"), F.lit("*").alias("g1"), F.lit("*").alias("g2")))
-    rows = good.select(*FEATURES, F.explode(levels).alias("k")).select("k.*", *FEATURES)
+    rows = good.select(*FEATURES, *_COUNTS, F.explode(levels).alias("k")).select("k.*", *FEATURES, *_COUNTS)
     keys = ["level", "g1", "g2"]
     mid = stage(rows.groupBy(*keys).agg(F.array(*[F.percentile_approx(f, 0.5, 1000) for f in FEATURES]).alias("mean"),
                                         F.count(F.lit(1)).alias("n")), "medians")
     big = mid.where((F.col("n") >= min_group) | (F.col("level") == 2)).select(*keys, "mean")
     mad = rows.join(big, keys).groupBy(*keys, "mean").agg(F.array(*[
         F.percentile_approx(F.abs(F.col(f) - F.col("mean")[i]), 0.5, 1000) for i, f in enumerate(FEATURES)]).alias("mad"))
-    inverse = F.array(*[1 / (F.pow(F.col("mad")[i] * 1.4826, 2.0) + floor ** 2) if i == j else F.lit(0.0) for i, j in PAIRS])
-    params = stage(mad.select(*keys, "mean", inverse.alias("inv")), "mcd")
+    cov = F.array(*[F.pow(F.col("mad")[i] * 1.4826, 2.0) if i == j else F.lit(0.0) for i, j in PAIRS])
+    params = stage(mad.select(*keys, "mean", cov.alias("cov")), "mcd")
     rows = rows.join(params.select(*keys), keys, "left_semi")
     for _ in range(steps):
-        params = _concentrate(rows, params, support, floor, _consistency(support))
+        params = _concentrate(rows, params, support, _consistency(support))
 
     def level(n: int, on: list[str]) -> DataFrame:
         p = params.where(F.col("level") == n)
-        return p.select(*on, F.struct("mean", "inv").alias(f"p{n}"))
+        return p.select(*on, F.struct("mean", "cov").alias(f"p{n}"))
     whole = params.where("level = 2").first()  # one row of 27 numbers
     p2 = F.lit(None)
     if whole is not None:
-        p2 = F.struct(F.array(*map(F.lit, whole["mean"])).alias("mean"), F.array(*map(F.lit, whole["inv"])).alias("inv"))
+        p2 = F.struct(F.array(*map(F.lit, whole["mean"])).alias("mean"), F.array(*map(F.lit, whole["cov"])).alias("cov"))
     judged = (table.join(level(0, ["g1", "g2"]), ["g1", "g2"], "left").join(level(1, ["g1"]), "g1", "left")
-              .withColumn("p2", p2.cast("struct<mean:array<double>,inv:array<double>>")))
+              .withColumn("p2", p2.cast("struct<mean:array<double>,cov:array<double>>")))
     judged = judged.withColumn("level", F.when(F.col("p0").isNotNull(), 0).when(F.col("p1").isNotNull(), 1).otherwise(2))
-    judged = judged.withColumn("p", F.coalesce("p0", "p1", "p2")).withColumn("mean", F.col("p.mean")).withColumn("inv", F.col("p.inv"))
+    judged = judged.withColumn("p", F.coalesce("p0", "p1", "p2")).withColumn("mean", F.col("p.mean")).withColumn("cov", F.col("p.cov"))
     d2 = F.when(~F.col("base_failed"), _distance())
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                          (~F.col("base_failed") & (d2 <= chi_square(P, cutoff))).alias("kept"), d2.alias("distance2"), "level")

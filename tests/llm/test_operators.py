@@ -225,6 +225,23 @@ def test_outliers_base_values(docs, rows):
         assert not (g["base_failed"] and g["kept"])
 
 
+def test_outliers_rejects_symbols_and_repeated_lines(spark):
+    rng = np.random.default_rng(5)
+
+    def lines(n):
+        return [" ".join("".join(chr(97 + x) for x in rng.integers(0, 26, rng.integers(3, 9))) for _ in range(12)).capitalize() for _ in range(n)]
+    made = [(i, "\n".join(lines(30))) for i in range(150)]
+    for i in range(1000, 1010):
+        text = lines(30)
+        made.append((i, "\n".join(x + " #$%&*|<>#$" for x in text)))  # every eighth character or so is a symbol
+        made.append((i + 1000, "\n".join(text[:18] + text[:12])))
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in made], "doc_id long, text string, lang string, source string")
+    got = {r["doc_id"]: r for r in outliers.judge(docs, max_repeat_percent=90).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert not any(r["kept"] for i, r in got.items() if i >= 1000)
+    assert sum(r["kept"] for i, r in got.items() if i < 1000) >= 147
+
+
 def test_secrets_base_spans_ownership_and_masks(spark, docs, rows):
     a = re.compile(secrets.ASSIGN.replace("(?i)", ""), re.I | re.A)
     got = {r["doc_id"]: r for r in secrets.scan(docs, *owner_columns()).collect()}
