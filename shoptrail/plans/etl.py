@@ -69,7 +69,9 @@ def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_
 
     With ``manifest`` (a table of loaded file paths) files that it names are
     not read again; this run's files are added once all tables are written, so
-    a run that broke off is repeated whole. Page views keep the payload's
+    a run that broke off is repeated whole. A file that cannot be read to its
+    end fails the run, with its name, before any table is written: it is not
+    named as loaded, and is read once it is whole or gone. Page views keep the payload's
     session fields: read them through ``route.with_session_fields``."""
     import uuid
 
@@ -80,7 +82,7 @@ def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_
     paths = file_dir if manifest is None else new_files(spark, file_dir, manifest)
     frames = []
     if paths:
-        frames.append(read_landed(spark, paths).drop("extraction_time").withColumn("source_rank", F.lit(0)))
+        frames.append(read_landed(spark, paths, skip_unreadable=False).drop("extraction_time").withColumn("source_rank", F.lit(0)))
     if store is not None:
         frames.append(store.withColumn("source_rank", F.lit(1)).withColumn("source_file", F.lit("duckdb")))
     builders = {"page_views": lambda raw: route.page_views(raw, derive_session_fields=False),
@@ -92,12 +94,12 @@ def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_
     if not frames:
         return written
     union = dedup.union_by_name(frames)
-    etl_metadata(dedup.null_key_rows(union).drop("source_rank"), run_at).write.mode("append").parquet(rejects)
     batch = etl_metadata(dedup.keep_first(union.filter(F.col("event_id").isNotNull())).drop("source_rank"), run_at)
     batch = batch.withColumn("is_valid", F.coalesce(F.col("is_valid"), F.lit(True)))
     run = uuid.uuid4().hex
     landed = scratch_path(spark, f"staging/batch-{run}")  # read by the merge and by every router
     batch.write.parquet(landed)
+    etl_metadata(dedup.null_key_rows(union).drop("source_rank"), run_at).write.mode("append").parquet(rejects)
     batch = spark.read.parquet(landed)
     dedup.merge_into_buckets(spark, target_dir, batch, scratch_path(spark, f"staging/raw_events-{run}"), buckets=buckets)
     for name, build in builders.items():

@@ -28,14 +28,17 @@ def new_files(spark: SparkSession, path: str, manifest: str) -> list[str]:
     return [r[0] for r in found.orderBy("path").collect()]
 
 
-def read_landed(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None) -> DataFrame:
+def read_landed(spark: SparkSession, path: str | list[str], schema: T.StructType | None = None,
+                skip_unreadable: bool = True) -> DataFrame:
     """Every Parquet file under ``path`` (a folder or a list of files)
     with lineage.
 
     Schemas of different files are merged by name (missing columns NULL);
-    unreadable files are skipped; each row gets ``source_file`` (file name,
-    from the scan's hidden metadata) and ``extraction_time``."""
-    reader = (spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", "true")
+    unreadable files are skipped, from the row on where reading fails (without
+    ``skip_unreadable`` the read fails and names the file); each row gets
+    ``source_file`` (file name, from the scan's hidden metadata) and
+    ``extraction_time``."""
+    reader = (spark.read.option("mergeSchema", "true").option("ignoreCorruptFiles", str(skip_unreadable).lower())
               .option("recursiveFileLookup", "true"))
     if schema is not None:
         reader = reader.schema(schema)

@@ -4,6 +4,7 @@ import json
 import os
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from shoptrail.operators.land import to_raw_events
@@ -148,6 +149,27 @@ def test_run_etl_reads_only_new_files(spark, tmpdir_path):
     assert [r.event_id for r in after.where(F.col("etl_timestamp") == F.lit(datetime(2024, 2, 3))).collect()] == ["EVT_new"]
 
 
+def test_run_etl_does_not_mark_a_broken_file_as_loaded(spark, tmpdir_path):
+    raw = P.raw_events(spark, SMALL).drop("source_file")
+    src, land, target, done, manifest = (os.path.join(tmpdir_path, d) for d in ("src", "landed", "raw_events", "processed", "loaded"))
+    raw.coalesce(1).write.parquet(src)
+    with open(os.path.join(src, next(f for f in os.listdir(src) if f.endswith(".parquet"))), "rb") as f:
+        whole = f.read()
+    os.makedirs(land)
+
+    def run(data):
+        with open(os.path.join(land, "a.parquet"), "wb") as f:
+            f.write(data)
+        return run_etl(spark, land, None, target, done, run_at=datetime(2024, 2, 1), manifest=manifest, buckets=4)
+    n = len(whole)
+    with pytest.raises(Exception, match="a.parquet"):  # footer whole, data not
+        run(whole[:4] + bytes(n // 2) + whole[4 + n // 2:])
+    assert not any(os.path.exists(x) for x in (target, manifest, os.path.join(done, "rejected")))
+    w = run(whole)
+    assert spark.read.parquet(w["raw_events"]).count() == raw.count()
+    assert spark.read.parquet(manifest).count() == 1
+
+
 def test_silver_history_survives_a_new_checkpoint(spark, tmpdir_path):
     from shoptrail.sinks.writers import silver_batch_writer
     wire = P.wire_events(spark, SMALL)
