@@ -97,3 +97,28 @@ SELECT doc_id, count(*) FILTER (WHERE kind = 0) AS n_assign, count(*) FILTER (WH
     count(*) FILTER (WHERE kind = 2) AS n_hex, sha256({joined("kind < 3")}) AS base_sha256, {joined("kind < 3 OR live")} AS spans,
     {joined("live")} AS live_spans, count(*) FILTER (WHERE live) AS n_live, count(*) FILTER (WHERE NOT live) AS n_copied
 FROM judged GROUP BY doc_id"""
+
+
+def jaccard_join(percent: int = 80) -> str:
+    return f"SELECT doc_id, n_shingles, component_id FROM ({near_dedup(percent)})"
+
+
+def lexical_search(top: int = 50) -> str:
+    terms = (r"unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'))")
+    return f"""
+WITH cut AS MATERIALIZED (
+    SELECT doc_id, {terms} AS term FROM documents),
+tf AS MATERIALIZED (SELECT doc_id, term, count(*) AS tf FROM cut GROUP BY ALL),
+len AS MATERIALIZED (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+total AS (SELECT count(*) AS all_docs, sum(n)::BIGINT AS all_terms FROM len),
+wanted AS (SELECT DISTINCT item_id, {terms} AS term FROM benchmark),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM tf, total GROUP BY term, all_docs),
+scored AS (
+    SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len.n * all_docs) // all_terms)))) AS BIGINT) AS score
+    FROM wanted JOIN tf USING (term) JOIN weight USING (term) JOIN len USING (doc_id), total GROUP BY item_id, doc_id),
+ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= {top}"""

@@ -3,6 +3,7 @@ a planted one that holds every kind of span, copies, short and empty texts."""
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from shoptrail.llm import queries
 from tests.conftest import SMALL
@@ -29,9 +30,11 @@ def test_query_equals_its_sql(spark, tmp_path, name, table):
         made = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in PLANTED],
                                      "doc_id long, text string, lang string, source string, n_chars long")
         made.write.parquet(f"{folder}/documents.parquet")
-    files = f"{folder}/documents.parquet" + ("/*.parquet" if table == "planted" else "")
+        made.select(F.col("doc_id").alias("item_id"), "text").write.parquet(f"{folder}/benchmark.parquet")
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{files}')")
+    for name_ in ("documents", "benchmark"):
+        files = f"{folder}/{name_}.parquet" + ("/*.parquet" if table == "planted" else "")
+        con.execute(f"CREATE VIEW {name_} AS SELECT * FROM read_parquet('{files}')")
     got = queries.QUERIES[name](spark, folder)
     order = sorted(got.columns)
     rows = sorted((tuple(r[c] for c in order) for r in got.collect()), key=str)
