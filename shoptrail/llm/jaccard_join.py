@@ -18,9 +18,10 @@ its own band and in the one below.
    with as many pairs as members.
 2. Subsets that then lie in several groups are paired across groups where at
    most ``hot`` sets hold them. Hotter ones cost most, so the allocation skips
-   them, hottest first, and pays for each with one of the first q segments
-   raised to v = 1: its deletions look up equal subsets, its subset looks up
-   deletions. No pair is lost by that.
+   them, hottest first: some for nothing, as far as the set's own size allows
+   a smaller difference than its band, each other one paid for with one of
+   the first q segments raised to v = 1: its deletions look up equal subsets,
+   its subset looks up deletions. No pair is lost by that.
 3. What no allocation can skip (more hot subsets than segments to raise), or
    what raises a hot neighbourhood, goes to the prefix bounds of
    ``near_dedup._rare``: no hot subset is paired whole, and none is cut.
@@ -114,68 +115,56 @@ def _places(sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarra
     return own, below
 
 
+def _slack(n: np.ndarray, where: np.ndarray, own: np.ndarray, percent: int) -> np.ndarray:
+    """Segments of that band that a set of size n may skip for nothing: its
+    own size may allow a smaller difference than the band does."""
+    _, high = bands(percent)
+    top = high[np.maximum(where, 0)]
+    partner = np.where(where == own, np.minimum(top, n * 100 // percent), top)
+    return top * (100 - percent) // percent - (n + partner) * (100 - percent) // (100 + percent)
+
+
 def _signer(k: int, percent: int):
     def sign(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wh = WordHashes()
         for pdf in frames:
             for a, b, sets in _sets(pdf["text"].tolist(), wh, k):
                 part = pdf.iloc[a:b]
-                own, _ = _places(sets, percent)
-                yield pd.DataFrame({"doc": part["doc"].to_numpy(), "th": part["th"].to_numpy(),
-                                    "n": np.array([len(s) for s in sets], np.int64),
-                                    "m": [segments(percent, int(o)) if o >= 0 else 0 for o in own],
-                                    "class": [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets]})
+                n = np.array([len(s) for s in sets], np.int64)
+                own, below = _places(sets, percent)
+                made = list(keys(sets, own, percent))
+                yield pd.DataFrame({
+                    "doc": part["doc"].to_numpy(), "th": part["th"].to_numpy(), "n": n, "m": [len(x[0]) for x in made],
+                    "class": [xxhash.xxh3_128_hexdigest(s.tobytes()) if len(s) else None for s in sets],
+                    "own_slack": _slack(n, own, own, percent), "low_slack": _slack(n, below, own, percent),
+                    "own": [signed(x[0]) for x in made], "low": [signed(x[0]) for x in keys(sets, below, percent)],
+                    "near": [signed(x[1][np.repeat(x[2] > LEAST_RAISED, x[2])]) for x in made]})
     return sign
 
 
-def _keyer(k: int, percent: int):
-    """(key, doc, probe): look-ups in the band below are probes only."""
-    def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wh = WordHashes()
-        for pdf in frames:
-            for a, b, sets in _sets(pdf["text"].tolist(), wh, k):
-                ids = pdf["doc"].iloc[a:b].to_numpy()
-                for where, probe in zip(_places(sets, percent), (False, True)):
-                    made = [x[0] for x in keys(sets, where, percent)]
-                    if made:
-                        yield pd.DataFrame({"key": signed(np.concatenate(made)), "doc": np.repeat(ids, [len(x) for x in made]), "probe": probe})
-    return emit
-
-
-def _indexer(k: int, percent: int):
-    """What raised segments look up: kind A the subsets of the first q
-    segments, kind B their one-deletion neighbourhoods."""
-    def emit(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        wh = WordHashes()
-        for pdf in frames:
-            for a, b, sets in _sets(pdf["text"].tolist(), wh, k):
-                ids = pdf["doc"].iloc[a:b].to_numpy()
-                own, _ = _places(sets, percent)
-                full, dels = [], []
-                for whole, cut, sizes in keys(sets, own, percent):
-                    full.append(whole[:len(sizes)][sizes >= LEAST_RAISED - 1])
-                    dels.append(cut[np.repeat(sizes > LEAST_RAISED, sizes)])
-                for made, kind in ((full, "A"), (dels, "B")):
-                    yield pd.DataFrame({"key": signed(np.concatenate(made)), "doc": np.repeat(ids, [len(x) for x in made]), "kind": kind})
-    return emit
+SIGNED = ("doc string, th long, n long, m int, class string, own_slack long, low_slack long, own array<long>, low array<long>, "
+          "near array<long>")
 
 
 def _allocator(k: int, percent: int):
-    """A set with the hot keys of its own band and of the one below, hottest
-    first. Gives the raised look-ups (kind A: a deletion for equal subsets, B:
-    the subset for deletions) and the hot keys that stay (kind H)."""
+    """A set with the hot keys, hottest first, of its own band and of the one
+    below that its slack does not cover. Gives the raised look-ups (kind A: a
+    deletion for equal subsets, B: the subset for deletions) and the hot keys
+    that stay (kind H)."""
     def allocate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wh = WordHashes()
         for pdf in frames:
             for a, b, sets in _sets(pdf["text"].tolist(), wh, k):
                 out = []
                 for where, column in zip(_places(sets, percent), ("hot_own", "hot_low")):
-                    part = zip(pdf["doc"].iloc[a:b], pdf[column].iloc[a:b], keys(sets, where, percent))
-                    for doc, hot, (full, dels, sizes) in part:
+                    part = zip(pdf["doc"].iloc[a:b], pdf[column].iloc[a:b], pdf[column.replace("hot", "covered")].iloc[a:b],
+                               keys(sets, where, percent))
+                    for doc, hot, covered, (full, dels, sizes) in part:
                         if hot is None or not len(hot):
                             continue
-                        full, dels, hot = signed(full), signed(dels), [int(h) for h in hot]
-                        skipped, ends = set(hot), np.cumsum(sizes)
+                        full, dels = signed(full), signed(dels)
+                        skipped, ends = {int(h) for h in hot}, np.cumsum(sizes)
+                        hot = [int(h) for h in hot[int(covered):]]
                         free = [i for i in range(len(sizes)) if int(full[i]) not in skipped and sizes[i] >= LEAST_RAISED]
                         for i in free[:len(hot)]:
                             out.append((int(full[i]), doc, "B"))
@@ -222,15 +211,18 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     src = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"),
                       F.xxhash64(F.col(text_col).cast("string")).alias("th"))
     table = (src.withColumn("doc", F.col("doc").cast("string"))  # pandas would make nullable longs floats
-             .mapInPandas(_signer(k, percent), "doc string, th long, n long, m int, class string"))
+             .mapInPandas(_signer(k, percent), SIGNED))
     table = stage(table.withColumn("doc", F.col("doc").cast("long")), "sets")
     usable = table.where("n > 0 and doc is not null")
-    main = stage(usable.groupBy("doc").agg(F.min(F.struct("class", "th", "n", "m")).alias("a")).select("doc", "a.*"), "documents")
-    reps = stage(main.groupBy("class").agg(F.min(F.struct("doc", "th", "n", "m")).alias("a")).select("class", "a.*"), "classes")
+    kept = ["th", "n", "m", "own_slack", "low_slack"]
+    main = stage(usable.groupBy("doc").agg(F.min(F.struct("class", *kept)).alias("a")).select("doc", "a.*"), "documents")
+    reps = stage(main.groupBy("class").agg(F.min(F.struct("doc", *kept)).alias("a")).select("class", "a.*"), "classes")
     texts = src.join(narrow(reps.select("doc", "th")), ["doc", "th"], "left_semi").select("doc", "text")
+    index = table.join(narrow(reps.select("doc", "th")), ["doc", "th"], "left_semi")
 
     same = Window.partitionBy("key")
-    rows = texts.mapInPandas(_keyer(k, percent), "key long, doc long, probe boolean")
+    rows = (index.select("doc", F.explode("own").alias("key"), F.lit(False).alias("probe"))
+            .unionByName(index.select("doc", F.explode("low").alias("key"), F.lit(True).alias("probe"))))
     members = (rows.withColumn("size", F.count(F.lit(1)).over(same)).withColumn("pivot", F.min(F.when(~F.col("probe"), F.col("doc"))).over(same))
                .where("size > 1 and pivot is not null"))
     members = stage(members, "segments")
@@ -260,7 +252,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     most = F.floor((100 - percent) * (F.col("nu") + F.col("nv")) / (100 + percent))
     cross = met.where(F.col("equal") + unseen >= F.col("m") - most).select("u", "v")
     if many.limit(1).count():
-        cross = cross.unionByName(_raised(texts, reps, many, groups, percent, k, hot))
+        cross = cross.unionByName(_raised(texts, index, reps, many, groups, percent, k, hot))
     cross = stage(cross.distinct().join(star, ["u", "v"], "left_anti"), "cross")
     final = components(links.unionByName(_confirmed(cross, sets_of(cross, "cross"), percent)))
 
@@ -269,20 +261,29 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component_id"))
 
 
-def _raised(texts: DataFrame, reps: DataFrame, many: DataFrame, groups: DataFrame, percent: int, k: int, hot: int) -> DataFrame:
+def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, many: DataFrame, groups: DataFrame, percent: int, k: int,
+            hot: int) -> DataFrame:
     """Pairs across groups that hot segments would bring: by raised segments,
     or by the prefix bounds where these do not suffice."""
     order = F.sort_array(F.collect_set(F.struct(F.col("size").alias("size"), F.col("key").alias("key"))), asc=False)["key"]
-    sides = many.groupBy("doc", "probe").agg(order.alias("hot"))
-    costly = stage(sides.groupBy("doc").agg(F.first(F.when(~F.col("probe"), F.col("hot")), ignorenulls=True).alias("hot_own"),
-                                            F.first(F.when(F.col("probe"), F.col("hot")), ignorenulls=True).alias("hot_low")), "costly")
+    slack = F.greatest(F.lit(0), F.when(F.col("probe"), F.col("low_slack")).otherwise(F.col("own_slack")))
+    sides = (many.groupBy("doc", "probe").agg(order.alias("hot")).join(reps.select("doc", "own_slack", "low_slack"), "doc")
+             .withColumn("covered", slack).where(F.size("hot") > F.col("covered")))
+
+    def side(column: str, probe: bool):
+        return F.first(F.when(F.col("probe") == probe, F.col(column)), ignorenulls=True)
+    costly = stage(sides.groupBy("doc").agg(
+        side("hot", False).alias("hot_own"), F.coalesce(side("covered", False), F.lit(0)).alias("covered_own"),
+        side("hot", True).alias("hot_low"), F.coalesce(side("covered", True), F.lit(0)).alias("covered_low")), "costly")
     raised = stage(texts.join(costly, "doc").mapInPandas(_allocator(k, percent), "key long, doc long, kind string").distinct(), "raised")
 
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(groups, df["doc"] == groups["node"], "left").select(*df.columns, F.coalesce("component", "doc").alias("group"))
     asked = raised.where("kind <> 'H'").select("key", "kind").distinct()
-    index = texts.mapInPandas(_indexer(k, percent), "key long, doc long, kind string")
-    hits = stage(labelled(index.join(asked, ["key", "kind"], "left_semi").distinct()), "hits")
+    first = F.slice("own", 1, F.least(F.col("m"), 2 + F.ceil(F.col("m") / 16).cast("int")))  # as in raisable
+    looked = (index.select("doc", F.explode(first).alias("key"), F.lit("A").alias("kind"))
+              .unionByName(index.select("doc", F.explode("near").alias("key"), F.lit("B").alias("kind"))))
+    hits = stage(labelled(looked.join(asked, ["key", "kind"], "left_semi").distinct()), "hits")
     sizes = hits.groupBy("key", "kind").agg(F.count(F.lit(1)).alias("size"))
     askers = labelled(raised).select("key", "kind", F.col("doc").alias("asker"), F.col("group").alias("own")).join(sizes, ["key", "kind"])
     near = (askers.where(F.col("size") <= hot).join(hits, ["key", "kind"]).where(F.col("own") != F.col("group"))
