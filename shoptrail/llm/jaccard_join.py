@@ -16,12 +16,12 @@ its own band and in the one below.
    with v = 0. Members that share a quarter of their segments with the
    smallest holder of those are confirmed first; groups of copies end here,
    with as many pairs as members.
-2. Subsets that then lie in several groups are paired across groups where at
-   most ``hot`` sets hold them. Hotter ones cost most, so the allocation skips
-   them, hottest first: some for nothing, as far as the set's own size allows
-   a smaller difference than its band, each other one paid for with one of
-   the first q segments raised to v = 1: its deletions look up equal subsets,
-   its subset looks up deletions. No pair is lost by that.
+2. Only subsets that then lie in several groups cost anything: as much as sets
+   hold them. The allocation skips a set's costliest ones, as many as its own
+   size allows a smaller difference than its band does. What is left is looked
+   up across groups; but subsets that more than ``hot`` sets hold are skipped
+   as well, each paid for with one of the first q segments raised to v = 1:
+   its deletions look up equal subsets, its subset looks up deletions.
 3. What no allocation can skip (more hot subsets than segments to raise), or
    what raises a hot neighbourhood, goes to the prefix bounds of
    ``near_dedup._rare``: no hot subset is paired whole, and none is cut.
@@ -241,18 +241,22 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "key", "doc", "probe", "size", F.coalesce("component", "doc").alias("group"))
     mixed = labelled.groupBy("key").agg(F.min("group").alias("lo"), F.max("group").alias("hi")).where("lo < hi").select("key")
     left = stage(labelled.join(mixed, "key", "left_semi"), "mixed")
-    few, many = left.where(F.col("size") <= hot), left.where(F.col("size") > hot)
-    held = many.groupBy("doc").agg(F.count(F.lit(1)).alias("hot"))
-    a = few.where("not probe").select("key", F.col("doc").alias("a"), F.col("group").alias("ga"))
-    b = few.select("key", F.col("doc").alias("b"), F.col("group").alias("gb"), F.col("probe").alias("pb"))
-    met = a.join(b, "key").where("ga <> gb and (pb or a < b)").groupBy(*_pair("a", "b")).agg(F.count(F.lit(1)).alias("equal"))
-    met = (_sized(met, reps, percent).join(held.select(F.col("doc").alias("u"), F.col("hot").alias("hu")), "u", "left")
-           .join(held.select(F.col("doc").alias("v"), F.col("hot").alias("hv")), "v", "left"))
-    unseen = F.least(F.coalesce("hu", F.lit(0)), F.coalesce("hv", F.lit(0)))  # hot segments may be equal as well
+    cheapest = Window.partitionBy("doc", "probe")
+    slack = F.greatest(F.lit(0), F.when(F.col("probe"), F.col("low_slack")).otherwise(F.col("own_slack")))
+    asked = (left.join(reps.select("doc", "own_slack", "low_slack"), "doc").withColumn("slack", slack)
+             .withColumn("place", F.row_number().over(cheapest.orderBy(F.desc("size"), F.desc("key"))))
+             .withColumn("skipped", F.greatest(F.least("slack", F.count(F.lit(1)).over(cheapest)), F.count_if(F.col("size") > hot).over(cheapest)))
+             .where("place > slack"))
+    asked = stage(asked.select("key", "doc", "probe", "size", "group", "skipped", "slack"), "asked")
+    few, many = asked.where(F.col("size") <= hot), asked.where(F.col("size") > hot)
+    a = few.select("key", F.col("doc").alias("a"), F.col("group").alias("ga"), "skipped")
+    b = left.where(F.col("size") <= hot).where("not probe").select("key", F.col("doc").alias("b"), F.col("group").alias("gb"))
+    met = (a.join(b, "key").where("ga <> gb").groupBy("a", "b").agg(F.count(F.lit(1)).alias("equal"), F.max("skipped").alias("skipped"))
+           .select(*_pair("a", "b"), "equal", "skipped"))
     most = F.floor((100 - percent) * (F.col("nu") + F.col("nv")) / (100 + percent))
-    cross = met.where(F.col("equal") + unseen >= F.col("m") - most).select("u", "v")
+    cross = _sized(met, reps, percent).where(F.col("equal") + F.col("skipped") >= F.col("m") - most).select("u", "v")
     if many.limit(1).count():
-        cross = cross.unionByName(_raised(texts, index, reps, many, groups, percent, k, hot))
+        cross = cross.unionByName(_raised(texts, index, reps, left, many, groups, percent, k, hot))
     cross = stage(cross.distinct().join(star, ["u", "v"], "left_anti"), "cross")
     final = components(links.unionByName(_confirmed(cross, sets_of(cross, "cross"), percent)))
 
@@ -261,14 +265,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return found.select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc").alias("component_id"))
 
 
-def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, many: DataFrame, groups: DataFrame, percent: int, k: int,
-            hot: int) -> DataFrame:
+def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, left: DataFrame, many: DataFrame, groups: DataFrame, percent: int,
+            k: int, hot: int) -> DataFrame:
     """Pairs across groups that hot segments would bring: by raised segments,
     or by the prefix bounds where these do not suffice."""
     order = F.sort_array(F.collect_set(F.struct(F.col("size").alias("size"), F.col("key").alias("key"))), asc=False)["key"]
-    slack = F.greatest(F.lit(0), F.when(F.col("probe"), F.col("low_slack")).otherwise(F.col("own_slack")))
-    sides = (many.groupBy("doc", "probe").agg(order.alias("hot")).join(reps.select("doc", "own_slack", "low_slack"), "doc")
-             .withColumn("covered", slack).where(F.size("hot") > F.col("covered")))
+    hottest = left.where(F.col("size") > hot).join(many.select("doc").distinct(), "doc", "left_semi")  # what is skipped too must not be raised
+    sides = hottest.groupBy("doc", "probe").agg(order.alias("hot")).join(
+        many.groupBy("doc", "probe").agg(F.first("slack").alias("covered")), ["doc", "probe"])
 
     def side(column: str, probe: bool):
         return F.first(F.when(F.col("probe") == probe, F.col(column)), ignorenulls=True)
@@ -291,7 +295,7 @@ def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, many: DataFrame
     near = _sized(near, reps, percent).select("u", "v")
 
     crowded = askers.where(F.col("size") > hot)
-    ids = (many.join(raised.where("kind = 'H'").select("key").distinct(), "key", "left_semi").select("doc")
+    ids = (left.join(raised.where("kind = 'H'").select("key").distinct(), "key", "left_semi").select("doc")
            .unionByName(crowded.select(F.col("asker").alias("doc")))
            .unionByName(hits.join(crowded.select("key", "kind").distinct(), ["key", "kind"], "left_semi").select("doc")).distinct())
     ids = stage(labelled(ids), "crowded")
