@@ -906,19 +906,22 @@ def etl_breakdown(spark, sf_dir):
 # from the driver tables, checked against the batch twin's SQL
 # --------------------------------------------------------------------------
 
-def _stream_input(spark, sf_dir, replay: bool = False, closing: bool = False) -> str:
+def _stream_input(spark, sf_dir, replay: bool = False, closing: bool = False, shuffled: bool = False) -> str:
     """Write the wire events as JSON-lines files (the topic substitute) into
     a fresh folder under the shared checkpoint location."""
     import uuid as _uuid
     from shoptrail.session import scratch_path
     path = scratch_path(spark, f"streams/input-{_uuid.uuid4().hex}")
-    wire = P.wire_events(spark, sf_dir).select(*[f.name for f in S.FLAT_EVENT_SCHEMA.fields])
-    # several files in time order, so that a stream over them has several triggers
-    wire.repartitionByRange(6, "event_timestamp").write.mode("overwrite").json(path)
+    wire = P.wire_events(spark, sf_dir).select(*[f.name for f in S.FLAT_EVENT_SCHEMA.fields], "session_id")
+    # several files, in time order unless shuffled, so that a stream over them has several triggers; more as the
+    # table grows (its count comes from the file footers)
+    files = max(6, -(-spark.read.parquet(f"{sf_dir}/events.parquet").count() // 250_000))
+    dealt = wire.repartition(files, F.xxhash64("event_id")) if shuffled else wire.repartitionByRange(files, "event_timestamp")
+    dealt.write.mode("overwrite").json(path)
     if closing:  # one late event moves the watermark past all others, so that append mode gives every window
         last = F.date_format(F.lit(FIXTURE_NOW).cast("timestamp") + F.expr("INTERVAL 400 DAYS"), "yyyy-MM-dd'T'HH:mm:ss")
         (spark.range(1).select(F.lit("closing").alias("event_id"), F.lit("HEARTBEAT").alias("event_type"),
-                               F.lit("~").alias("customer_id"), last.alias("event_timestamp"))
+                               F.lit("~").alias("customer_id"), F.lit("~").alias("session_id"), last.alias("event_timestamp"))
          .write.mode("append").json(path))
     if replay:  # at-least-once delivery: every event arrives a second time
         spark.read.json(path, schema=S.FLAT_EVENT_SCHEMA).write.mode("append").json(path)
@@ -1054,3 +1057,4 @@ def stream_sessions(spark, sf_dir):
 
 
 from shoptrail.plans import catalog_io  # noqa: E402,F401  (registers the file, sink and ETL queries)
+from shoptrail.plans import catalog_stream  # noqa: E402,F401  (registers the keyed-state streams)
