@@ -95,3 +95,55 @@ def daily_summary_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("event_date", "event_type", "event_count",
                        ((F.col("unique_customers") == F.col("c1")) & (F.col("unique_sessions") == F.col("s1"))).alias("as_one_load"),
                        near("unique_customers", "c").alias("customers_within_error"), near("unique_sessions", "s").alias("sessions_within_error"))
+
+
+# ---- tables laid out by key ----
+
+from shoptrail.operators import dedup  # noqa: E402
+from shoptrail.plans.catalog import ORACLES  # noqa: E402
+from shoptrail.sinks import keyed  # noqa: E402
+
+
+def _bucketed(spark: SparkSession, rows: DataFrame) -> str:
+    name = f"bucketed_{uuid.uuid4().hex}"
+    keyed.write_bucketed(rows, name, _folder(spark, name))
+    return name
+
+
+@register("bucketed_merge", ORACLES["upsert_raw_events"])
+def bucketed_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 into a bucketed table: the same answer as ``upsert_raw_events``."""
+    raw = P.landed_raw_events(spark, sf_dir)
+    target = raw.where(F.col("timestamp") < F.lit(MERGE_CUTOFF).cast("timestamp_ntz")).withColumns(
+        {"etl_run_id": F.lit("run_1"), "source_file": F.lit("previous_load"), "etl_timestamp": F.lit("2024-01-20 00:00:00").cast("timestamp_ntz")})
+    batch = dedup.keep_first(raw).withColumns({"etl_run_id": F.lit("run_2"), "etl_timestamp": F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")})
+    merged = keyed.merge_bucketed(_bucketed(spark, target), batch)
+    return merged.select("event_id", "etl_run_id", "source_file", "etl_timestamp", "event_type", "is_valid")
+
+
+@register("bucketed_anti_join", ORACLES["incremental_anti_join"])
+def bucketed_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J3 against a bucketed table."""
+    pv = P.processed(spark, sf_dir)["page_views"].select("event_id", "timestamp")
+    target = pv.where(F.col("timestamp") < F.lit(MERGE_CUTOFF).cast("timestamp_ntz"))
+    return keyed.unseen_in_bucketed(dedup.keep_first(pv), _bucketed(spark, target))
+
+
+@register("customer_look_up", O.q("""
+SELECT event_id, customer_id, event_type FROM rawv WHERE customer_id = 'CUST_1'
+"""))
+def customer_look_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F6 from files clustered by customer."""
+    path = _folder(spark, "clustered")
+    keyed.write_clustered(P.raw_events(spark, sf_dir).select("event_id", "customer_id", "event_type"), path, "customer_id")
+    return keyed.look_up(spark, path, "customer_id", "CUST_1")
+
+
+@register("event_look_up", O.q("""
+SELECT event_id, customer_id, event_type FROM rawv WHERE event_id = 'EVT_77'
+"""))
+def event_look_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One event from files clustered by customer, by Bloom filter."""
+    path = _folder(spark, "bloom")
+    keyed.write_clustered(P.raw_events(spark, sf_dir).select("event_id", "customer_id", "event_type"), path, "customer_id", bloom="event_id")
+    return keyed.look_up(spark, path, "event_id", "EVT_77")
