@@ -191,8 +191,9 @@ def _two_runs(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     for day, rows in zip(_RUNS, (first, second.unionByName(nameless))):
         rows.drop("source_file").write.parquet(f"{base}/landed/{day:%Y%m%d}")
         written = run_etl(spark, f"{base}/landed", None, f"{base}/raw_events", f"{base}/processed", run_at=day,
-                          buckets=16, products=P.product_dim(spark, sf_dir), manifest=f"{base}/loaded_files")
-    return written
+                          buckets=16, products=P.product_dim(spark, sf_dir), manifest=f"{base}/loaded_files",
+                          ledger=f"{base}/ledger", statistics=f"{base}/statistics")
+    return written | {"statistics": f"{base}/statistics"}
 
 
 @register("etl_two_runs", O.q(f"""
@@ -225,7 +226,7 @@ def etl_two_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = {"purchase_items": "purchase_item_id", "rejected": "offset_id"}
     out = None
     for name, path in written.items():
-        if name == "raw_events":
+        if name in ("raw_events", "statistics"):
             continue
         t = spark.read.parquet(path)
         views_of = route.with_session_fields(t) if name == "page_views" else t.withColumns(
@@ -234,3 +235,47 @@ def etl_two_run_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
                                "previous_page", "is_bounce")
         out = rows if out is None else out.unionByName(rows)
     return out
+
+
+@register("etl_run_statistics", O.q(f"""
+, r AS (SELECT *, timestamp < TIMESTAMP '{MERGE_CUTOFF}' AS early FROM rawv),
+b AS (SELECT 1 AS run, offset_id, timestamp, event_id FROM r WHERE early
+      UNION ALL SELECT 2, offset_id, timestamp, event_id FROM r WHERE NOT coalesce(early, FALSE) OR offset_id % 11 = 0 OR offset_id % 7 = 0
+      UNION ALL SELECT 2, offset_id, timestamp, NULL FROM r WHERE offset_id % 13 = 0)
+SELECT CASE run WHEN 1 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END AS run_at,
+       COUNT(*) AS extracted_files, 0::BIGINT AS extracted_store, COUNT(*) AS total_extracted,
+       COUNT(*) FILTER (WHERE event_id IS NULL) AS rejected, 0::BIGINT AS duplicates_removed,
+       COUNT(*) FILTER (WHERE event_id IS NOT NULL AND timestamp > CASE run WHEN 1 THEN TIMESTAMP '2024-02-01' ELSE TIMESTAMP '2024-02-02' END)
+       AS quality_issues, COUNT(*) FILTER (WHERE event_id IS NOT NULL) AS loaded, TRUE AS timed
+FROM b GROUP BY run
+"""))
+def etl_run_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What two runs observed of themselves while they loaded."""
+    stats = spark.read.parquet(_two_runs(spark, sf_dir)["statistics"])
+    return stats.select("run_at", "extracted_files", "extracted_store", "total_extracted", "rejected", "duplicates_removed", "quality_issues",
+                        "loaded", (F.col("seconds") > 0).alias("timed"))
+
+
+@register("warehouse_summary", O.q(f"""
+, n AS (
+SELECT 'tables' AS section, 'raw_events' AS name, COUNT(*) AS value FROM rawv
+UNION ALL SELECT 'tables', 'page_views', COUNT(*) FROM pv
+UNION ALL SELECT 'tables', 'product_interactions', COUNT(*) FROM pi
+UNION ALL SELECT 'tables', 'purchases', COUNT(*) FROM pu
+UNION ALL SELECT 'tables', 'searches', COUNT(*) FROM se
+UNION ALL SELECT 'tables', 'user_engagement', COUNT(*) FROM ue
+UNION ALL SELECT 'tables', 'sessions', COUNT(DISTINCT session_id) FROM rawv
+UNION ALL SELECT 'tables', 'customers', COUNT(*) FROM customer
+UNION ALL SELECT 'quality', 'total_events', COUNT(*) FROM rawv WHERE CAST(timestamp AS DATE) = DATE '{FIXTURE_TODAY}'
+UNION ALL SELECT 'quality', 'valid_events', COUNT(*) FILTER (WHERE is_valid) FROM rawv WHERE CAST(timestamp AS DATE) = DATE '{FIXTURE_TODAY}'
+UNION ALL SELECT 'quality', 'invalid_events', COUNT(*) FILTER (WHERE NOT is_valid) FROM rawv WHERE CAST(timestamp AS DATE) = DATE '{FIXTURE_TODAY}')
+SELECT section, name, CAST(value AS DOUBLE) AS value FROM n
+UNION ALL SELECT 'quality', 'quality_score_pct', {O.pct_sql("COUNT(*) FILTER (WHERE is_valid)", "COUNT(*)")}
+FROM rawv WHERE CAST(timestamp AS DATE) = DATE '{FIXTURE_TODAY}'
+"""))
+def warehouse_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seven tables and the day's quality."""
+    from shoptrail.plans import etl
+    raw = P.landed_raw_events(spark, sf_dir)
+    sessions = raw.where("session_id is not null").select("session_id").distinct()
+    return etl.warehouse_summary(raw, sessions, P.customer_dim(spark, sf_dir), FIXTURE_TODAY)

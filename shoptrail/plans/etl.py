@@ -7,9 +7,10 @@ actions are the writes (and the optional statistics row).
 
 from __future__ import annotations
 
+import time
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail import schemas as S
@@ -57,9 +58,14 @@ def load_statistics(raw: DataFrame, day) -> DataFrame:
                       pct("valid_today", "raw_events_today").alias("quality_score_pct"))
 
 
+STEPS = ("stage", "rejects", "merge", "page_views", "product_interactions", "purchases", "searches", "user_engagement", "purchase_items",
+         "statistics", "manifest")
+
+
 def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_dir: str,
             processed_dir: str, run_at: datetime | None = None, buckets: int = 256,
-            products: DataFrame | None = None, manifest: str | None = None) -> dict[str, str]:
+            products: DataFrame | None = None, manifest: str | None = None, ledger: str | None = None,
+            statistics: str | None = None, after_step=None) -> dict[str, str]:
     """U4: one batch run. Reads landed Parquet files (and the local store
     table when given), de-duplicates (files first, newest store rows next),
     stamps run metadata, merges into RAW_EVENTS at ``target_dir`` rewriting
@@ -68,46 +74,149 @@ def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_
     appends the unseen ones to every processed table. Returns the written paths.
 
     With ``manifest`` (a table of loaded file paths) files that it names are
-    not read again; this run's files are added once all tables are written, so
-    a run that broke off is repeated whole. A file that cannot be read to its
-    end fails the run, with its name, before any table is written: it is not
-    named as loaded, and is read once it is whole or gone. Page views keep the payload's
-    session fields: read them through ``route.with_session_fields``."""
+    not read again; this run's files are added once all tables are written. A
+    file that cannot be read to its end fails the run, with its name, before any
+    table is written: it is not named as loaded, and is read once it is whole or
+    gone. Page views keep the payload's session fields: read them through
+    ``route.with_session_fields``.
+
+    Every step can be repeated: rejects replace those of the same run, the
+    merge and the appends go by key. With ``ledger`` (a folder) a run is noted
+    as staged, with its batch, and as committed after its last step; the next
+    run first ends one that broke off, from the staged batch and under its run
+    time, whatever has become of the files. Without one, a broken run is
+    repeated whole from its files; its rejects are kept by run id.
+
+    ``statistics`` is a table that gets one row a run (U5): the counts are
+    observed while the batch is staged, not read again. ``after_step`` is called
+    with the name of each step done (``STEPS``)."""
     import uuid
 
     from shoptrail.session import scratch_path, table_exists
     from shoptrail.sources.files import new_files, read_landed
+    written = {"raw_events": target_dir, "rejected": f"{processed_dir}/rejected"} | {
+        name: f"{processed_dir}/{name}" for name in _builders(None)}
+    done = after_step or (lambda step: None)
+    for open_run in _open_runs(spark, ledger):
+        _apply(spark, open_run, written, buckets, products, manifest, ledger, statistics, done)
     run_at = run_at or datetime.now(timezone.utc).replace(tzinfo=None)
-    rejects = f"{processed_dir}/rejected"  # rows without a key cannot be merged; they are kept apart
     paths = file_dir if manifest is None else new_files(spark, file_dir, manifest)
     frames = []
     if paths:
         frames.append(read_landed(spark, paths, skip_unreadable=False).drop("extraction_time").withColumn("source_rank", F.lit(0)))
     if store is not None:
         frames.append(store.withColumn("source_rank", F.lit(1)).withColumn("source_file", F.lit("duckdb")))
-    builders = {"page_views": lambda raw: route.page_views(raw, derive_session_fields=False),
-                "product_interactions": route.product_interactions,
-                "purchases": route.purchases, "searches": route.searches,
-                "user_engagement": route.user_engagement,
-                "purchase_items": lambda raw: route.purchase_items(route.purchases(raw), products)}
-    written = {"raw_events": target_dir, "rejected": rejects} | {name: f"{processed_dir}/{name}" for name in builders}
     if not frames:
         return written
-    union = dedup.union_by_name(frames)
+    began = time.monotonic()
+    run = uuid.uuid4().hex
+    folder = f"{ledger.rstrip('/')}/batches" if ledger else scratch_path(spark, "staging")
+    landed, rejects = f"{folder}/batch-{run}", f"{folder}/rejects-{run}"  # read by the merge and by every router
+    seen, kept = Observation(f"extracted-{run}"), Observation(f"loaded-{run}")
+    union = dedup.union_by_name(frames).observe(
+        seen, F.count_if(F.col("source_rank") == 0).alias("extracted_files"), F.count_if(F.col("source_rank") == 1).alias("extracted_store"),
+        F.count_if(F.col("event_id").isNull()).alias("rejected"))
     batch = etl_metadata(dedup.keep_first(union.filter(F.col("event_id").isNotNull())).drop("source_rank"), run_at)
     batch = batch.withColumn("is_valid", F.coalesce(F.col("is_valid"), F.lit(True)))
-    run = uuid.uuid4().hex
-    landed = scratch_path(spark, f"staging/batch-{run}")  # read by the merge and by every router
+    issues = [F.col("event_type").isNull(), F.col("timestamp").isNull(), F.col("timestamp") > F.lit(run_at)]
+    batch = batch.observe(kept, F.count(F.lit(1)).alias("loaded"), *[F.count_if(c).alias(f"issue_{i}") for i, c in enumerate(issues)])
     batch.write.parquet(landed)
-    etl_metadata(dedup.null_key_rows(union).drop("source_rank"), run_at).write.mode("append").parquet(rejects)
-    batch = spark.read.parquet(landed)
-    dedup.merge_into_buckets(spark, target_dir, batch, scratch_path(spark, f"staging/raw_events-{run}"), buckets=buckets)
-    for name, build in builders.items():
-        path = written[name]
-        rows = build(batch)
-        if table_exists(spark, path):
-            rows = dedup.unseen(rows, spark.read.parquet(path), "purchase_item_id" if name == "purchase_items" else "event_id")
-        rows.write.mode("append").parquet(path)
-    if manifest is not None and paths:
-        spark.createDataFrame([(p,) for p in paths], "path string").write.mode("append").parquet(manifest)
+    etl_metadata(dedup.null_key_rows(dedup.union_by_name(frames)).drop("source_rank"), run_at).write.parquet(rejects)
+    counts = seen.get | kept.get
+    total = counts["extracted_files"] + counts["extracted_store"]
+    row = {"run": run, "run_at": run_at, "landed": landed, "rejects": rejects, "files": [] if isinstance(paths, str) else list(paths),
+           "extracted_files": counts["extracted_files"], "extracted_store": counts["extracted_store"], "total_extracted": total,
+           "rejected": counts["rejected"], "duplicates_removed": total - counts["rejected"] - counts["loaded"],
+           "quality_issues": sum(counts[f"issue_{i}"] for i in range(len(issues))), "loaded": counts["loaded"],
+           "seconds": time.monotonic() - began}
+    if ledger:
+        _note(spark, ledger, "staged", row)
+    done("stage")
+    _apply(spark, row, written, buckets, products, manifest, ledger, statistics, done)
     return written
+
+
+LEDGER = ("run string, run_at timestamp_ntz, landed string, rejects string, files array<string>, extracted_files long, extracted_store long, "
+          "total_extracted long, rejected long, duplicates_removed long, quality_issues long, loaded long, seconds double")
+STATISTICS = ["run_at", "extracted_files", "extracted_store", "total_extracted", "rejected", "duplicates_removed", "quality_issues", "loaded",
+              "seconds"]
+
+
+def _builders(products: DataFrame | None) -> dict:
+    return {"page_views": lambda raw: route.page_views(raw, derive_session_fields=False),
+            "product_interactions": route.product_interactions,
+            "purchases": route.purchases, "searches": route.searches,
+            "user_engagement": route.user_engagement,
+            "purchase_items": lambda raw: route.purchase_items(route.purchases(raw), products)}
+
+
+def _note(spark: SparkSession, ledger: str, state: str, row: dict) -> None:
+    """A run's entry in a state; writing it again replaces it."""
+    fields = [f.split()[0] for f in LEDGER.split(", ")]
+    one = spark.createDataFrame([tuple(row[f] for f in fields)], LEDGER)
+    one.write.mode("overwrite").parquet(f"{ledger}/{state}/run_id={row['run']}")
+
+
+def _open_runs(spark: SparkSession, ledger: str | None) -> list[dict]:
+    """Runs that are staged and not committed, oldest first."""
+    from shoptrail.session import table_exists
+    if not ledger or not table_exists(spark, f"{ledger}/staged"):
+        return []
+    found = spark.read.schema(LEDGER).parquet(f"{ledger}/staged")
+    if table_exists(spark, f"{ledger}/committed"):
+        found = found.join(spark.read.schema(LEDGER).parquet(f"{ledger}/committed").select("run"), "run", "left_anti")
+    return [r.asDict() for r in found.orderBy("run_at", "run").collect()]  # as many as broke off, at most one
+
+
+def _apply(spark: SparkSession, row: dict, written: dict[str, str], buckets: int, products: DataFrame | None, manifest: str | None,
+           ledger: str | None, statistics: str | None, done) -> None:
+    """All steps after staging; each may be repeated."""
+    from shoptrail.session import scratch_path, table_exists
+    began = time.monotonic()
+    run_id = f"{row['run_at']:%Y%m%d_%H%M%S}"
+    batch = spark.read.parquet(row["landed"])
+    spark.read.parquet(row["rejects"]).write.mode("overwrite").parquet(f"{written['rejected']}/etl_run={run_id}")
+    done("rejects")
+    dedup.merge_into_buckets(spark, written["raw_events"], batch, scratch_path(spark, f"staging/raw_events-{row['run']}"), buckets=buckets)
+    done("merge")
+    for name, build in _builders(products).items():
+        rows = build(batch)
+        if table_exists(spark, written[name]):
+            rows = dedup.unseen(rows, spark.read.parquet(written[name]), "purchase_item_id" if name == "purchase_items" else "event_id")
+        rows.write.mode("append").parquet(written[name])
+        done(name)
+    if statistics:
+        seconds = row["seconds"] + time.monotonic() - began
+        types = dict(f.split() for f in LEDGER.split(", "))
+        one = spark.createDataFrame([tuple({**row, "seconds": seconds}[c] for c in STATISTICS)], ", ".join(f"{c} {types[c]}" for c in STATISTICS))
+        one.write.mode("overwrite").parquet(f"{statistics}/etl_run={run_id}")
+    done("statistics")
+    if manifest is not None and row["files"]:
+        spark.createDataFrame([(p,) for p in row["files"]], "path string").write.mode("append").parquet(manifest)
+    done("manifest")
+    if ledger:
+        _note(spark, ledger, "committed", row)
+
+
+def last_run(spark: SparkSession, statistics: str) -> DataFrame:
+    """The newest run's statistics, one row."""
+    return spark.read.parquet(statistics).orderBy(F.desc("run_at")).limit(1).withColumnRenamed("run_at", "last_run")
+
+
+def warehouse_summary(raw: DataFrame, sessions: DataFrame, customers: DataFrame, day) -> DataFrame:
+    """Rows of RAW_EVENTS and of the seven processed tables, and the day's
+    quality, as (section, name, value): the raw and routed tables and the
+    quality in one scan of RAW_EVENTS, sessions and customers by their counts."""
+    from shoptrail.operators.metrics import processed_counts
+    counts = processed_counts(raw).where("table_name <> 'purchase_items'")
+    extra = [t.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(n).alias("table_name"), "row_count")
+             for n, t in (("sessions", sessions), ("customers", customers))]
+    tables = dedup.union_by_name([counts, *extra]).select(F.lit("tables").alias("section"), F.col("table_name").alias("name"),
+                                                          F.col("row_count").cast("double").alias("value"))
+    start = F.lit(str(day)).cast("date").cast("timestamp_ntz")
+    today = raw.where((F.col("timestamp") >= start) & (F.col("timestamp") < start + F.expr("INTERVAL 1 DAY")))
+    good = F.count_if(F.col("is_valid") == F.lit(True))
+    one = today.agg(F.count(F.lit(1)).alias("total_events"), good.alias("valid_events")).withColumn(
+        "invalid_events", F.col("total_events") - F.col("valid_events")).withColumn("quality_score_pct", pct("valid_events", "total_events"))
+    quality = one.select(*[F.col(c).cast("double").alias(c) for c in one.columns]).unpivot([], one.columns, "name", "value")
+    return tables.unionByName(quality.select(F.lit("quality").alias("section"), "name", "value"))
