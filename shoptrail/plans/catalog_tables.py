@@ -147,3 +147,71 @@ def event_look_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, "bloom")
     keyed.write_clustered(P.raw_events(spark, sf_dir).select("event_id", "customer_id", "event_type"), path, "customer_id", bloom="event_id")
     return keyed.look_up(spark, path, "event_id", "EVT_77")
+
+
+# ---- the library from SQL ----
+
+from shoptrail.plans import sql_api  # noqa: E402
+from shoptrail.plans.catalog import WV  # noqa: E402
+from shoptrail.sources.fixtures import FIXTURE_NOW  # noqa: E402
+
+
+@register("sql_functions", O.q(f"""
+SELECT event_id, {O.CATEGORY_SQL} AS event_category, CAST({O.SCORE_SQL} AS INTEGER) AS business_value_score,
+       {O.GROUP_SQL} AS counter_group, {WV} AS is_valid_event, array_to_string(issues, ',') AS issues FROM raw
+"""))
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1, E1, E2, E12, Q5 called from SQL."""
+    sql_api.create_functions(spark)
+    price = F.from_json("event_data", "product_price decimal(10,2)")["product_price"]
+    wire = P.wire_events(spark, sf_dir).withColumns({"price": price, "at": F.col("event_timestamp").cast("timestamp_ntz")})
+    view = f"wire_{uuid.uuid4().hex}"
+    wire.createOrReplaceTempView(view)
+    clock = f"TIMESTAMP_NTZ '{FIXTURE_NOW}'"
+    return spark.sql(f"""
+        SELECT event_id, event_category(event_type) AS event_category, business_value_score(event_type) AS business_value_score,
+               counter_group(event_type) AS counter_group,
+               is_valid_event(customer_id, event_type, amount, currency, at, is_valid, {clock}) AS is_valid_event,
+               array_join(issue_tags(customer_id, session_id, at, amount, price, {clock}), ',') AS issues
+        FROM {view}""")
+
+
+def _landed_view(spark: SparkSession, sf_dir: str) -> str:
+    view = f"raw_events_{uuid.uuid4().hex}"
+    P.landed_raw_events(spark, sf_dir).createOrReplaceTempView(view)
+    return view
+
+
+@register("sql_process_raw_events", O.q("""
+SELECT 'page_views' AS table_name, event_id, page_url AS detail FROM pv
+UNION ALL SELECT 'product_interactions', event_id, product_id FROM pi
+UNION ALL SELECT 'purchases', event_id, order_id FROM pu
+"""))
+def sql_process_raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U2 by the SQL script: once with the earlier events, then with all."""
+    raw = P.landed_raw_events(spark, sf_dir)
+    names = [f"raw_{uuid.uuid4().hex}" for _ in range(2)]
+    raw.where(F.col("timestamp") < F.lit(MERGE_CUTOFF).cast("timestamp_ntz")).createOrReplaceTempView(names[0])
+    raw.createOrReplaceTempView(names[1])
+    targets = sql_api.create_targets(spark, _folder(spark, "sql"), f"t_{uuid.uuid4().hex}")
+    for name in names:
+        spark.sql(sql_api.process_raw_events(name, targets)).first()
+    detail = {"page_views": "page_url", "product_interactions": "product_id", "purchases": "order_id"}
+    return spark.sql(" UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, event_id, {c} AS detail FROM {targets[n]}" for n, c in detail.items()))
+
+
+@register("sql_daily_event_summary", ORACLES["daily_event_summary"])
+def sql_daily_event_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V1 by name from SQL, over the processed tables."""
+    raw = P.landed_raw_events(spark, sf_dir)
+    tables = {}
+    for name, rows in (P.processed(spark, sf_dir, raw) | {"raw_events": raw, "sessions": _sessions(raw)}).items():
+        tables[name] = f"{name}_{uuid.uuid4().hex}"
+        rows.createOrReplaceTempView(tables[name])
+    sql_api.create_views(spark, tables, FIXTURE_NOW)
+    return spark.sql("SELECT * FROM daily_event_summary")
+
+
+def _sessions(raw: DataFrame) -> DataFrame:
+    return raw.where("session_id is not null").groupBy("session_id").agg(F.min("customer_id").alias("customer_id"), F.min("timestamp").alias("start_time"))
