@@ -13,9 +13,10 @@ segments by its one-deletion neighbourhood too; it looks its segments up in
 its own band and in the one below.
 
 1. Equal sets are one class, stood for by the smallest doc_id. All sets start
-   with v = 0. Members that share a quarter of their segments with the
-   smallest holder of those are confirmed first; groups of copies end here,
-   with as many pairs as members.
+   with v = 0. Members that share a quarter of their segments with a pivot of
+   those (the smallest holder; of a hot subset the one with most hot subsets)
+   are confirmed first; groups of copies end here, with as many pairs as
+   members.
 2. Only subsets that then lie in several groups cost anything: as much as sets
    hold them. The allocation skips a set's costliest ones, as many as its own
    size allows a smaller difference than its band does. What is left is looked
@@ -157,6 +158,7 @@ def _allocator(k: int, percent: int):
             for a, b, sets in _sets(pdf["text"].tolist(), wh, k):
                 out = []
                 for where, column in zip(_places(sets, percent), ("hot_own", "hot_low")):
+                    probe = column == "hot_low"
                     part = zip(pdf["doc"].iloc[a:b], pdf[column].iloc[a:b], pdf[column.replace("hot", "covered")].iloc[a:b],
                                keys(sets, where, percent))
                     for doc, hot, covered, (full, dels, sizes) in part:
@@ -167,10 +169,10 @@ def _allocator(k: int, percent: int):
                         hot = [int(h) for h in hot[int(covered):]]
                         free = [i for i in range(len(sizes)) if int(full[i]) not in skipped and sizes[i] >= LEAST_RAISED]
                         for i in free[:len(hot)]:
-                            out.append((int(full[i]), doc, "B"))
-                            out.extend((int(x), doc, "A") for x in dels[ends[i] - sizes[i]:ends[i]])
-                        out.extend((h, doc, "H") for h in hot[len(free):])
-                yield pd.DataFrame(out, columns=["key", "doc", "kind"])
+                            out.append((int(full[i]), doc, probe, "B"))
+                            out.extend((int(x), doc, probe, "A") for x in dels[ends[i] - sizes[i]:ends[i]])
+                        out.extend((h, doc, probe, "H") for h in hot[len(free):])
+                yield pd.DataFrame(out, columns=["key", "doc", "probe", "kind"])
     return allocate
 
 
@@ -232,7 +234,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         made = texts.join(narrow(ids), "doc", "left_semi").mapInPandas(_setter(k), "doc_id long, shingles array<long>")
         return stage(made.dropDuplicates(["doc_id"]), f"{name}-sets")
 
-    star = members.where("doc <> pivot").groupBy(*_pair("doc", "pivot")).agg(F.count(F.lit(1)).alias("equal"))
+    # of a hot subset the pivot is the set with most hot subsets: edits that only few copies have are far from it
+    warm = members.where(F.col("size") > hot)
+    holders = warm.where("not probe")
+    central = holders.groupBy("doc").agg(F.count(F.lit(1)).alias("shared"))
+    best = holders.join(central, "doc").groupBy("key").agg(F.max_by("doc", F.struct("shared", -F.col("doc"))).alias("pivot"))
+    star = (members.where(F.col("size") <= hot).select("doc", "pivot")
+            .unionByName(warm.drop("pivot").join(best, "key").select("doc", "pivot")).where("doc <> pivot")
+            .groupBy(*_pair("doc", "pivot")).agg(F.count(F.lit(1)).alias("equal")))
     star = stage(_sized(star, reps, percent).where("4 * equal >= m").select("u", "v"), "star")
     links = stage(_confirmed(star, sets_of(star, "star"), percent), "links")
     groups = components(links)
@@ -279,7 +288,7 @@ def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, left: DataFrame
     costly = stage(sides.groupBy("doc").agg(
         side("hot", False).alias("hot_own"), F.coalesce(side("covered", False), F.lit(0)).alias("covered_own"),
         side("hot", True).alias("hot_low"), F.coalesce(side("covered", True), F.lit(0)).alias("covered_low")), "costly")
-    raised = stage(texts.join(costly, "doc").mapInPandas(_allocator(k, percent), "key long, doc long, kind string").distinct(), "raised")
+    raised = stage(texts.join(costly, "doc").mapInPandas(_allocator(k, percent), "key long, doc long, probe boolean, kind string").distinct(), "raised")
 
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(groups, df["doc"] == groups["node"], "left").select(*df.columns, F.coalesce("component", "doc").alias("group"))
@@ -289,15 +298,18 @@ def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, left: DataFrame
               .unionByName(index.select("doc", F.explode("near").alias("key"), F.lit("B").alias("kind"))))
     hits = stage(labelled(looked.join(asked, ["key", "kind"], "left_semi").distinct()), "hits")
     sizes = hits.groupBy("key", "kind").agg(F.count(F.lit(1)).alias("size"))
-    askers = labelled(raised).select("key", "kind", F.col("doc").alias("asker"), F.col("group").alias("own")).join(sizes, ["key", "kind"])
+    askers = labelled(raised).select("key", "kind", "probe", F.col("doc").alias("asker"), F.col("group").alias("own")).join(sizes, ["key", "kind"])
     near = (askers.where(F.col("size") <= hot).join(hits, ["key", "kind"]).where(F.col("own") != F.col("group"))
             .select(*_pair("asker", "doc")).distinct())
     near = _sized(near, reps, percent).select("u", "v")
 
-    crowded = askers.where(F.col("size") > hot)
-    ids = (left.join(raised.where("kind = 'H'").select("key").distinct(), "key", "left_semi").select("doc")
-           .unionByName(crowded.select(F.col("asker").alias("doc")))
-           .unionByName(hits.join(crowded.select("key", "kind").distinct(), ["key", "kind"], "left_semi").select("doc")).distinct())
+    # A pair of one band is looked up from both sides, so it is open only if both sets could not be allocated; a pair
+    # of two bands is looked up by the larger set alone, so all holders of what that could not skip stay in.
+    crowded = askers.where(F.col("size") > hot).select("key", "kind", "probe", F.col("asker").alias("doc"))
+    stuck = raised.where("kind = 'H'").select("key", "kind", "probe", "doc").unionByName(crowded)
+    held = left.where("not probe").join(stuck.where("probe and kind = 'H'").select("key").distinct(), "key", "left_semi").select("doc")
+    met = hits.join(crowded.where("probe").select("key", "kind").distinct(), ["key", "kind"], "left_semi").select("doc")
+    ids = stuck.select("doc").unionByName(held).unionByName(met).distinct()
     ids = stage(labelled(ids), "crowded")
     if not ids.limit(1).count():
         return near
