@@ -92,15 +92,21 @@ def json_array_rejects(spark: SparkSession, path: str) -> DataFrame:
 
 def read_newest_files(spark: SparkSession, path: str, files: int = 5, limit: int = 100) -> DataFrame:
     """Rows of the newest ``files`` files (that hold rows) by modification
-    time, newest first, at most ``limit`` rows. Ranking reads file metadata and
-    footers, no column; then only the ``files`` newest are read."""
+    time, newest first, at most ``limit`` rows. Files are ranked from the listing
+    alone; then they are opened, newest first, until ``files`` hold a row."""
     reader = spark.read.option("mergeSchema", "true").option("recursiveFileLookup", "true")
-    newest = (reader.parquet(path)
-              .select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("time"))
-              .distinct().orderBy(F.col("time").desc(), "path").limit(files).select("path").collect())
+    ranked = (list_files(spark, path).where(F.col("path").endswith(".parquet"))
+              .orderBy(F.col("modificationTime").desc(), "path").select("path"))
+    newest, tried, ask = [], 0, files
+    while len(newest) < files:
+        found = [r.path for r in ranked.limit(ask).collect()]
+        newest += [p for p in found[tried:] if reader.parquet(p).limit(1).count()][:files - len(newest)]
+        if len(found) < ask:
+            break
+        tried, ask = ask, 2 * ask
     if not newest:
         return reader.parquet(path).limit(0)
-    d = reader.parquet(*[r.path for r in newest])
+    d = reader.parquet(*newest)
     order = [F.col(c).desc_nulls_last() for c in ("ingestion_time", "timestamp") if c in d.columns]
     order += [F.col(c) for c in ("event_id",) if c in d.columns]
     return d.orderBy(*order).limit(limit)
