@@ -2,8 +2,13 @@
 
 Restaurants: one for each previous word seen in training (the end token is
 the context of a text's first word), with the words that followed it as
-dishes; all of them share one parent restaurant over the whole vocabulary,
-whose base gives ``unseen`` to words never seen and spreads the rest evenly.
+dishes; all of them share one parent restaurant over the whole vocabulary.
+Its base is even over the seen words and one outcome more, "a word not seen",
+the outcomes of the add-one base: a context's probabilities of the seen words
+and of that outcome sum to one. ``score`` is over these outcomes. For
+``open_score`` an unseen word is also spelled: a chain of bytes, each given the
+one before it, learned from the training tokens, whose probabilities of all
+words sum to one; so those of all texts sum to at most one.
 
 Seating is sampled by Gibbs sweeps: a sweep seats the customers of each
 (previous word, word) cell again, one after the other, given the tables that
@@ -18,16 +23,20 @@ context and as dish; a pair bucket holds cells, dealt by both words, so that
 the cells of a frequent context are spread. A cell with one customer has one
 table in every sweep; only words of cells with more are exchanged in a sweep,
 as positions in their word bucket. Vocabulary and cells grow with the corpus
-and stay distributed; the driver sees a few totals a sweep.
+and stay distributed; the driver sees a few totals a sweep and the 256 x 256
+counts of the spelling.
 
 Words are 64-bit xxh64 hashes of lower-cased (A-Z) words. Defined cases: null
 and empty texts are the end token alone; rows without doc_id are held out
 False but are not learned from; with no training text every probability comes
-from the base; an empty table gives an empty result.
+from the base, which then has the one outcome; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
@@ -36,7 +45,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.llm.exchange import buckets_for, deal, joined, lengths, parts
 from shoptrail.llm.tables import blocks, crc_mod, stage, text_batches, text_bytes
-from shoptrail.llm.text import U, mix, words
+from shoptrail.llm.text import U, chunks, mix, words
 
 BLOCK_BYTES = 8_000_000
 END = xxhash.xxh64_intdigest(b" ")  # no word holds a space
@@ -66,6 +75,47 @@ class _Seats:
         return np.minimum(t, customers)
 
 
+class _Spelling:
+    """Log10 probability of a word as a chain of bytes with a space before and
+    after it. Counts get ``add`` for each possible byte, so every word has a
+    probability, and those of all words sum to one."""
+
+    def __init__(self, pairs: np.ndarray, add: float = 0.1):
+        n = pairs.reshape(256, 256) + add
+        n[:, 9:14] = 0  # white space other than the closing one
+        n[32, 32] = 0  # the empty word
+        with np.errstate(divide="ignore"):
+            self.log = np.log10(n / n.sum(axis=1, keepdims=True)).astype(np.float32)
+
+    def of(self, ws: list[bytes]) -> np.ndarray:
+        if not ws:
+            return np.zeros(0)
+        x = np.frombuffer(b" " + b" ".join(ws) + b" ", np.uint8)
+        size = np.fromiter(map(len, ws), np.int64, len(ws)) + 1
+        return np.add.reduceat(self.log[x[:-1], x[1:]], np.cumsum(size) - size, dtype=np.float64)
+
+
+def _byte_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Counts of adjacent bytes in the words, each between two spaces."""
+    total = np.zeros(256 * 256, np.int64)
+    for pdf in frames:
+        texts = pdf["text"].tolist()
+        for a, b in chunks([len(t) for t in texts], 300_000):
+            x = np.frombuffer(b" " + b" ".join(words(" ".join(texts[a:b]), lower=True)) + b" ", np.uint8).astype(np.int32)
+            total += np.bincount(x[:-1] * 256 + x[1:], minlength=len(total))
+    at = np.flatnonzero(total)
+    yield pd.DataFrame({"pair": at, "n": total[at]})
+
+
+def _learn_spelling(texts: DataFrame) -> _Spelling:
+    """From a column of texts; at most 256 x 256 sums come to the driver."""
+    rows = texts.mapInPandas(_byte_pairs, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect()
+    pairs = np.zeros(256 * 256)
+    for r in rows:
+        pairs[r["pair"]] = r["n"]
+    return _Spelling(pairs)
+
+
 def _spread(h: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions of ``h`` in the sorted array ``to`` and whether they are in it."""
     if len(to) == 0:
@@ -80,9 +130,10 @@ class _Ids(dict):
         return i
 
 
-def _tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _tokens(texts, spelling: _Spelling | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
     """(sorted distinct hashes with END, all texts' words as positions in them
-    with END after each text, tokens of each text)."""
+    with END after each text, tokens of each text, log10 probability of each
+    distinct word's spelling, 0 for END)."""
     ids = _Ids()
     rows = [np.fromiter(map(ids.__getitem__, words(t, lower=True)), np.int64) for t in texts]
     size = np.array([len(r) + 1 for r in rows], np.int64)
@@ -94,7 +145,7 @@ def _tokens(texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inner = np.ones(len(every), bool)
     inner[np.cumsum(size) - 1] = False
     every[inner] = np.concatenate(rows)
-    return own[order], rank[every], size
+    return own[order], rank[every], size, None if spelling is None else np.append(spelling.of(list(ids)), 0.0)[order]
 
 
 def _pairs(own: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -138,7 +189,7 @@ def _count(n_buckets: int):
     counts in training texts. A pair row has the distinct contexts (h), how
     many words follow each (n) and those words (w)."""
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, every, size = _tokens(pdf["text"])
+        own, every, size, _ = _tokens(pdf["text"])
         taught = np.repeat(pdf["learn"].to_numpy(bool), size)
         c = np.bincount(every[taught], minlength=len(own))
         block = int(pdf["block"].iloc[0])
@@ -245,12 +296,12 @@ def _open(vocab: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
 class _Parent:
     """The parent restaurant's predictive probabilities under its totals."""
 
-    def __init__(self, seats: _Seats, served: int, tables: int, base: float, unseen: float):
+    def __init__(self, seats: _Seats, served: int, tables: int, even: float):
         self.d, self.denom = seats.d, seats.theta + served
-        self.new, self.base, self.unseen = (seats.theta + seats.d * tables) / self.denom, base, unseen
+        self.unseen = (seats.theta + seats.d * tables) / self.denom * even
 
     def of(self, served: np.ndarray, t1: np.ndarray) -> np.ndarray:
-        return np.maximum(served - self.d * t1, 0) / self.denom + self.new * self.base
+        return np.maximum(served - self.d * t1, 0) / self.denom + self.unseen
 
 
 def _tell(parent: _Parent):
@@ -310,12 +361,12 @@ _REPLY_COLUMNS = [x.split()[0] for x in _REPLY.split(", ")]
 def _answer_words(parents: list[_Parent]):
     """Tells each block its words' counts and, for each sample, their tables
     as context and (in single precision) probability as dish, in the order
-    they were asked."""
+    they were asked. An unseen word has the probability of that outcome."""
     def answer(asked: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
         c = _held(came[came["sample"] < 0], "c")
         states = came[came["sample"] >= 0].sort_values("sample")
         T = [_unpack(x) for x in states["t_u"]]
-        p = [np.where(c > 0, q.of(_unpack(s), _unpack(t)), q.new * q.unseen) for q, s, t in zip(parents, states["served"], states["t1"])]
+        p = [np.where(c > 0, q.of(_unpack(s), _unpack(t)), q.unseen) for q, s, t in zip(parents, states["served"], states["t1"])]
         rows = []
         for block, bucket, raw in zip(asked["source"], asked["bucket"], asked["h"]):
             pos = _unpack_rising(raw)
@@ -339,9 +390,11 @@ def _answer_pairs(d: float, samples: int):
     return answer
 
 
-def _score(seats: _Seats, n_buckets: int, samples: int, n: int, v: int):
+def _score(seats: _Seats, n_buckets: int, samples: int, n: int, v: int, spelling: _Spelling):
+    """Scores a block's texts from the answers. Spellings are added as
+    logarithms, so a very long word cannot underflow."""
     def score(pdf: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
-        own, every, size = _tokens(pdf["text"])
+        own, every, size, spelled = _tokens(pdf["text"], spelling)
         pu, pw, which = _pairs(own, every)
         count, left = np.zeros(len(own), np.int64), np.zeros(len(pu))
         T, p = np.zeros((samples, len(own))), np.zeros((samples, len(own)))
@@ -356,22 +409,25 @@ def _score(seats: _Seats, n_buckets: int, samples: int, n: int, v: int):
         for s in range(samples):
             model = model + (seats.theta + seats.d * T[s, pu]) * p[s, pw] / samples
         model = np.log10(model / (seats.theta + count)[pu])
+        spelled = np.where(count > 0, 0.0, spelled)
         base = np.log10((count + 1) / (n + v + 1))
         start = np.cumsum(size) - size
         return pd.DataFrame({
             "doc_id": pdf["doc_id"].to_numpy(np.int64), "known": pdf["known"].to_numpy(bool), "held_out": pdf["held_out"].to_numpy(bool),
             "n_tokens": size, "n_known": np.add.reduceat((count[every] > 0).astype(np.int64), start),
-            "train_tokens": n, "base_score": np.add.reduceat(base[every], start), "score": np.add.reduceat(model[which], start)})
+            "train_tokens": n, "base_score": np.add.reduceat(base[every], start), "score": np.add.reduceat(model[which], start),
+            "open_score": np.add.reduceat(model[which] + spelled[every], start)})
     return score
 
 
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held: int = 2,
                 contexts: tuple[float, float] = (0.75, 5.0), parent: tuple[float, float] = (0.5, 5.0),
-                unseen: float = 0.5, burn: int = 2, samples: int = 4, seed: int = 7) -> DataFrame:
+                burn: int = 2, samples: int = 4, seed: int = 7) -> DataFrame:
     """One row for each row of ``docs``: doc_id, held_out (crc32 of the id as
     text, modulo ``modulus``, is ``held``; such texts are not learned from),
     n_tokens, n_known, train_tokens, base_score (add-one unigram), score (the
-    model's log10 probability of the text) and perplexity (of its tokens).
+    model's log10 probability of the text), perplexity (of its tokens) and
+    open_score (log10 probability with unseen words spelled out).
 
     ``contexts`` and ``parent``: discount and strength.
     """
@@ -382,6 +438,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = F.coalesce(crc_mod(F.col("doc_id"), modulus) == held, F.lit(False))
     base = base.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text", "block",
                        out.alias("held_out"), (F.col("doc_id").isNotNull() & ~out).alias("learn"))
+    spelling = _learn_spelling(base.where("learn and text is not null").select("text"))
     gathered = stage(base.select("text", "learn", "block").groupBy("block").applyInPandas(_count(n_buckets), _ASKED)
                      .groupBy("kind", "bucket").applyInPandas(_gather(n_buckets), _GATHERED), "lm-cells")
     vocab = gathered.where("kind = 0")
@@ -392,7 +449,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     asks = opened.where("kind = 1").select("bucket", "source", "pos")
     state = opened.where("kind = 0")
 
-    ctx, root, seen_base = _Seats(*contexts), _Seats(*parent), (1 - unseen) / max(v, 1)
+    ctx, root, even = _Seats(*contexts), _Seats(*parent), 1 / (v + 1)
 
     def totals(state: DataFrame) -> tuple[int, int]:
         served, t1 = state.agg(F.sum("served_n"), F.sum("t1_n")).first()
@@ -400,16 +457,16 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (served_n, t1_n), kept, parents = totals(state), [], []
     for s in range(1, burn + samples + 1):
         told = (asks.groupBy("bucket").cogroup(state.select("bucket", "t_u", "served", "t1").groupBy("bucket")).applyInPandas(
-            _tell(_Parent(root, served_n, t1_n, seen_base, unseen)), "bucket int, source int, pos binary, t_u binary, p binary"))
+            _tell(_Parent(root, served_n, t1_n, even)), "bucket int, source int, pos binary, t_u binary, p binary"))
         sums = live.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInPandas(
             _seat(ctx, seed, s), "bucket int, pos binary, by_u binary, by_w binary, t binary")
-        new = (root.theta + root.d * t1_n) * seen_base
+        new = (root.theta + root.d * t1_n) * even
         state = stage(sums.groupBy("bucket").cogroup(state.select("bucket", "su", "sw").groupBy("bucket")).applyInPandas(
             _close(root, seed + 1, s, new), _STATE), "lm-tables")
         served_n, t1_n = totals(state)
         if s > burn:
             kept.append(state.select("bucket", F.lit(s).alias("sample"), "t_u", "served", "t1", "t"))
-            parents.append(_Parent(root, served_n, t1_n, seen_base, unseen))
+            parents.append(_Parent(root, served_n, t1_n, even))
 
     none, first = F.lit(None).cast("binary"), F.lit(-1).alias("sample")
     known = vocab.select("bucket", first, "c", none.alias("t_u"), none.alias("served"), none.alias("t1"))
@@ -421,7 +478,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .unionByName(gathered.where("kind = 3").select("bucket", "source", "h").groupBy("bucket").cogroup(seated.groupBy("bucket"))
                          .applyInPandas(_answer_pairs(ctx.d, samples), _REPLY)))
     scored = base.drop("learn").groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
-        _score(ctx, n_buckets, samples, n, v),
-        "doc_id long, known boolean, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+        _score(ctx, n_buckets, samples, n, v, spelling),
+        "doc_id long, known boolean, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, open_score double")
     return scored.select(F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens",
-                         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"))
+                         "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"), "open_score")

@@ -208,6 +208,85 @@ def test_pitman_yor_learns_pairs_of_all_words(spark):
     assert min(r["score"] for r in seen) > max(r["score"] for r in crossed) + 1
 
 
+def test_pitman_yor_ranks_gibberish_below_text(docs, rows):
+    """Texts of random letters score below every real held-out text of as many
+    words, and far below when their words are spelled."""
+    rng = np.random.default_rng(11)
+    held = [i for i in range(50_000, 51_000) if zlib.crc32(str(i).encode()) % 7 == 2][:20]
+    real = [r for i, r in rows.items() if zlib.crc32(str(i).encode()) % 7 == 2 and len(ws(r["text"])) >= 40][:40]
+    made = [(i, " ".join("".join(map(chr, rng.integers(97, 123, 12))) for _ in range(40))) for i in held]
+    short = [(r["doc_id"], r["text"].split()) for r in real]
+    known = [(i, r["text"]) for i, r in rows.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    table = known + made + [(i, " ".join(w[:40])) for i, w in short] + [(60_000, "x" * 5_000), (60_001, "\U0001f600" * 3)]
+    got = {r["doc_id"]: r for r in pitman_yor.score_texts(docs.sparkSession.createDataFrame(table, "doc_id long, text string")).collect()}
+    assert len(real) > 5 and all(math.isfinite(r["open_score"]) and r["open_score"] <= r["score"] for r in got.values())
+    assert max(got[i]["score"] for i in held) < min(got[i]["score"] for i, _ in short)
+    assert max(got[i]["open_score"] for i in held) < min(got[i]["open_score"] for i, _ in short) - 40
+
+
+def plain_pitman_yor(texts, asked, burn, samples, rng, d=0.75, theta=5.0, pd=0.5, ptheta=5.0):
+    """The operator's seating rule customer by customer in plain loops: every
+    cell is seated again given all tables of the sweep before. Mean
+    probability of each (previous, word) of ``asked``; those of all seen words
+    and the outcome "not seen" must sum to one in every sweep."""
+    cells = Counter((u, w) for t in texts for u, w in zip([b" "] + t, t + [b" "]))
+    vocab = {w for _, w in cells}
+    even, rows = 1 / (len(vocab) + 1), Counter()
+    for (u, _), c in cells.items():
+        rows[u] += c
+    tables, root = dict.fromkeys(cells, 1), dict.fromkeys(vocab, 1)
+
+    def seat(customers, disc, new):
+        t = 1
+        for i in range(1, customers):
+            t += rng.random() < new / (new + i - disc * t)
+        return t
+    total = defaultdict(float)
+    for s in range(burn + samples + 1):
+        served, opened = Counter(), Counter()
+        for (u, w), t in tables.items():
+            served[w] += t
+            opened[u] += t
+        if s:
+            root = {w: seat(served[w], pd, (ptheta + pd * sum(root.values())) * even) for w in vocab}
+        top = {w: (max(served[w] - pd * root.get(w, 0), 0) + (ptheta + pd * sum(root.values())) * even) / (ptheta + sum(served.values()))
+               for w in [*vocab, b"not seen"]}
+
+        def chance(u, w):
+            own = cells[u, w] - d * tables[u, w] if (u, w) in cells else 0
+            return (own + (theta + d * opened[u]) * top[w if w in vocab else b"not seen"]) / (theta + rows[u])
+        assert all(math.isclose(sum(chance(u, w) for w in top), 1) for u in rows)
+        if s > burn:
+            for x in asked:
+                total[x] += chance(*x) / samples
+        tables = {(u, w): seat(c, d, (theta + d * opened[u]) * top[w]) for (u, w), c in cells.items()}
+    return total
+
+
+def test_pitman_yor_against_a_plain_sampler(spark):
+    """Scores of a small corpus are within 0.02 a token of plain loops with
+    the same seating rule (averages of 12 and 400 sweeps)."""
+    rng = np.random.default_rng(3)
+    kinds = [f"w{'abcdefgh'[k]}" for k in range(8)]
+    made = [(i, " ".join(kinds[min(int(x), 7)] for x in rng.geometric(0.4, 6) - 1)) for i in range(30)]
+    new = [i for i in range(100, 300) if zlib.crc32(str(i).encode()) % 7 == 2][:4]
+    made += list(zip(new, ["wa wb", "wq wa", "wh wh wh", "zebra"]))
+    got = {r["doc_id"]: r for r in pitman_yor.score_texts(spark.createDataFrame(made, "doc_id long, text string"), samples=12).collect()}
+    taught = [t.encode().split() for i, t in made if zlib.crc32(str(i).encode()) % 7 != 2]
+    asked = {i: list(zip([b" "] + t.encode().split(), t.encode().split() + [b" "])) for i, t in made}
+    p = plain_pitman_yor(taught, {x for a in asked.values() for x in a}, 2, 400, rng)
+    pairs = Counter(ab for t in taught for w in t for ab in zip(b" " + w, w + b" "))
+    for i, a in asked.items():
+        assert abs(got[i]["score"] - sum(math.log10(p[x]) for x in a)) < 0.02 * len(a)
+        spelled = 0.0
+        for w in (w for _, w in a if w in (b"wq", b"zebra")):
+            for u, v in zip(b" " + w, w + b" "):
+                space = u != 32  # a word is not empty
+                row = sum(pairs[u, y] for y in range(256)) + 0.1 * (250 + space)
+                spelled += math.log10((pairs[u, v] + 0.1) / row)
+        assert math.isclose(got[i]["open_score"], got[i]["score"] + spelled, rel_tol=1e-4)
+
+
 def test_outliers_base_values(docs, rows):
     got = {r["doc_id"]: r for r in outliers.judge(docs).collect()}
     for i, r in rows.items():
