@@ -2,25 +2,27 @@
 
 For each language an n-gram model over letters (lower-cased; any run of other
 characters is one space), interpolated Kneser-Ney with one discount an order,
-learned from at most ``sample`` labelled texts a language (the smallest id
-hashes among the eligible ones; whole texts). Models are kept as sorted hash
+learned from at most ``sample`` distinct labelled texts a language (the
+smallest hashes among the eligible ones; whole texts). Models are kept as sorted hash
 arrays. For speed the n-grams that any language has seen are also merged into
 one sorted array with a row of log-probabilities, one for each language; the
 rest goes down the orders one by one.
 
 A text gets the language of the lowest cross-entropy a character (bits). It
-is rejected if that exceeds its language's limit: the mean of its calibration
-texts plus the larger of ``slack`` times the distance to their 99th
-percentile and half the way to random letters; wider for texts under 200
-characters. Calibration texts are other labelled texts (at most
-``calibration`` a language).
+is rejected if that exceeds its language's limit for texts as long: on pieces
+of calibration texts of that length, the mean plus the larger of ``slack``
+times the distance to the 99th percentile and half the way to random letters,
+and at most three quarters of that way. Lengths between those measured are
+interpolated. Calibration texts are other labelled texts (at most
+``calibration`` a language); languages without any go by all languages'.
 
 The models' size is bounded by the sample; scoring is one pass over all whole
 texts, without a shuffle. Neither lang, source nor doc_id is looked at in a
 prediction.
 
 Defined cases: null texts and texts without a letter get ``und``, score 0,
-not rejected; rows without doc_id are not learned from; ties go to the first
+not rejected; rows without doc_id are not learned from; rows that repeat a
+text are learned from once a language; ties go to the first
 language by name; without labelled texts every text is ``und``; an empty
 table gives an empty result.
 """
@@ -39,6 +41,7 @@ from shoptrail.llm.tables import crc_mod, narrow, stage, text_batches
 from shoptrail.llm.text import U, chunks, mix
 
 ORDER = 5
+LENGTHS = (25, 50, 100, 200, 400, 800)  # characters, at which limits are measured
 SCORED = "lang_pred string, score double, rejected boolean, cross_entropy double, n_letters long"
 
 
@@ -214,7 +217,7 @@ class Models:
         return -total / np.maximum(sizes - 1, 1)[:, None]
 
 
-def _score(models: Models, limits: dict[str, tuple[float, float]] | None, evidence: int):
+def _score(models: Models, limits: dict[str | None, list[float]] | None, evidence: int):
     def score(texts: pd.Series) -> pd.DataFrame:
         read = _Reader()
         out = []
@@ -230,14 +233,14 @@ def _score(models: Models, limits: dict[str, tuple[float, float]] | None, eviden
                 x, lang = bits[i], models.langs[best[i]]
                 n = min(int(sizes[i]) - 1, evidence)
                 p = 1.0 / float(np.exp2(np.minimum((x[best[i]] - x) * n, 0.0)).sum())
-                mean, far = limits.get(lang, (0.0, np.inf)) if limits else (0.0, np.inf)
-                limit = mean + far * max(1.0, (200 / max(1, int(sizes[i]) - 1)) ** 0.5)
+                of_lang = limits.get(lang, limits[None]) if limits else [np.inf] * len(LENGTHS)
+                limit = np.interp(np.log2(max(1, int(sizes[i]) - 1)), np.log2(LENGTHS), of_lang)
                 out.append((lang, p, bool(x[best[i]] > limit), float(x[best[i]]), int(letters[i])))
         return pd.DataFrame(out, columns=["lang_pred", "score", "rejected", "cross_entropy", "n_letters"])
     return score
 
 
-def predictor(models: Models, limits: dict[str, tuple[float, float]] | None = None, evidence: int = 40):
+def predictor(models: Models, limits: dict[str | None, list[float]] | None = None, evidence: int = 40):
     """A column function: text -> struct of ``SCORED``. ``score`` is the
     posterior of the language under equal priors, counting at most
     ``evidence`` characters."""
@@ -267,25 +270,55 @@ def _smallest_hashes(ids: DataFrame, n: int) -> DataFrame:
     return near.withColumn("place", F.row_number().over(pick)).where(F.col("place") <= n)
 
 
+def _sample(able: DataFrame, n: int) -> DataFrame:
+    """(lang, text, place) of ``n`` distinct texts of each language, those
+    with the smallest hashes, however often a text is repeated."""
+    keyed = able.select("lang", "text", F.xxhash64("text").alias("doc_id"))
+    distinct = stage(keyed.select("doc_id", "lang").distinct(), "lid-texts")
+    ids = stage(_smallest_hashes(distinct, n), "lid-places")
+    return keyed.join(narrow(ids), ["lang", "doc_id"]).groupBy("lang", "place").agg(F.min("text").alias("text"))
+
+
+def _limits(texts: DataFrame, plain: Column, random_bits: float, slack: float) -> dict[str | None, list[float]]:
+    """The cross-entropy up to which a text of each length of ``LENGTHS``
+    passes, by predicted language; under None that of all languages together.
+    Measured on pieces of ``texts`` of those lengths: the mean and ``slack``
+    times the way to the 99th percentile, at least half the way to ``random_bits``
+    and at most three quarters of it."""
+    pieces = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.substring("text", 1 + i * n, n).alias("piece"))
+                                 for n in LENGTHS for i in range(4)]))
+    cut = texts.select(pieces.alias("p")).select("p.*").where(F.length("piece") == F.col("n"))
+    tested = cut.select("n", plain.alias("p")).where("p.cross_entropy is not null").select("n", "p.lang_pred", "p.cross_entropy")
+    mean, far = F.avg("cross_entropy").alias("mean"), F.percentile("cross_entropy", 0.99).alias("far")
+    rows = tested.rollup("n", "lang_pred").agg(mean, far).where("n is not null").collect()
+
+    def limit(r):
+        return r["mean"] + min(max(slack * (r["far"] - r["mean"]), (random_bits - r["mean"]) / 2), 0.75 * (random_bits - r["mean"]))
+    found = {(r["lang_pred"], r["n"]): limit(r) for r in rows}
+    out = {}
+    for lang in {lang for lang, _ in found} | {None}:
+        last, out[lang] = random_bits, []
+        for n in LENGTHS:  # a length without pieces: as all languages, else as the length before
+            last = found.get((lang, n), found.get((None, n), last))
+            out[lang].append(last)
+    return out
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 400,
         calibration: int = 200, order: int = ORDER, slack: float = 3.0, modulus: int = 4, held: int = 2):
     """Learns the models and their limits from labelled, not held-out rows and
-    returns the predictor."""
+    returns the predictor. Of a language's sampled texts every
+    (``sample`` / ``calibration`` + 1)th is kept out of training and sets the limits."""
     text_batches(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
                       F.col(lang_col).cast("string").alias("lang"))
-    able = src.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), modulus, held) & F.col("lang").isNotNull())
-    ids = _smallest_hashes(able.where(F.col("text").isNotNull()).select("doc_id", "lang"), sample + calibration)
-    chosen = stage(able.join(F.broadcast(ids.select("doc_id", "place")), "doc_id"), "lid-sample")
-    rows = (chosen.where(F.col("place") <= sample).groupBy("lang")
+    able = src.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"), modulus, held) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    chosen = stage(_sample(able, sample + calibration), "lid-sample")
+    kept_out = F.pmod(F.col("place"), F.lit(sample // calibration + 1)) == 0
+    rows = (chosen.where(~kept_out).groupBy("lang")
             .applyInPandas(_train(order), "lang string, n int, a binary, b binary, c binary, d binary").collect())
     models = Models(rows, order)
-    plain = predictor(models)
-    tested = chosen.where((F.col("place") > sample) | (F.col("place") <= 20)).select(plain("text").alias("p")).select("p.*")
-    stats = (tested.where("cross_entropy is not null and n_letters >= 50").groupBy("lang_pred")
-             .agg(F.avg("cross_entropy").alias("mean"), F.percentile("cross_entropy", 0.99).alias("far")).collect())
-    limits = {r["lang_pred"]: (r["mean"], max(slack * (r["far"] - r["mean"]), (models.random_bits - r["mean"]) / 2)) for r in stats}
-    return predictor(models, limits)
+    return predictor(models, _limits(chosen.where(kept_out), predictor(models)("piece"), models.random_bits, slack))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:

@@ -127,6 +127,38 @@ def test_language_sample_is_the_smallest_id_hashes(spark):
     assert got == {(lang, i, n) for lang, some in by.items() for n, i in enumerate(some[:500], start=1)}
 
 
+def test_language_id_repeated_rows_change_nothing(spark, docs):
+    """3,000 copies of one labelled row: the sample, and so every result, stay."""
+    one = docs.where("lang = 'de' and crc32(cast(doc_id as string)) % 4 <> 2").orderBy("doc_id").limit(1)
+    many = docs.unionByName(one.crossJoin(spark.range(3000).select(F.lit(1))).select(*docs.columns))
+    able = [d.select("lang", "text") for d in (docs, many)]
+    small, large = (sorted(map(tuple, language_id._sample(d, 5).collect()), key=str) for d in able)
+    assert small == large and len(small) == 5 * docs.select("lang").distinct().count()
+    assert small == sorted(set(small), key=str)
+    first = {tuple(r) for r in language_id.identify(docs, sample=20, calibration=10).collect()}
+    assert first == {tuple(r) for r in language_id.identify(many, sample=20, calibration=10).collect()}
+
+
+def test_language_id_rejects_short_random_and_foreign_texts(spark, docs):
+    """Random letters, and a language that is not learned in its own letters,
+    of 25 to 200 characters go; pieces of real texts as long stay."""
+    rng = np.random.default_rng(17)
+    bad, good, at = [], [], 100_000
+    real = [r["text"] for r in docs.where("crc32(cast(doc_id as string)) % 4 = 2").orderBy("doc_id").collect() if len(r["text"]) > 400]
+    for n in (25, 50, 100, 200):
+        for k in range(20):
+            letters = "".join("abcdefghijklmnopqrstuvwxyz     "[i] for i in rng.integers(0, 31, n))
+            greek = "".join("\u03b1\u03b2\u03b3\u03b4\u03b5\u03b6\u03b7\u03b8\u03b9\u03ba\u03bb\u03bc   "[i] for i in rng.integers(0, 15, n))
+            bad += [(at + 1, letters), (at + 2, greek)]
+            good.append((at + 3, real[k % len(real)][100:100 + n]))
+            at += 3
+    table = spark.createDataFrame([(i, t, None) for i, t in bad + good], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in language_id.identify(docs.select("doc_id", "text", "lang").unionByName(table), sample=100, calibration=50).collect()}
+    assert sum(got[i]["rejected"] for i, _ in bad) >= 0.95 * len(bad)
+    assert sum(got[i]["rejected"] for i, _ in good) <= 0.02 * len(good)
+    assert not any(r["rejected"] for i, r in got.items() if i < 100_000)
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     text = "abracadabra alakazam"
     codes, sizes, _ = language_id._Reader()([text])
