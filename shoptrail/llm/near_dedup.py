@@ -13,7 +13,8 @@ union-find grouping over distributed tables.
    bounds of set similarity joins, which lose no pair).
    Nothing is capped: each band pair is confirmed, implied by a chain of
    confirmed links, or excluded by an exact bound.
-4. Links of both rounds give the components.
+4. Groups that links of the second round join are grouped once more: only
+   these links, between the first round's groups, give the components.
 
 With 32 bands of 4 ranks a pair of similarity 0.75 shares no band with
 probability 5e-6.
@@ -141,7 +142,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     star = stage(members.where("doc_id <> u").select("u", F.col("doc_id").alias("v"), "nu", F.col("n").alias("nv"))
                  .where(_fits(percent)).select("u", "v").distinct(), "star")
     links = stage(_confirmed(star, sets, percent), "links")
-    groups = components(links)
+    groups = stage(components(links), "groups")
 
     labelled = members.join(groups, members["doc_id"] == groups["node"], "left").select(
         "band", "size", "doc_id", "n", F.coalesce("component", "doc_id").alias("group"))
@@ -150,11 +151,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     few, many = left.where(F.col("size") <= small_bucket), left.where(F.col("size") > small_bucket)
     more = _across(few, "band", percent).unionByName(_rare(many, sets, percent))
     more = stage(more.distinct().join(star, ["u", "v"], "left_anti"), "across")
-    all_links = links.unionByName(_confirmed(more, sets, percent))
-    final = components(all_links)
+    of_u, of_v = (groups.select(F.col("node").alias(x), F.col("component").alias(g)) for x, g in (("u", "gu"), ("v", "gv")))
+    bridges = (_confirmed(more, sets, percent).join(of_u, "u", "left").join(of_v, "v", "left")
+               .select(F.coalesce("gu", "u").alias("u"), F.coalesce("gv", "v").alias("v")))
+    joined = components(bridges).select(F.col("node").alias("group"), F.col("component").alias("whole"))
 
     found = (table.select("doc_id", "n_shingles", "class").join(classes, "class", "left")
-             .join(final, F.col("rep") == F.col("node"), "left"))
-    component = F.when(F.col("n_shingles") > 0, F.coalesce("component", "rep", "doc_id")).otherwise(F.col("doc_id"))
+             .join(groups, F.col("rep") == F.col("node"), "left")
+             .withColumn("group", F.coalesce("component", "rep")).join(joined, "group", "left"))
+    component = F.when(F.col("n_shingles") > 0, F.coalesce("whole", "group", "doc_id")).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).select(
         "*", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
