@@ -11,8 +11,9 @@ rest goes down the orders one by one.
 A text gets the language of the lowest cross-entropy a character (bits). It
 is rejected if that exceeds its language's limit for texts as long: on pieces
 of calibration texts of that length, the mean plus the larger of ``slack``
-times the distance to the 99th percentile and half the way to random letters,
-and at most three quarters of that way. Lengths between those measured are
+times the distance to the 99th percentile and half the way to random letters
+with room for one identifier of 40 of them (a key in a short text is no other
+language), at most nine tenths of that way. Lengths between those measured are
 interpolated. Calibration texts are other labelled texts (at most
 ``calibration`` a language); languages without any go by all languages'.
 
@@ -284,7 +285,7 @@ def _limits(texts: DataFrame, plain: Column, random_bits: float, slack: float) -
     passes, by predicted language; under None that of all languages together.
     Measured on pieces of ``texts`` of those lengths: the mean and ``slack``
     times the way to the 99th percentile, at least half the way to ``random_bits``
-    and at most three quarters of it."""
+    and what 40 random letters add, at most nine tenths of that way."""
     pieces = F.explode(F.array(*[F.struct(F.lit(n).alias("n"), F.substring("text", 1 + i * n, n).alias("piece"))
                                  for n in LENGTHS for i in range(4)]))
     cut = texts.select(pieces.alias("p")).select("p.*").where(F.length("piece") == F.col("n"))
@@ -293,7 +294,8 @@ def _limits(texts: DataFrame, plain: Column, random_bits: float, slack: float) -
     rows = tested.rollup("n", "lang_pred").agg(mean, far).where("n is not null").collect()
 
     def limit(r):
-        return r["mean"] + min(max(slack * (r["far"] - r["mean"]), (random_bits - r["mean"]) / 2), 0.75 * (random_bits - r["mean"]))
+        way = random_bits - r["mean"]
+        return r["mean"] + min(max(slack * (r["far"] - r["mean"]), (0.5 + 20 / r["n"]) * way), 0.9 * way)
     found = {(r["lang_pred"], r["n"]): limit(r) for r in rows}
     out = {}
     for lang in {lang for lang, _ in found} | {None}:
