@@ -100,3 +100,32 @@ def _update_stream(spark: SparkSession, df: DataFrame) -> DataFrame:
      .foreachBatch(lambda batch, i: batch.write.mode("overwrite").parquet(f"{out}/batch_id={i}"))
      .trigger(availableNow=True).start().awaitTermination())
     return spark.read.parquet(out)
+
+
+ARRIVAL_DELAY = "3 days"
+
+
+@register("stream_late_events", O.q(f"""
+, a AS (SELECT event_id, timestamp AS t, timestamp > {O.NOW} + INTERVAL 1 HOUR AS ahead,
+               CASE WHEN substr(md5(event_id), 1, 1) < '5' THEN 0 WHEN substr(md5(event_id), 1, 1) < 'a' THEN 1 ELSE 2 END AS arrival
+        FROM raw WHERE event_id IS NOT NULL),
+marks AS (SELECT arrival, max(max(t) FILTER (WHERE NOT ahead)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest
+          FROM a GROUP BY arrival)
+SELECT a.event_id, CASE WHEN t IS NULL THEN 'undated' WHEN ahead THEN 'future'
+                        WHEN t < latest - INTERVAL {ARRIVAL_DELAY} THEN 'late' ELSE 'on_time' END AS route
+FROM a JOIN marks USING (arrival)
+"""))
+def stream_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events arrive in three parts; each is split by the watermark
+    that the parts before it left."""
+    from shoptrail.streaming import lateness
+    run = _name()
+    source, out = scratch_path(spark, f"streams/parts-{run}"), scratch_path(spark, f"streams/routes-{run}")
+    events = X.with_event_time(P.wire_events(spark, sf_dir).where("event_id IS NOT NULL")).select("event_id", "event_time")
+    first = F.substring(F.md5("event_id"), 1, 1)
+    arrival = F.when(first < "5", 0).when(first < "a", 1).otherwise(2)
+    for part in range(3):
+        events.where(arrival == part).write.mode("append").parquet(source)
+        stream = spark.readStream.schema(events.schema).parquet(source)
+        lateness.start_routing(stream, out, scratch_path(spark, f"streams/ckpt-{run}"), ARRIVAL_DELAY, FIXTURE_NOW).awaitTermination()
+    return lateness.read_routes(spark, out, events.schema).select("event_id", "route")
