@@ -17,14 +17,17 @@ a binomial draw). Tables of the context restaurants are the customers of the
 parent. After ``burn`` sweeps the predictive probabilities of the next ones
 are averaged. Draws are seeded by bucket, so a lost task is redone alike.
 
-Words and pairs are counted over all training texts by blocks and hash buckets
-(see exchange.py). A word bucket holds its words' counts and their tables as
-context and as dish; a pair bucket holds cells, dealt by both words, so that
-the cells of a frequent context are spread. A cell with one customer has one
-table in every sweep; only words of cells with more are exchanged in a sweep,
-as positions in their word bucket. Vocabulary and cells grow with the corpus
-and stay distributed; the driver sees a few totals a sweep and the 256 x 256
-counts of the spelling.
+Texts are read in blocks and coded once: each task cuts its input into blocks
+and writes a block's words as positions in its own list of words, so whole
+texts are never shuffled. Word buckets (by hash) count words over all blocks
+and number them, the frequent ones first; blocks learn the numbers and send
+their pairs to pair buckets as sorted numbers (see exchange.py). A pair bucket
+holds cells, dealt by context; a context is cut by word into as many parts as
+its count asks for, so those of a frequent context are spread. A cell with one
+customer has one table in every sweep; only words of cells with more are
+exchanged in a sweep, as positions in their word bucket. Vocabulary and cells
+grow with the corpus and stay distributed; the driver sees a few totals a
+sweep and the 256 x 256 counts of the spelling.
 
 Words are 64-bit xxh64 hashes of lower-cased (A-Z) words. Defined cases: null
 and empty texts are the end token alone; rows without doc_id are held out
@@ -40,14 +43,16 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.exchange import buckets_for, deal, joined, lengths, parts
-from shoptrail.llm.tables import blocks, crc_mod, stage, text_batches, text_bytes
+from shoptrail.llm.tables import crc_mod, stage, text_batches, text_bytes
 from shoptrail.llm.text import U, chunks, mix, words
 
-BLOCK_BYTES = 8_000_000
+BLOCK_CHARS = 8_000_000
 END = xxhash.xxh64_intdigest(b" ")  # no word holds a space
 
 
@@ -116,48 +121,38 @@ def _learn_spelling(texts: DataFrame) -> _Spelling:
     return _Spelling(pairs)
 
 
-def _spread(h: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of ``h`` in the sorted array ``to`` and whether they are in it."""
-    if len(to) == 0:
-        return np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-    pos = np.minimum(np.searchsorted(to, h), len(to) - 1)
-    return pos, to[pos] == h
-
-
 class _Ids(dict):
     def __missing__(self, w: bytes) -> int:
         i = self[w] = len(self)
         return i
 
 
-def _tokens(texts, spelling: _Spelling | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray | None]:
-    """(sorted distinct hashes with END, all texts' words as positions in them
+def _tokens(texts, spelling: _Spelling) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct hashes with END last, all texts' words as positions in them
     with END after each text, tokens of each text, log10 probability of each
     distinct word's spelling, 0 for END)."""
     ids = _Ids()
     rows = [np.fromiter(map(ids.__getitem__, words(t, lower=True)), np.int64) for t in texts]
     size = np.array([len(r) + 1 for r in rows], np.int64)
     own = np.append(np.fromiter((xxhash.xxh64_intdigest(w) for w in ids), np.uint64, len(ids)), np.uint64(END))
-    order = np.argsort(own)
-    rank = np.empty(len(own), np.int64)
-    rank[order] = np.arange(len(own))
     every = np.full(int(size.sum()), len(ids), np.int64)
     inner = np.ones(len(every), bool)
     inner[np.cumsum(size) - 1] = False
     every[inner] = np.concatenate(rows)
-    return own[order], rank[every], size, None if spelling is None else np.append(spelling.of(list(ids)), 0.0)[order]
+    return own, every, size, np.append(spelling.of(list(ids)), 0.0)
 
 
-def _pairs(own: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (previous, word) positions in the order of their hashes, and
-    each token's pair. END is before the first word of every text."""
-    end = np.searchsorted(own, U(END))
-    code, which = np.unique(np.r_[end, every[:-1]] * len(own) + every, return_inverse=True)
-    return code // len(own), code % len(own), which
+def _pairs(n: int, every: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (previous, word) of ``n`` words in rising order, and each
+    token's pair. ``end`` is before the first word of every text."""
+    code, which = np.unique(np.r_[end, every[:-1]] * n + every, return_inverse=True)
+    return code // n, code % n, which
 
 
-def _deal_pairs(u: np.ndarray, w: np.ndarray, n: int):
-    return deal(mix(u * U(0x9E3779B97F4A7C15) ^ w), n)
+def _deal_pairs(u: np.ndarray, w: np.ndarray, cuts: np.ndarray, n: int):
+    """Pairs by context; one with ``cuts`` above 1 is cut by word."""
+    part = mix(w.astype(np.uint64)) % cuts.astype(np.uint64)
+    return deal(mix(u.astype(np.uint64) * U(0x9E3779B97F4A7C15) ^ part), n)
 
 
 def _runs(sorted_values: np.ndarray) -> np.ndarray:
@@ -166,14 +161,24 @@ def _runs(sorted_values: np.ndarray) -> np.ndarray:
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Non-negative integers in the least width that holds them all."""
-    top = int(x.max()) if len(x) else 0
-    width = next(w for w in (1, 2, 4, 8) if top < 256 ** w)
-    return bytes([width]) + x.astype(f"<u{width}").tobytes()
+    """Non-negative integers as byte planes of the least width that holds them
+    all, compressed where there are many."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    planes = np.ascontiguousarray(x, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    if len(planes) < 200:
+        return bytes([width]) + planes
+    return bytes([width + 8]) + zstandard.ZstdCompressor(level=1).compress(planes)
 
 
 def _unpack(raw: bytes | None) -> np.ndarray:
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64) if raw else np.zeros(0, np.int64)
+    if not raw:
+        return np.zeros(0, np.int64)
+    width, planes = raw[0], raw[1:]
+    if width > 8:
+        width, planes = width - 8, zstandard.ZstdDecompressor().decompress(planes)
+    out = np.zeros((len(planes) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return out.view("<i8")[:, 0].astype(np.int64)
 
 
 def _pack_rising(x: np.ndarray) -> bytes:
@@ -184,83 +189,158 @@ def _unpack_rising(raw: bytes) -> np.ndarray:
     return np.cumsum(_unpack(raw))
 
 
-def _count(n_buckets: int):
-    """What a block asks: its words (kind 0) and pairs (kind 1), with their
-    counts in training texts. A pair row has the distinct contexts (h), how
-    many words follow each (n) and those words (w)."""
-    def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        own, every, size, _ = _tokens(pdf["text"])
-        taught = np.repeat(pdf["learn"].to_numpy(bool), size)
-        c = np.bincount(every[taught], minlength=len(own))
-        block = int(pdf["block"].iloc[0])
-        rows = [(0, k, block, own[i].tobytes(), b"", b"", _pack(c[i])) for k, i in deal(own, n_buckets)]
-        pu, pw, which = _pairs(own, every)
-        c = np.bincount(which[taught], minlength=len(pu))
-        hu, hw = own[pu], own[pw]
-        for k, i in _deal_pairs(hu, hw, n_buckets):
-            at = _runs(hu[i])
-            rows.append((1, k, block, hu[i][at].tobytes(), _pack(np.diff(np.r_[at, len(i)])), hw[i].tobytes(), _pack(c[i])))
-        return pd.DataFrame(rows, columns=["kind", "bucket", "block", "h", "n", "w", "c"])
-    return count
-
-
-_ASKED = "kind int, bucket int, block int, h binary, n binary, w binary, c binary"
-_GATHERED = "kind int, bucket int, source int, h binary, c binary, su binary, sw binary, lu binary, lw binary, n long, v long"
+_CODED = ("kind int, bucket int, block long, h binary, c binary, every binary, often binary, size binary, doc_id binary, "
+          "flags binary, spelled binary, end long")
+_CODED_COLUMNS = [x.split()[0] for x in _CODED.split(", ")]
+_KNOWN, _HELD, _LEARN = 1, 2, 4
+_BLOCK = ["block", "every", "often", "size", "doc_id", "flags", "spelled", "end"]
+
+
+def _encode(n_buckets: int, spelling: _Spelling):
+    """Cuts a task's rows into blocks. Kind 0: a block's words for each word
+    bucket, with their counts in training texts. Kind 1: the block itself;
+    its words are in the order of (bucket, hash), its tokens refer to them by
+    how often they come in the block (``often``)."""
+    def block_rows(block: int, pdf: pd.DataFrame) -> pd.DataFrame:
+        own, every, size, spelled = _tokens(pdf["text"], spelling)
+        by = list(deal(own, n_buckets))
+        order = np.concatenate([i[np.argsort(own[i])] for _, i in by])
+        place = np.empty(len(own), np.int64)
+        place[order] = np.arange(len(own))
+        own, every, spelled = own[order], place[every], spelled[order]
+        c = np.bincount(every[np.repeat(pdf["learn"].to_numpy(bool), size)], minlength=len(own))
+        rows, at = [], 0
+        for k, i in by:
+            rows.append((0, k, block, own[at:at + len(i)].tobytes(), _pack(c[at:at + len(i)]), *[b""] * 6, 0))
+            at += len(i)
+        often = np.argsort(-np.bincount(every, minlength=len(own)), kind="stable")
+        place[often] = np.arange(len(own))
+        flags = sum(bit * pdf[x].to_numpy(bool).astype(np.uint8) for bit, x in ((_KNOWN, "known"), (_HELD, "held_out"), (_LEARN, "learn")))
+        rows.append((1, -1, block, b"", b"", _pack(place[every]), _pack(often), _pack(size), pdf["doc_id"].to_numpy(np.int64).tobytes(),
+                     flags.astype(np.uint8).tobytes(), spelled.astype(np.float32).tobytes(), int(np.flatnonzero(own == U(END))[0])))
+        return pd.DataFrame(rows, columns=_CODED_COLUMNS)
+
+    def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        block, held, chars = TaskContext.get().partitionId() << 32, [], 0
+        for pdf in frames:
+            sizes = [len(t or "") + 1 for t in pdf["text"]]
+            for a, b in chunks(sizes, BLOCK_CHARS):
+                held.append(pdf.iloc[a:b])
+                chars += sum(sizes[a:b])
+                if chars >= BLOCK_CHARS:
+                    yield block_rows(block, pd.concat(held))
+                    block, held, chars = block + 1, [], 0
+        if held:
+            yield block_rows(block, pd.concat(held))
+    return encode
+
+
+def _number(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    """A word bucket. Kind 0: the counts of its words, the frequent first,
+    with their sum and the number of words seen in training. Kind 1: for each
+    block the positions and counts of the words it sent, in their order."""
+    h, which = np.unique(joined(pdf["h"], np.uint64), return_inverse=True)
+    c = np.zeros(len(h), np.int64)
+    np.add.at(c, which, np.concatenate([_unpack(x) for x in pdf["c"]]))
+    order = np.argsort(-c, kind="stable")
+    place = np.empty(len(h), np.int64)
+    place[order] = np.arange(len(h))
+    rows = [(0, int(key[0]), -1, b"", _pack(c[order]), int(c.sum()), int((c > 0).sum()))]
+    for block, x in zip(pdf["block"], parts(which, lengths(pdf["h"], 8))):
+        rows.append((1, int(key[0]), int(block), _pack(place[x]), _pack(c[x]), 0, 0))
+    return pd.DataFrame(rows, columns=["kind", "bucket", "block", "pos", "c", "n", "v"])
+
+
+_NUMBERED = "kind int, bucket int, block long, pos binary, c binary, n long, v long"
+
+
+class _Block:
+    """A block whose words have their numbers: position in the word bucket
+    times the number of buckets, plus the bucket. ``told`` has a row for each
+    of its word buckets with (bucket, pos, c)."""
+
+    def __init__(self, pdf: pd.DataFrame, told: pd.DataFrame, n_buckets: int, n: int):
+        row = pdf.iloc[0]
+        order = {k: i for i, k in enumerate(sorted(told["bucket"]))}
+        self.told = sorted(told.itertuples(index=False), key=lambda r: order[r.bucket])
+        number = np.concatenate([_unpack(r.pos) * n_buckets + r.bucket for r in self.told])
+        rising = np.argsort(number)
+        place = np.empty(len(number), np.int64)
+        place[rising] = np.arange(len(number))
+        self.row, self.size, self.rising, self.number = row, _unpack(row["size"]), rising, number[rising]
+        self.count = np.concatenate([_unpack(r.c) for r in self.told])[rising]
+        self.every = place[_unpack(row["often"])[_unpack(row["every"])]]
+        self.u, self.w, self.which = _pairs(len(number), self.every, int(place[row["end"]]))
+        # a context has a part for each eighth of a bucket's share of the tokens
+        self.cuts = 1 + 8 * n_buckets * self.count[self.u] // max(n, 1)
+
+    def dealt(self, n_buckets: int):
+        return _deal_pairs(self.number[self.u], self.number[self.w], self.cuts, n_buckets)
+
+
+def _ask(n_buckets: int, n: int):
+    """A block's pairs for each pair bucket, with their counts in training
+    texts: distinct contexts (u), how many words follow each (n), the words."""
+    def ask(pdf: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
+        b = _Block(pdf, told, n_buckets, n)
+        taught = np.repeat((np.frombuffer(b.row["flags"], np.uint8) & _LEARN) > 0, b.size)
+        c = np.bincount(b.which[taught], minlength=len(b.u))
+        rows = []
+        for k, i in b.dealt(n_buckets):
+            u, at = b.number[b.u[i]], _runs(b.u[i])
+            rows.append((k, int(b.row["block"]), _pack_rising(u[at]), _pack(np.diff(np.r_[at, len(i)])), _pack(b.number[b.w[i]]), _pack(c[i])))
+        return pd.DataFrame(rows, columns=["bucket", "block", "u", "n", "w", "c"])
+    return ask
+
+
+_GATHERED = "kind int, bucket int, source long, pos binary, c binary, su binary, sw binary, lu binary, lw binary"
 _GATHERED_COLUMNS = [x.split()[0] for x in _GATHERED.split(", ")]
-_EMPTY = [b""] * 4
 
 
 def _gather(n_buckets: int):
-    """Sums the counts of a word or pair bucket. Both give the positions of
-    every block's words or pairs among the bucket's (kinds 2 and 3).
-
-    Kind 0: a word bucket's words and counts, with their sum and the number
-    of words seen in training. Kind 1: a pair bucket's counts. Kind 4: the
-    cells with more than one customer as positions of their context (su) and
-    word (sw). Kind 5: the bucket's words for each word bucket: their cells
-    with one customer as context and as dish (su, sw) and with more (lu, lw).
-    The positions of kind 4 count the words that have cells with more, word
-    bucket after word bucket."""
+    """Sums the counts of a pair bucket (kind 1); kind 3: the positions of
+    every block's pairs among its own.
+
+    Kind 4: the cells with more than one customer as positions of their
+    context (su) and word (sw). Kind 5: the bucket's words for each word
+    bucket: their cells with one customer as context and as dish (su, sw) and
+    with more (lu, lw). The positions of kind 4 count the words that have
+    cells with more, word bucket after word bucket."""
     def gather(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        kind, me = int(key[0]), int(key[1])
-        count = np.concatenate([_unpack(x) for x in pdf["c"]])
-        if kind == 0:
-            h, which = np.unique(joined(pdf["h"], np.uint64), return_inverse=True)
-        else:
-            asked_u = np.repeat(joined(pdf["h"], np.uint64), np.concatenate([_unpack(x) for x in pdf["n"]]))
-            asked_w = joined(pdf["w"], np.uint64)
-            order = np.lexsort((asked_w, asked_u))
-            u, w = asked_u[order], asked_w[order]
-            del asked_u, asked_w
-            new = np.r_[True, (u[1:] != u[:-1]) | (w[1:] != w[:-1])]
-            which = np.empty(len(order), np.int64)
-            which[order] = np.cumsum(new) - 1
-            u, w = u[new], w[new]
-            del order, new
-        c = np.zeros(len(h if kind == 0 else u), np.int64)
-        np.add.at(c, which, count)
-        sizes = lengths(pdf["h" if kind == 0 else "w"], 8)
-        rows = [(2 + kind, me, int(b), _pack_rising(x), b"", *_EMPTY, 0, 0) for b, x in zip(pdf["block"], parts(which, sizes))]
-        if kind == 0:
-            rows.append((0, me, me, h.tobytes(), _pack(c), *_EMPTY, int(c.sum()), int((c > 0).sum())))
-            return pd.DataFrame(rows, columns=_GATHERED_COLUMNS)
-        rows.append((1, me, me, b"", _pack(c), *_EMPTY, 0, 0))
+        me = int(key[0])
+        asked_u = np.concatenate([np.repeat(_unpack_rising(x), _unpack(n)) for x, n in zip(pdf["u"], pdf["n"])])
+        by_block = [_unpack(x) for x in pdf["w"]]
+        sizes, asked_w = [len(x) for x in by_block], np.concatenate(by_block)
+        order = np.lexsort((asked_w, asked_u))
+        u, w = asked_u[order], asked_w[order]
+        del asked_u, asked_w, by_block
+        new = np.r_[True, (u[1:] != u[:-1]) | (w[1:] != w[:-1])]
+        which = np.empty(len(order), np.int64)
+        which[order] = np.cumsum(new) - 1
+        u, w = u[new], w[new]
+        del order, new
+        c = np.zeros(len(u), np.int64)
+        np.add.at(c, which, np.concatenate([_unpack(x) for x in pdf["c"]]))
+        rows = [(3, me, int(b), _pack_rising(x), *[b""] * 5) for b, x in zip(pdf["block"], parts(which, sizes))]
+        rows.append((1, me, me, b"", _pack(c), *[b""] * 4))
         u, w, c = u[c > 0], w[c > 0], c[c > 0]
         own = np.unique(np.r_[u, w])
         ui, wi, more = np.searchsorted(own, u), np.searchsorted(own, w), c > 1
         used = [np.bincount(i[m], minlength=len(own)) for m in (~more, more) for i in (ui, wi)]
         place, at = np.zeros(len(own), np.int64), 0
-        for k, i in sorted(deal(own, n_buckets), key=lambda x: x[0]):
-            rows.append((5, k, me, own[i].tobytes(), b"", *[_pack(x[i]) for x in used], 0, 0))
+        to = own % n_buckets
+        by = np.argsort(to, kind="stable")
+        for i in np.split(by, _runs(to[by])[1:]) if len(own) else []:
+            rows.append((5, int(to[i[0]]), me, _pack_rising(own[i] // n_buckets), b"", *[_pack(x[i]) for x in used]))
             live = i[(used[2][i] + used[3][i]) > 0]
             place[live] = np.arange(at, at + len(live))
             at += len(live)
-        rows.append((4, me, me, b"", _pack(c[more]), _pack(place[ui[more]]), _pack(place[wi[more]]), b"", b"", 0, 0))
+        rows.append((4, me, me, b"", _pack(c[more]), _pack(place[ui[more]]), _pack(place[wi[more]]), b"", b""))
         return pd.DataFrame(rows, columns=_GATHERED_COLUMNS)
     return gather
 
 
-_STATE = ("kind int, bucket int, source int, pos binary, su binary, sw binary, t_u binary, served binary, t1 binary, t binary, "
+_STATE = ("kind int, bucket int, source long, pos binary, su binary, sw binary, t_u binary, served binary, t1 binary, t binary, "
           "served_n long, t1_n long")
 _STATE_COLUMNS = [x.split()[0] for x in _STATE.split(", ")]
 
@@ -276,12 +356,12 @@ def _held(state: pd.DataFrame, column: str) -> np.ndarray:
 def _open(vocab: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
     """A word bucket before the first sweep (kind 0; one table a cell) and
     the positions that each pair bucket asks for in a sweep (kind 1)."""
-    h = joined(vocab["h"], np.uint64)
-    total = [np.zeros(len(h), np.int64) for _ in range(4)]
+    size = len(_held(vocab, "c"))
+    total = [np.zeros(size, np.int64) for _ in range(4)]
     bucket = int((vocab if len(vocab) else came)["bucket"].iloc[0])
     rows = []
     for r in came.itertuples(index=False):
-        pos = _spread(np.frombuffer(r.h, np.uint64), h)[0]
+        pos = _unpack_rising(r.pos)
         used = [_unpack(x) for x in (r.su, r.sw, r.lu, r.lw)]
         for x, y in zip(total, used):
             x[pos] += y
@@ -354,7 +434,7 @@ def _close(root: _Seats, seed: int, sweep: int, new: float):
     return close
 
 
-_REPLY = "block int, kind int, bucket int, c binary, t_u binary, p binary"
+_REPLY = "block long, kind int, bucket int, pos binary, c binary, t_u binary, p binary"
 _REPLY_COLUMNS = [x.split()[0] for x in _REPLY.split(", ")]
 
 
@@ -368,55 +448,56 @@ def _answer_words(parents: list[_Parent]):
         T = [_unpack(x) for x in states["t_u"]]
         p = [np.where(c > 0, q.of(_unpack(s), _unpack(t)), q.unseen) for q, s, t in zip(parents, states["served"], states["t1"])]
         rows = []
-        for block, bucket, raw in zip(asked["source"], asked["bucket"], asked["h"]):
-            pos = _unpack_rising(raw)
-            rows.append((block, 0, bucket, _pack(c[pos]), _pack(np.concatenate([x[pos] for x in T])),
+        for r in asked.itertuples(index=False):
+            pos = _unpack(r.pos)
+            rows.append((r.block, 0, r.bucket, r.pos, r.c, _pack(np.concatenate([x[pos] for x in T])),
                          np.concatenate([x[pos] for x in p]).astype(np.float32).tobytes()))
         return pd.DataFrame(rows, columns=_REPLY_COLUMNS)
     return answer
 
 
 def _answer_pairs(d: float, samples: int):
-    """Tells each block its pairs' customers less the discounts of their mean
-    tables (0 for pairs not seen), in the order they were asked."""
+    """Tells each block its pairs' customers (2 stands for more) and, where
+    they are more than one, those less the discounts of their mean tables, in
+    the order they were asked."""
     def answer(asked: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
         c = _held(came[came["sample"] < 0], "c")
-        left = np.where(c > 0, c - d, 0.0)
+        left = c.astype(np.float32)
         if (c > 1).any():
             left[c > 1] = c[c > 1] - d * sum(_unpack(t) for t in came.loc[came["sample"] >= 0, "t"]) / samples
-        rows = [(block, 1, bucket, b"", b"", left[_unpack_rising(raw)].astype(np.float32).tobytes())
-                for block, bucket, raw in zip(asked["source"], asked["bucket"], asked["h"])]
+        few, rows = np.minimum(c, 2), []
+        for r in asked.itertuples(index=False):
+            pos = _unpack_rising(r.pos)
+            rows.append((r.source, 1, r.bucket, b"", _pack(few[pos]), b"", left[pos[few[pos] > 1]].tobytes()))
         return pd.DataFrame(rows, columns=_REPLY_COLUMNS)
     return answer
 
 
-def _score(seats: _Seats, n_buckets: int, samples: int, n: int, v: int, spelling: _Spelling):
+def _score(seats: _Seats, n_buckets: int, samples: int, n: int, v: int):
     """Scores a block's texts from the answers. Spellings are added as
     logarithms, so a very long word cannot underflow."""
     def score(pdf: pd.DataFrame, came: pd.DataFrame) -> pd.DataFrame:
-        own, every, size, spelled = _tokens(pdf["text"], spelling)
-        pu, pw, which = _pairs(own, every)
-        count, left = np.zeros(len(own), np.int64), np.zeros(len(pu))
-        T, p = np.zeros((samples, len(own))), np.zeros((samples, len(own)))
-        told = {(r.kind, r.bucket): r for r in came.itertuples(index=False)}
-        for k, i in deal(own, n_buckets):
-            r = told[0, k]
-            count[i] = _unpack(r.c)
-            T[:, i], p[:, i] = _unpack(r.t_u).reshape(samples, -1), np.frombuffer(r.p, np.float32).reshape(samples, -1)
-        for k, i in _deal_pairs(own[pu], own[pw], n_buckets):
-            left[i] = np.frombuffer(told[1, k].p, np.float32)
-        model = left
+        b = _Block(pdf, came[came["kind"] == 0], n_buckets, n)
+        pairs = {r.bucket: r for r in came[came["kind"] == 1].itertuples(index=False)}
+        T = np.concatenate([_unpack(r.t_u).reshape(samples, -1) for r in b.told], axis=1)[:, b.rising]
+        p = np.concatenate([np.frombuffer(r.p, np.float32).reshape(samples, -1) for r in b.told], axis=1)[:, b.rising]
+        model = np.zeros(len(b.u))
+        for k, i in b.dealt(n_buckets):
+            few = _unpack(pairs[k].c)
+            left = np.where(few > 0, 1 - seats.d, 0.0)
+            left[few > 1] = np.frombuffer(pairs[k].p, np.float32)
+            model[i] = left
         for s in range(samples):
-            model = model + (seats.theta + seats.d * T[s, pu]) * p[s, pw] / samples
-        model = np.log10(model / (seats.theta + count)[pu])
-        spelled = np.where(count > 0, 0.0, spelled)
-        base = np.log10((count + 1) / (n + v + 1))
-        start = np.cumsum(size) - size
+            model += (seats.theta + seats.d * T[s, b.u]) * p[s, b.w].astype(np.float64) / samples
+        model = np.log10(model / (seats.theta + b.count)[b.u])
+        spelled = np.where(b.count > 0, 0.0, np.frombuffer(b.row["spelled"], np.float32)[b.rising])
+        base = np.log10((b.count + 1) / (n + v + 1))
+        start, flags = np.cumsum(b.size) - b.size, np.frombuffer(b.row["flags"], np.uint8)
         return pd.DataFrame({
-            "doc_id": pdf["doc_id"].to_numpy(np.int64), "known": pdf["known"].to_numpy(bool), "held_out": pdf["held_out"].to_numpy(bool),
-            "n_tokens": size, "n_known": np.add.reduceat((count[every] > 0).astype(np.int64), start),
-            "train_tokens": n, "base_score": np.add.reduceat(base[every], start), "score": np.add.reduceat(model[which], start),
-            "open_score": np.add.reduceat(model[which] + spelled[every], start)})
+            "doc_id": np.frombuffer(b.row["doc_id"], np.int64), "known": (flags & _KNOWN) > 0, "held_out": (flags & _HELD) > 0,
+            "n_tokens": b.size, "n_known": np.add.reduceat((b.count[b.every] > 0).astype(np.int64), start),
+            "train_tokens": n, "base_score": np.add.reduceat(base[b.every], start), "score": np.add.reduceat(model[b.which], start),
+            "open_score": np.add.reduceat(model[b.which] + spelled[b.every], start)})
     return score
 
 
@@ -434,18 +515,22 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     text_batches(docs.sparkSession)
     _, n_bytes = text_bytes(docs, text_col)
     n_buckets = buckets_for(2 * n_bytes)  # of half the usual size: pairs are many
-    base, _ = blocks(docs, id_col, text_col, BLOCK_BYTES)
-    out = F.coalesce(crc_mod(F.col("doc_id"), modulus) == held, F.lit(False))
-    base = base.select(F.coalesce("doc_id", F.lit(0)).alias("doc_id"), F.col("doc_id").isNotNull().alias("known"), "text", "block",
-                       out.alias("held_out"), (F.col("doc_id").isNotNull() & ~out).alias("learn"))
+    doc_id = F.col(id_col).cast("long")
+    out = F.coalesce(crc_mod(doc_id, modulus) == held, F.lit(False))
+    base = docs.select(F.coalesce(doc_id, F.lit(0)).alias("doc_id"), doc_id.isNotNull().alias("known"), out.alias("held_out"),
+                       (doc_id.isNotNull() & ~out).alias("learn"), F.col(text_col).cast("string").alias("text"))
     spelling = _learn_spelling(base.where("learn and text is not null").select("text"))
-    gathered = stage(base.select("text", "learn", "block").groupBy("block").applyInPandas(_count(n_buckets), _ASKED)
-                     .groupBy("kind", "bucket").applyInPandas(_gather(n_buckets), _GATHERED), "lm-cells")
-    vocab = gathered.where("kind = 0")
+    coded = stage(base.mapInPandas(_encode(n_buckets, spelling), _CODED), "lm-blocks")
+    block = coded.where("kind = 1").select(*_BLOCK).groupBy("block")
+    numbered = stage(coded.where("kind = 0").select("bucket", "block", "h", "c").groupBy("bucket").applyInPandas(_number, _NUMBERED), "lm-words")
+    vocab, numbers = numbered.where("kind = 0"), numbered.where("kind = 1").select("bucket", "block", "pos", "c")
     n, v = (int(x or 0) for x in vocab.agg(F.sum("n"), F.sum("v")).first())
+    pairs = block.cogroup(numbers.groupBy("block")).applyInPandas(
+        _ask(n_buckets, n), "bucket int, block long, u binary, n binary, w binary, c binary")
+    gathered = stage(pairs.groupBy("bucket").applyInPandas(_gather(n_buckets), _GATHERED), "lm-cells")
     live = gathered.where("kind = 4").select("bucket", "su", "sw", "c")
-    opened = stage(vocab.select("bucket", "h").groupBy("bucket").cogroup(
-        gathered.where("kind = 5").select("bucket", "source", "h", "su", "sw", "lu", "lw").groupBy("bucket")).applyInPandas(_open, _STATE), "lm-tables")
+    opened = stage(vocab.select("bucket", "c").groupBy("bucket").cogroup(
+        gathered.where("kind = 5").select("bucket", "source", "pos", "su", "sw", "lu", "lw").groupBy("bucket")).applyInPandas(_open, _STATE), "lm-tables")
     asks = opened.where("kind = 1").select("bucket", "source", "pos")
     state = opened.where("kind = 0")
 
@@ -457,7 +542,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (served_n, t1_n), kept, parents = totals(state), [], []
     for s in range(1, burn + samples + 1):
         told = (asks.groupBy("bucket").cogroup(state.select("bucket", "t_u", "served", "t1").groupBy("bucket")).applyInPandas(
-            _tell(_Parent(root, served_n, t1_n, even)), "bucket int, source int, pos binary, t_u binary, p binary"))
+            _tell(_Parent(root, served_n, t1_n, even)), "bucket int, source long, pos binary, t_u binary, p binary"))
         sums = live.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInPandas(
             _seat(ctx, seed, s), "bucket int, pos binary, by_u binary, by_w binary, t binary")
         new = (root.theta + root.d * t1_n) * even
@@ -474,11 +559,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     for x in kept:
         known = known.unionByName(x.drop("t"), allowMissingColumns=True)
         seated = seated.unionByName(x.select("bucket", "sample", "t"), allowMissingColumns=True)
-    told = (gathered.where("kind = 2").select("bucket", "source", "h").groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_answer_words(parents), _REPLY)
-            .unionByName(gathered.where("kind = 3").select("bucket", "source", "h").groupBy("bucket").cogroup(seated.groupBy("bucket"))
+    told = (numbers.groupBy("bucket").cogroup(known.groupBy("bucket")).applyInPandas(_answer_words(parents), _REPLY)
+            .unionByName(gathered.where("kind = 3").select("bucket", "source", "pos").groupBy("bucket").cogroup(seated.groupBy("bucket"))
                          .applyInPandas(_answer_pairs(ctx.d, samples), _REPLY)))
-    scored = base.drop("learn").groupBy("block").cogroup(told.groupBy("block")).applyInPandas(
-        _score(ctx, n_buckets, samples, n, v, spelling),
+    scored = block.cogroup(told.groupBy("block")).applyInPandas(
+        _score(ctx, n_buckets, samples, n, v),
         "doc_id long, known boolean, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, open_score double")
     return scored.select(F.when(F.col("known"), F.col("doc_id")).alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens",
                          "base_score", "score", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")).alias("perplexity"), "open_score")
