@@ -1057,5 +1057,6 @@ def stream_sessions(spark, sf_dir):
 
 
 from shoptrail.plans import catalog_io  # noqa: E402,F401  (registers the file, sink and ETL queries)
+from shoptrail.plans import catalog_loads  # noqa: E402,F401  (registers repeatable loads)
 from shoptrail.plans import catalog_stream  # noqa: E402,F401  (registers the keyed-state streams)
 from shoptrail.plans import catalog_tables  # noqa: E402,F401  (registers VARIANT, sketch and keyed-table queries)

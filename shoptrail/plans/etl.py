@@ -58,8 +58,8 @@ def load_statistics(raw: DataFrame, day) -> DataFrame:
                       pct("valid_today", "raw_events_today").alias("quality_score_pct"))
 
 
-STEPS = ("stage", "rejects", "merge", "page_views", "product_interactions", "purchases", "searches", "user_engagement", "purchase_items",
-         "statistics", "manifest")
+PROCESSED = ("page_views", "product_interactions", "purchases", "searches", "user_engagement", "purchase_items")
+STEPS = ("stage", "rejects", "merge", *PROCESSED, "statistics", "manifest")
 
 
 def run_etl(spark: SparkSession, file_dir: str, store: DataFrame | None, target_dir: str,
@@ -171,7 +171,7 @@ def _open_runs(spark: SparkSession, ledger: str | None) -> list[dict]:
 def _apply(spark: SparkSession, row: dict, written: dict[str, str], buckets: int, products: DataFrame | None, manifest: str | None,
            ledger: str | None, statistics: str | None, done) -> None:
     """All steps after staging; each may be repeated."""
-    from shoptrail.session import scratch_path, table_exists
+    from shoptrail.session import scratch_path
     began = time.monotonic()
     run_id = f"{row['run_at']:%Y%m%d_%H%M%S}"
     batch = spark.read.parquet(row["landed"])
@@ -179,12 +179,7 @@ def _apply(spark: SparkSession, row: dict, written: dict[str, str], buckets: int
     done("rejects")
     dedup.merge_into_buckets(spark, written["raw_events"], batch, scratch_path(spark, f"staging/raw_events-{row['run']}"), buckets=buckets)
     done("merge")
-    for name, build in _builders(products).items():
-        rows = build(batch)
-        if table_exists(spark, written[name]):
-            rows = dedup.unseen(rows, spark.read.parquet(written[name]), "purchase_item_id" if name == "purchase_items" else "event_id")
-        rows.write.mode("append").parquet(written[name])
-        done(name)
+    _append_routed(spark, batch, written, products, done)
     if statistics:
         seconds = row["seconds"] + time.monotonic() - began
         types = dict(f.split() for f in LEDGER.split(", "))
@@ -198,6 +193,40 @@ def _apply(spark: SparkSession, row: dict, written: dict[str, str], buckets: int
         _note(spark, ledger, "committed", row)
 
 
+def _append_routed(spark: SparkSession, batch: DataFrame, written: dict[str, str], products: DataFrame | None, done) -> None:
+    """The batch's rows that a processed table does not hold yet."""
+    from shoptrail.session import table_exists
+    for name, build in _builders(products).items():
+        rows = build(batch)
+        if table_exists(spark, written[name]):
+            rows = dedup.unseen(rows, spark.read.parquet(written[name]), "purchase_item_id" if name == "purchase_items" else "event_id")
+        rows.write.mode("append").parquet(written[name])
+        done(name)
+
+
+def start_scheduled_load(spark: SparkSession, raw_dir: str, processed_dir: str, checkpoint: str, products: DataFrame | None = None,
+                         every: str = "5 minutes", available_now: bool = False, max_files: int | None = None):
+    """The incremental load (U2) on a cadence, as a streaming query over the
+    files that come to RAW_EVENTS: each trigger takes the new files, routes their
+    valid rows and appends those that the processed tables do not hold. The
+    checkpoint remembers the files; a trigger that broke off is repeated, and
+    what it had appended is not appended again. ``available_now`` loads what
+    is there and stops, for an outer scheduler."""
+    written = {name: f"{processed_dir}/{name}" for name in _builders(None)}
+    files = spark.readStream.schema(spark.read.parquet(raw_dir).schema)
+    if max_files:
+        files = files.option("maxFilesPerTrigger", max_files)
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        rows = dedup.keep_first(batch.where("event_id is not null")).persist()
+        try:
+            _append_routed(rows.sparkSession, rows, written, products, lambda step: None)
+        finally:
+            rows.unpersist()
+    query = files.parquet(raw_dir).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    return (query.trigger(availableNow=True) if available_now else query.trigger(processingTime=every)).start()
+
+
 def last_run(spark: SparkSession, statistics: str) -> DataFrame:
     """The newest run's statistics, one row."""
     return spark.read.parquet(statistics).orderBy(F.desc("run_at")).limit(1).withColumnRenamed("run_at", "last_run")

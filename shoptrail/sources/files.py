@@ -18,11 +18,11 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
             .select("path", "modificationTime", "length"))
 
 
-def new_files(spark: SparkSession, path: str, manifest: str) -> list[str]:
-    """The Parquet files under ``path`` that ``manifest`` (a Parquet table of
+def new_files(spark: SparkSession, path: str, manifest: str, suffix: str = ".parquet") -> list[str]:
+    """The files under ``path`` with this ending that ``manifest`` (a Parquet table of
     loaded paths, absent before the first run) does not name. The list is of
     file names, which the driver's file index holds for any scan."""
-    found = list_files(spark, path).where(F.col("path").endswith(".parquet")).select("path")
+    found = list_files(spark, path).where(F.col("path").endswith(suffix)).select("path")
     if table_exists(spark, manifest):
         found = found.join(spark.read.parquet(manifest), "path", "left_anti")
     return [r[0] for r in found.orderBy("path").collect()]
@@ -69,23 +69,23 @@ def read_store_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.table(table).select(*cols).withColumn("source_file", F.lit("duckdb"))
 
 
-def read_json_arrays(spark: SparkSession, path: str) -> DataFrame:
+def read_json_arrays(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Files that each hold a JSON array of events; one row per element.
 
     Each event is kept whole as ``event_data`` (JSON text) next to its
-    envelope fields, and ``source_file`` names the file."""
-    text = spark.read.option("wholetext", "true").text(path).select(
-        F.col("value"), F.col("_metadata.file_name").alias("source_file"))
-    events = text.select(F.explode(F.from_json("value", "array<string>")).alias("event_data"), "source_file")
+    envelope fields, ``source_file`` names the file and ``file`` is its path."""
+    text = spark.read.text(path, wholetext=True).select(
+        F.col("value"), F.col("_metadata.file_name").alias("source_file"), F.col("_metadata.file_path").alias("file"))
+    events = text.select(F.explode(F.from_json("value", "array<string>")).alias("event_data"), "source_file", "file")
     env = F.from_json("event_data", "event_id string, event_type string, session_id string, "
                                     "customer_id string, timestamp string, is_valid boolean")
-    return events.select(env.alias("e"), "event_data", "source_file").select("e.*", "event_data", "source_file")
+    return events.select(env.alias("e"), "event_data", "source_file", "file").select("e.*", "event_data", "source_file", "file")
 
 
 def json_array_rejects(spark: SparkSession, path: str) -> DataFrame:
     """The files of a folder that hold no JSON array, with their text;
     ``read_json_arrays`` has no rows for them."""
-    text = spark.read.option("wholetext", "true").text(path).select(
+    text = spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_name").alias("source_file"), "value")
     return text.where(F.from_json("value", "array<string>").isNull())
 
