@@ -19,6 +19,7 @@ from shoptrail.streaming import processor as X
 from shoptrail.streaming import stateful
 
 SESSION_GAP = 12 * 3600  # seconds; the adapter's sessions end after as much
+DAY_SHARDS = 64  # keys of state for the customers of a day
 SESSION_EVENT = T.StructType([*S.FLAT_EVENT_SCHEMA.fields, T.StructField("session_id", T.StringType())])
 
 
@@ -82,7 +83,7 @@ WINDOW w AS (PARTITION BY ck, CAST(timestamp AS DATE) ORDER BY timestamp, event_
 def stream_quality_running(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W3 on a stream of shuffled files, in event-time order."""
     flagged = X.validate_and_enrich(_events(spark, sf_dir), as_of=FIXTURE_NOW)
-    out = _run_stream(spark, stateful.running_quality(flagged, watermark="90 days")).where("event_id <> 'closing'")
+    out = _run_stream(spark, stateful.running_quality(flagged, watermark="90 days", shards=DAY_SHARDS)).where("event_id <> 'closing'")
     return out.withColumn("running_quality_pct", pct("running_valid", "running_processed", 1))
 
 

@@ -5,6 +5,7 @@ import os
 import random
 import tempfile
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,3 +98,59 @@ def test_running_quality_in_event_time_order(spark, feed):
     assert {r["event_id"]: (r["running_processed"], r["running_valid"]) for r in out} == want
     state = spark.read.format("statestore").option("stateVarName", "counts").load(checkpoint)
     assert {r[0] for r in state.select("key.key").collect()} <= {"~end"}  # days that are over left no counts
+
+
+def state_keys(spark, checkpoint, variable, batch):
+    state = spark.read.format("statestore").option("stateVarName", variable).option("batchId", batch).load(checkpoint)
+    return state.select("key").distinct().count()
+
+
+def test_sharded_quality_equals_plain_with_few_keys(spark, feed):
+    rng = random.Random(5)
+    rows = [event("s", f"e{i:03}", f"2024-01-0{1 + i % 2}T{i % 24:02}:{i % 60:02}:00", customer_id=f"c{i % 40}" if i % 9 else None,
+                  is_valid_event=i % 5 > 0) for i in range(200)]
+    rows += [dict(rows[3]), event("s", None, rows[3]["event_time"], customer_id=rows[3]["customer_id"], is_valid_event=None)]
+    shuffled = rng.sample(rows, len(rows))
+    closing = event("s", "end", "2024-03-01T00:00:00", customer_id="~end", is_valid_event=True)
+    out, checkpoint = feed([shuffled[:100], shuffled[100:], [closing]], lambda s: stateful.running_quality(s, "10 days", shards=3))
+    want, counts = [], {}
+    for r in sorted(rows, key=lambda r: (r["event_time"], r["event_id"] is None, r["event_id"] or "")):
+        key = r["customer_id"], r["event_time"][:10]
+        n, ok = counts.get(key, (0, 0))
+        counts[key] = (n + 1, ok + bool(r["is_valid_event"]))
+        want.append((r["event_id"] or "", *counts[key]))
+    assert sorted((r["event_id"] or "", r["running_processed"], r["running_valid"]) for r in out) == sorted(want)
+    assert 2 < state_keys(spark, checkpoint, "waiting", 1) <= 6  # three shards of two days, not customers
+    left = spark.read.format("statestore").option("stateVarName", "counts").load(checkpoint)
+    assert left.count() == 0
+
+
+def test_sharded_sessions_equal_plain_with_few_keys(spark, feed, monkeypatch):
+    monkeypatch.setattr(stateful, "LEAST_MERGED", 20)  # merging while rows arrive too
+    rng = random.Random(6)
+    start = 1704067200
+    rows = [event(f"s{rng.randrange(60)}", f"e{i:03}", time.strftime("%Y-%m-%dT%H:%M:%S", time.gmtime(start + rng.randrange(86400))),
+                  rng.choice(["PAGE_VIEW", "SEARCH"]), f"/{i % 7}") for i in range(400)]
+    closing = [event("end", f"z{i}", "2024-03-01T00:00:00") for i in range(2)]
+    batches = [rows[i::4] for i in range(4)] + [[closing[0]], [closing[1]]]
+    out, checkpoint = feed(batches, lambda s: stateful.session_state(s, 1800, "2 days", shards=5))
+    want = set()
+    for sid in {r["session_id"] for r in rows}:
+        own = sorted((r["event_time"], r["event_id"], r["event_type"], r["page_url"]) for r in rows if r["session_id"] == sid)
+        parts = []
+        for r in own:
+            if parts and stamp(r[0]) - stamp(parts[-1][-1][0]) < 1800:
+                parts[-1].append(r)
+            else:
+                parts.append([r])
+        for p in parts:
+            views = [r for r in p if r[2] == "PAGE_VIEW"]
+            want.add((sid, p[0][0], p[-1][0], len(p), len(views), views[-1][3] if views else None))
+    got = [(r["session_id"], *(r[c].strftime("%Y-%m-%dT%H:%M:%S") for c in ("session_start", "session_end")), r["events"], r["page_views"],
+            r["last_page"]) for r in out]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert state_keys(spark, checkpoint, "open", 3) <= 5  # shards, not sessions
+
+
+def stamp(text):
+    return datetime.strptime(text, "%Y-%m-%dT%H:%M:%S").timestamp()
