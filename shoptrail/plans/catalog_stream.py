@@ -19,7 +19,7 @@ from shoptrail.streaming import processor as X
 from shoptrail.streaming import stateful
 
 SESSION_GAP = 12 * 3600  # seconds; the adapter's sessions end after as much
-DAY_SHARDS = 64  # keys of state for the customers of a day
+SESSION_SHARDS, DAY_SHARDS = 1024, 64  # keys of state for all sessions, for the customers of a day
 SESSION_EVENT = T.StructType([*S.FLAT_EVENT_SCHEMA.fields, T.StructField("session_id", T.StringType())])
 
 
@@ -46,7 +46,7 @@ FROM s1 GROUP BY session_id, part
 def stream_session_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     """State by session id, given out on expiry; shuffled input."""
     events = _events(spark, sf_dir).withColumn("page_url", F.get_json_object("event_data", "$.page_url"))
-    out = _run_stream(spark, stateful.session_state(events, SESSION_GAP, watermark="90 days"))
+    out = _run_stream(spark, stateful.session_state(events, SESSION_GAP, watermark="90 days", shards=SESSION_SHARDS))
     return out.where("session_id <> '~'").withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("session_start", "session_end")})
 
 
