@@ -915,8 +915,12 @@ def _stream_input(spark, sf_dir, replay: bool = False, closing: bool = False, sh
     wire = P.wire_events(spark, sf_dir).select(*[f.name for f in S.FLAT_EVENT_SCHEMA.fields], "session_id")
     # several files, in time order unless shuffled, so that a stream over them has several triggers; more as the
     # table grows (its count comes from the file footers)
-    files = max(6, -(-spark.read.parquet(f"{sf_dir}/events.parquet").count() // 250_000))
-    dealt = wire.repartition(files, F.xxhash64("event_id")) if shuffled else wire.repartitionByRange(files, "event_timestamp")
+    files = max(6, -(-spark.read.parquet(f"{sf_dir}/events.parquet").count() // 1_000_000))
+    if shuffled:
+        dealt = wire.repartition(files, F.xxhash64("event_id"))
+    else:  # ranges are sampled first: the events are derived once and read for both
+        wire.write.parquet(derived := scratch_path(spark, f"streams/derived-{_uuid.uuid4().hex}"))
+        dealt = spark.read.schema(wire.schema).parquet(derived).repartitionByRange(files, "event_timestamp")
     dealt.write.mode("overwrite").json(path)
     if closing:  # one late event moves the watermark past all others, so that append mode gives every window
         last = F.date_format(F.lit(FIXTURE_NOW).cast("timestamp") + F.expr("INTERVAL 400 DAYS"), "yyyy-MM-dd'T'HH:mm:ss")
@@ -924,7 +928,7 @@ def _stream_input(spark, sf_dir, replay: bool = False, closing: bool = False, sh
                                F.lit("~").alias("customer_id"), F.lit("~").alias("session_id"), last.alias("event_timestamp"))
          .write.mode("append").json(path))
     if replay:  # at-least-once delivery: every event arrives a second time
-        spark.read.json(path, schema=S.FLAT_EVENT_SCHEMA).write.mode("append").json(path)
+        spark.read.json(path, schema=S.FLAT_EVENT_SCHEMA).coalesce(files).write.mode("append").json(path)
     return path
 
 
@@ -966,7 +970,8 @@ def stream_clean_events(spark, sf_dir):
 def stream_dedup(spark, sf_dir):
     """X6 in several triggers (two files each) with future stamps and a
     replay of every event. The watermark is wider than the replayed month."""
-    from shoptrail.streaming import processor as X
+    from shoptrail.streaming import processor as X, stateful
+    stateful.use_rocksdb(spark)
     src = X.with_event_time(X.file_events(spark, _stream_input(spark, sf_dir, replay=True), max_files_per_trigger=2))
     good = X.not_future(src, FIXTURE_NOW)
     return _run_stream(spark, X.dedup_stream(good, watermark="45 days").select("event_id", "event_type"))

@@ -26,8 +26,10 @@ MINUTE_MS, DAY_MS = 60_000, 86_400_000
 
 def use_rocksdb(spark: SparkSession) -> None:
     """Keyed state with timers needs this provider; it holds for the queries
-    that start afterwards."""
+    that start afterwards. State is kept on disk, and a trigger uploads its
+    changes, not all of the state."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
 
 
 def _in_time(events: DataFrame, watermark: str, time_col: str) -> DataFrame:

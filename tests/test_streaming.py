@@ -92,3 +92,15 @@ def test_silver_writer_and_topic_records(spark, tmpdir_path):
     assert spark.read.parquet(os.path.join(out, "batch_id=0")).count() == 5
     rec = X.to_topic_records(X.validate_and_enrich(wire, as_of=NOW).filter("customer_id IS NOT NULL")).first()
     assert _json.loads(rec.value)["customer_id"] == rec.key
+
+
+def test_stream_dedup_keeps_its_state_on_disk(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SMALL
+    provider, changes = "spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled"
+    for conf in (provider, changes):
+        spark.conf.unset(conf)
+    got = E.queries()["stream_dedup"](spark, SMALL)
+    assert got.count() == got.select("event_id").distinct().count() > 0
+    assert spark.conf.get(provider).endswith("RocksDBStateStoreProvider") and spark.conf.get(changes) == "true"
+
