@@ -156,7 +156,7 @@ def _payload(ev: DataFrame) -> DataFrame:
     product_id = F.concat(F.lit("PROD_"), k.cast("string"))
 
     payload = F.struct(
-        on(is_page, page_url).alias("page_url"),
+        F.coalesce(on(is_page, page_url), on(is_prod, F.concat(F.lit("/product/prod_"), k.cast("string")))).alias("page_url"),
         on(is_page, page_title(page_url)).alias("page_title"),
         on(is_page, (5 + (k * 7) % 300).cast("int")).alias("time_on_page"),
         on(is_page, k.cast("int")).alias("scroll_depth"),
@@ -171,7 +171,6 @@ def _payload(ev: DataFrame) -> DataFrame:
         on(is_prod, (1 + k % 3).cast("int")).alias("quantity"),
         on(is_prod, F.when(k % 2 == 1, _pick(SIZES, k % 3))).alias("variant"),
         on(is_prod, ((k % 5).cast("decimal(5,4)") * F.lit("0.05").cast("decimal(3,2)")).cast("decimal(5,4)")).alias("discount_applied"),
-        on(is_prod, F.concat(F.lit("/product/prod_"), k.cast("string"))).alias("product_page_url"),
         on(is_buy, F.concat(F.lit("ORD_"), F.col("eid").cast("string"))).alias("order_id"),
         F.col("_items").alias("items"),
         on(is_buy, sub).alias("subtotal"),
@@ -211,15 +210,11 @@ def raw_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     parts = read_table(spark, sf_dir, "part").agg(F.max("p_partkey").cast("long"))
     ev = _payload(_typed_events(spark, sf_dir).withColumn("n_parts", parts.scalar()))
-    p = F.col("payload")
-    # product page_url travels under the common name page_url
-    event_data = F.to_json(p.withField("page_url", F.coalesce(p["page_url"], p["product_page_url"]))
-                           .dropFields("product_page_url"))
     return ev.select(
         "event_id", "customer_id", "event_type", "amount", "currency",
         F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("event_timestamp"),
         "session_id",
-        event_data.alias("event_data"),
+        F.to_json("payload").alias("event_data"),
         F.col("declared_valid").alias("is_valid"),
         "invalid_field",
         F.lit("events.parquet").alias("source"),

@@ -104,3 +104,16 @@ def test_stream_dedup_keeps_its_state_on_disk(spark):
     assert got.count() == got.select("event_id").distinct().count() > 0
     assert spark.conf.get(provider).endswith("RocksDBStateStoreProvider") and spark.conf.get(changes) == "true"
 
+
+
+def test_wire_payload_is_one_struct(spark):
+    from shoptrail.plans import pipeline as P
+    from tests.conftest import SMALL
+    spark.conf.set("spark.sql.debug.maxToStringFields", "10000")
+    try:
+        wire = P.wire_events(spark, SMALL)
+        assert "product_page_url" not in wire._jdf.queryExecution().analyzed().toString()  # no field is added and dropped again
+    finally:
+        spark.conf.unset("spark.sql.debug.maxToStringFields")
+    row = wire.where("event_type = 'PRODUCT_VIEW'").selectExpr("get_json_object(event_data, '$.page_url') AS u").first()
+    assert row["u"].startswith("/product/prod_")
