@@ -26,8 +26,9 @@ its own band and in the one below.
 3. What no allocation can skip (more hot subsets than segments to raise), or
    what raises a hot neighbourhood, goes to the prefix bounds of
    ``near_dedup._rare``: no hot subset is paired whole, and none is cut.
-4. A candidate is confirmed by its number of equal segments (an exact bound on
-   the difference) and then on the full sets. Links give the components.
+4. A candidate is confirmed by its number of equal segments and, across groups,
+   by the parities of its shingles in hash cells (exact bounds on the
+   difference), then on the full sets. Links give the components.
 
 Defined cases: null or wordless texts have an empty set and link with nothing;
 rows without doc_id likewise (their component is null); rows that share a
@@ -101,6 +102,18 @@ def keys(sets: list[np.ndarray], band: np.ndarray, percent: int) -> Iterator[tup
         yield mix(sums + tag), mix(sums[at] - code[first] + tag[at]), np.bincount(at, minlength=q)
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The parities of how many shingles fall into each of at least four hash
+    cells a shingle, a power of two of words. A shingle that one of two sets
+    has turns one cell, so as many cells differ as shingles at the most; the
+    words of a wider sketch fold onto those of a narrower one."""
+    cells = 64
+    while cells < 4 * len(s):
+        cells *= 2
+    at = (mix(s + U(0x3C6EF372)) & U(cells - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=cells) & 1).astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def _sets(texts: list[str | None], wh: WordHashes, k: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
     for a, b in chunks([len(t or "") for t in texts], 300_000):
         yield a, b, [shingle_set(wh.of(words(t, lower=True)), k) for t in texts[a:b]]
@@ -181,10 +194,14 @@ def _setter(k: int):
         wh = WordHashes()
         for pdf in frames:
             for a, b, sets in _sets(pdf["text"].tolist(), wh, k):
-                yield pd.DataFrame({"doc_id": pdf["doc"].iloc[a:b].to_numpy(), "shingles": [signed(s) for s in sets]})
+                yield pd.DataFrame({"doc_id": pdf["doc"].iloc[a:b].to_numpy(), "shingles": [signed(s) for s in sets],
+                                    "sketch": [signed(sketch(s)) for s in sets]})
     return emit
 
 
+SETS = "doc_id long, shingles array<long>, sketch array<long>"
+
+
 def _sized(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Adds both sizes and the smaller set's segments, where sizes fit."""
     u = reps.select(F.col("doc").alias("u"), F.col("n").alias("nu"), F.col("m").alias("mu"))
@@ -201,6 +218,28 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .where(100 * F.col("met") >= percent * (F.col("total") - F.col("met"))).select("u", "v"))
 
 
+def _differ(x: str, y: str):
+    """Cells in which two sketches differ; 0 where one is over twice as wide."""
+    width = F.least(F.size(x), F.size(y))
+
+    def xor(p, q):
+        return p.bitwiseXOR(q)
+
+    def folded(c: str):
+        return F.when(F.size(c) > width, F.zip_with(F.slice(c, F.lit(1), width), F.slice(c, width + 1, width), xor)).otherwise(F.col(c))
+    turned = F.zip_with(folded(x), folded(y), lambda p, q: F.bit_count(xor(p, q)))
+    return F.when(F.greatest(F.size(x), F.size(y)) <= 2 * width, F.aggregate(turned, F.lit(0), lambda t, c: t + c)).otherwise(0)
+
+
+def _close(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose sketches allow the similarity (an exact bound): a pair
+    sends a sketch, a sixteenth of its set, and only what is left the set."""
+    a = sets.select(F.col("doc_id").alias("u"), F.size("shingles").alias("nu"), F.col("sketch").alias("ku"))
+    b = sets.select(F.col("doc_id").alias("v"), F.size("shingles").alias("nv"), F.col("sketch").alias("kv"))
+    return (pairs.join(a, "u").join(b, "v").where((100 + percent) * _differ("ku", "kv") <= (100 - percent) * (F.col("nu") + F.col("nv")))
+            .select("u", "v"))
+
+
 def _pair(a: str, b: str):
     return F.least(a, b).alias("u"), F.greatest(a, b).alias("v")
 
@@ -231,7 +270,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def sets_of(pairs: DataFrame, name: str) -> DataFrame:
         ids = stage(pairs.select(F.col("u").alias("doc")).unionByName(pairs.select(F.col("v").alias("doc"))).distinct(), f"{name}-ids")
-        made = texts.join(narrow(ids), "doc", "left_semi").mapInPandas(_setter(k), "doc_id long, shingles array<long>")
+        made = texts.join(narrow(ids), "doc", "left_semi").mapInPandas(_setter(k), SETS)
         return stage(made.dropDuplicates(["doc_id"]), f"{name}-sets")
 
     # of a hot subset the pivot is the set with most hot subsets: edits that only few copies have are far from it
@@ -267,7 +306,9 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     if many.limit(1).count():
         cross = cross.unionByName(_raised(texts, index, reps, left, many, groups, percent, k, hot))
     cross = stage(cross.distinct().join(star, ["u", "v"], "left_anti"), "cross")
-    final = components(links.unionByName(_confirmed(cross, sets_of(cross, "cross"), percent)))
+    whole = sets_of(cross, "cross")
+    close = stage(_close(cross, whole, percent), "close")
+    final = components(links.unionByName(_confirmed(close, whole, percent)))
 
     found = (table.select("doc", "n").join(main.select("doc", "class"), "doc", "left").join(reps.select("class", F.col("doc").alias("rep")), "class", "left")
              .join(final, F.col("rep") == F.col("node"), "left"))
@@ -292,7 +333,7 @@ def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, left: DataFrame
 
     def labelled(df: DataFrame) -> DataFrame:
         return df.join(groups, df["doc"] == groups["node"], "left").select(*df.columns, F.coalesce("component", "doc").alias("group"))
-    asked = raised.where("kind <> 'H'").select("key", "kind").distinct()
+    asked = narrow(raised.where("kind <> 'H'").select("key", "kind").distinct())
     first = F.slice("own", 1, F.least(F.col("m"), 2 + F.ceil(F.col("m") / 16).cast("int")))  # as in raisable
     looked = (index.select("doc", F.explode(first).alias("key"), F.lit("A").alias("kind"))
               .unionByName(index.select("doc", F.explode("near").alias("key"), F.lit("B").alias("kind"))))
@@ -314,5 +355,5 @@ def _raised(texts: DataFrame, index: DataFrame, reps: DataFrame, left: DataFrame
     if not ids.limit(1).count():
         return near
     rest = ids.join(reps.select("doc", "n"), "doc").select(F.col("doc").alias("doc_id"), "n", "group")
-    made = texts.join(ids.select("doc"), "doc", "left_semi").mapInPandas(_setter(k), "doc_id long, shingles array<long>")
+    made = texts.join(ids.select("doc"), "doc", "left_semi").mapInPandas(_setter(k), SETS)
     return near.unionByName(_rare(rest, stage(made.dropDuplicates(["doc_id"]), "crowded-sets"), percent))

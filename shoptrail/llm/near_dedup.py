@@ -39,9 +39,11 @@ from pyspark.sql.window import Window
 from shoptrail.llm.components import components
 from shoptrail.llm.superminhash import band_keys, signatures
 from shoptrail.llm.tables import narrow, stage, text_batches
-from shoptrail.llm.text import WordHashes, chunks, shingle_set, signed, words
+from shoptrail.llm.text import U, WordHashes, chunks, mix, shingle_set, signed, words
 
 SIGNED = "doc_id long, n_shingles long, class string, bands array<long>"
+CELLS = 1 << 20  # of the table that orders shingles by how many sets hold them
+SLICE = 4_096  # cells that one group adds up
 
 
 def _signer(k: int, ranks: int, band_rows: int):
@@ -94,22 +96,71 @@ def _across(left: DataFrame, key: str, percent: int) -> DataFrame:
     return a.join(b, key).where((F.col("u") < F.col("v")) & (F.col("gu") != F.col("gv")) & _fits(percent)).select("u", "v")
 
 
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return (mix(shingles.view(np.uint64) ^ U(0x6A09E667F3BCC909)) % U(CELLS)).astype(np.int64)
+
+
+def _tally(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """How many sets of a task hold a shingle of each hash cell, in slices."""
+    counts = np.zeros(CELLS, np.int64)
+    for pdf in frames:
+        for s in pdf["shingles"]:
+            counts[np.unique(_cells(s))] += 1
+    out = []
+    for i, part in enumerate(counts.reshape(-1, SLICE)):
+        at = np.flatnonzero(part)
+        if len(at):
+            out.append((i, at.astype(np.uint16).tobytes(), part[at].astype(np.uint32).tobytes()))
+    yield pd.DataFrame(out, columns=["slice", "cells", "counts"])
+
+
+def _levels(pdf: pd.DataFrame) -> pd.DataFrame:
+    """A slice's counts over all tasks on a scale of eight steps a doubling;
+    0 for a cell that one set holds."""
+    counts = np.zeros(SLICE, np.int64)
+    for cells, more in zip(pdf["cells"], pdf["counts"]):
+        counts[np.frombuffer(cells, np.uint16)] += np.frombuffer(more, np.uint32)
+    levels = np.minimum(255, 8 * np.log2(np.maximum(counts, 1))).astype(np.uint8)
+    return pd.DataFrame({"slice": pdf["slice"].iloc[:1].to_numpy(), "levels": [levels.tobytes()]})
+
+
+def _prefixes(levels: np.ndarray, percent: int):
+    def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in frames:
+            for a, b in chunks([len(s) for s in pdf["shingles"]], 300_000):
+                part, met, places = pdf.iloc[a:b], [], []
+                for s, n in zip(part["shingles"], part["n"]):
+                    level = levels[_cells(s)]
+                    first = np.lexsort((s, level))[:n + -n * percent // 100 + 1]
+                    shared = np.flatnonzero(level[first])
+                    met.append(s[first[shared]])
+                    places.append(shared + 1)
+                made = [len(x) for x in met]
+                yield pd.DataFrame({"shingle": np.concatenate(met), "place": np.concatenate(places)} | {
+                    c: np.repeat(part[c].to_numpy(), made) for c in ("doc_id", "n", "group")})[["shingle", "doc_id", "n", "group", "place"]]
+    return place
+
+
 def _rare(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs across groups of large buckets that can still be similar.
 
-    A document's shingles stand in one global order, rarest first. For a pair
+    A document's shingles stand in one global order, rarest first: by the
+    number of documents that hold a shingle of the same hash cell, a table of
+    CELLS bytes whatever the input. Only the shingles that the bounds ask for
+    become rows, less those that no other document holds. For a pair
     of this similarity the larger set's first n - ceil(p n) + 1 shingles and
     the smaller one's first n - ceil(2p/(1+p) n) + 1 must meet, and the first
     one they share must leave room for the overlap that the sizes ask for.
     Passages that many texts share stand at the end of that order, so they
     bring no pairs together. Both bounds are exact."""
     ids = members.select("doc_id", "n", "group").distinct()
-    rows = ids.join(sets, "doc_id").select("doc_id", "n", "group", F.explode("shingles").alias("shingle"))
-    seen = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "shingle"))
-    placed = stage(rows.join(seen, "shingle").withColumn("place", place)
-                   .where((F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1) & (F.col("df") > 1))
-                   .select("shingle", "doc_id", "n", "group", "place"), "rare")
+    rows = ids.join(sets, "doc_id").select("doc_id", "n", "group", "shingles")
+    tallied = (rows.mapInPandas(_tally, "slice int, cells binary, counts binary").groupBy("slice")
+               .applyInPandas(_levels, "slice int, levels binary").collect())
+    levels = np.zeros(CELLS, np.uint8)
+    for r in tallied:
+        levels[r["slice"] * SLICE:(r["slice"] + 1) * SLICE] = np.frombuffer(r["levels"], np.uint8)
+    placed = stage(rows.mapInPandas(_prefixes(levels, percent), "shingle long, doc_id long, n long, group long, place long"), "rare")
     a = placed.select("shingle", F.col("doc_id").alias("a"), F.col("n").alias("na"), F.col("group").alias("ga"), F.col("place").alias("pa"))
     b = (placed.where(F.col("place") <= F.col("n") - F.ceil(2 * percent * F.col("n") / (100 + percent)) + 1)
          .select("shingle", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("group").alias("gb"), F.col("place").alias("pb")))

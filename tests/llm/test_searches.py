@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shoptrail.llm import conversation_repair, jaccard_join, lexical_search
+from shoptrail.llm import conversation_repair, jaccard_join, lexical_search, near_dedup
 from shoptrail.llm.queries import documents
 from tests.conftest import SMALL
 
@@ -234,6 +234,55 @@ def test_every_similar_pair_meets_in_a_segment_at_any_allocation():
             assert any(full[i] == probe[i] for i in rest) or any(full[i] in cut or probe[i] in dels for i in paid)
 
 
+def test_sketches_send_only_close_pairs(spark):
+    """No similar pair is lost, at any ratio of widths; far pairs that share much do not send their sets."""
+    rng = np.random.default_rng(4)
+    sets, pairs = [], []
+    for i in range(240):
+        n, lost = int(rng.choice([1, 3, 15, 16, 17, 62, 66, 130, 250, 260, 520])), [0.05, 0.2, 0.3, 0.5, 0.9][i % 5]
+        a = np.unique(rng.integers(-2**63, 2**63, n, dtype=np.int64))
+        b = np.unique(np.r_[a[int(n * lost / 2):], rng.integers(-2**63, 2**63, int(n * lost / 2), dtype=np.int64)])
+        b = b[:max(1, n // 9)] if lost == 0.9 else b
+        sets += [(2 * i, a.tolist(), jaccard_join.sketch(a.view(np.uint64)).view(np.int64).tolist()),
+                 (2 * i + 1, b.tolist(), jaccard_join.sketch(b.view(np.uint64)).view(np.int64).tolist())]
+        pairs.append((2 * i, 2 * i + 1, len(set(a.tolist()) ^ set(b.tolist())), len(np.intersect1d(a, b)), n))
+    table = spark.createDataFrame(sets, jaccard_join.SETS)
+    asked = spark.createDataFrame([p[:2] for p in pairs], "u long, v long")
+    a, b = (table.select(F.col("doc_id").alias(x), F.col("sketch").alias(k)) for x, k in (("u", "ku"), ("v", "kv")))
+    turned = {r["u"]: r["d"] for r in asked.join(a, "u").join(b, "v").select("u", jaccard_join._differ("ku", "kv").alias("d")).collect()}
+    assert all(turned[u] <= d for u, _, d, _, _ in pairs)
+    close = {r["u"] for r in jaccard_join._close(asked, table, 80).collect()}
+    assert all(u in close for u, _, d, met, _ in pairs if 100 * met >= 80 * (met + d))
+    far = [u for u, _, d, met, n in pairs if n > 100 and u % 10 == 6]  # 0.60, of one width or two
+    assert len(far) > 8 and sum(u in close for u in far) < len(far) / 4
+
+
+def test_rare_shingles_alone_become_rows(spark, monkeypatch):
+    """Many sets that share three quarters: pairs of 0.80 are all found, and no set is spelled out whole."""
+    rng = np.random.default_rng(5)
+    core, sets = rng.integers(0, 2**62, 90, dtype=np.int64), []
+    for i in range(300):
+        own = rng.integers(0, 2**62, 30, dtype=np.int64)
+        sets.append(np.unique(np.r_[core, own]))
+        if i % 10 == 0:
+            sets.append(np.unique(np.r_[core, own[:24], rng.integers(0, 2**62, 6, dtype=np.int64)]))
+    frame = spark.createDataFrame([(i, s.tolist()) for i, s in enumerate(sets)], "doc_id long, shingles array<long>")
+    members = frame.select("doc_id", F.size("shingles").cast("long").alias("n"), F.col("doc_id").alias("group"))
+    staged = {}
+
+    def kept(df, name, real=near_dedup.stage):
+        staged[name] = df, real(df, name)
+        return staged[name][1]
+    monkeypatch.setattr(near_dedup, "stage", kept)
+    got = {(r["u"], r["v"]) for r in near_dedup._rare(members, frame, 80).collect()}
+    want = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets))
+            if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    assert len(want) >= 30 and want <= got
+    made, rows = staged["rare"]
+    assert "Generate" not in made._jdf.queryExecution().toString()
+    assert 0 < rows.count() < sum(map(len, sets)) / 5
+
+
 def test_jaccard_join_edges(spark):
     long = " ".join(f"w{i % 977}x{i % 31}" for i in range(20_000))
     rows = [(1, None), (2, ""), (3, " \n\t "), (4, "a b c"), (5, "A b  c"), (None, "a b c"), (None, None), (7, long), (8, long), (8, long),
